@@ -34,11 +34,12 @@ def region_dimension(names: DataFrame, name: str = "provinsi") -> DataFrame:
 
 
 def commodity_dimension(spark: SparkSession, commodities: Sequence[tuple[int, str]] = COMMODITIES) -> DataFrame:
-    """dim_komoditas from a fixed list."""
-    return spark.createDataFrame(
-        [(i, i, name) for i, name in commodities],
-        "komoditas_key int not null, id_komoditas int not null, nama_komoditas string",
-    )
+    """dim_komoditas from a fixed list.
+
+    As SQL values the planner knows how small it is, and broadcasts it.
+    """
+    rows = ", ".join(f"({i}, {i}, '{name}')" for i, name in commodities)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(komoditas_key, id_komoditas, nama_komoditas)")
 
 
 def commodity_dimension_of(names: DataFrame, name: str) -> DataFrame:

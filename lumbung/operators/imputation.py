@@ -43,9 +43,9 @@ def fill_price_gaps(
 ) -> DataFrame:
     """Own price, else the latest earlier one, else the median of the commodity.
 
-    For monthly rows, one per region and commodity.
+    For monthly rows, one per region and commodity. The input is read three times: stage it.
     """
-    medians = stage(exact_median(df, [commodity], F.col(value), "_median", staged=False), "medians")
+    medians = exact_median(df, [commodity], F.col(value), "_median", staged=False)
     earlier = last_known(value, [region, commodity], ["tahun", "bulan"])
     filled = df.withColumn("_earlier", earlier).join(medians, commodity, "left")
     return filled.withColumn(value, F.coalesce(value, "_earlier", "_median")).select(*df.columns)

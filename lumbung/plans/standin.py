@@ -155,7 +155,7 @@ def annual(flows: DataFrame, hide: bool = True) -> DataFrame:
         demand = f"CASE WHEN pmod(id_wilayah * 3 + tahun + id_komoditas, 20) <> 7 THEN {demand} END"
     out = flows.selectExpr("tahun", "id_komoditas", roles).groupBy("id_wilayah", "tahun", "id_komoditas")
     return out.agg(
-        F.expr(f"{herd} AS populasi"), F.expr("sum(k) AS produksi_daging"),
+        F.expr(f"{herd} AS populasi"), stable_round(F.expr("sum(k) / 1000"), 3).alias("produksi_daging"),
         F.expr("try_divide(sum(w), sum(m)) AS konsumsi_daging"), F.expr(f"{demand} AS permintaan_daging"),
         F.expr("CAST(sum(c) AS double) AS jumlah_ternak_potong"), F.expr("try_divide(sum(d), sum(c)) AS harga_baseline"),
     )
@@ -176,11 +176,13 @@ def staged_integrated(t: Source) -> DataFrame:
 
 
 def warehouse(t: Source) -> Tables:
-    """Dimensions and the staged fact table."""
+    """Dimensions and fact table."""
     flows = staged_flow(t)
     dims = dims_of(t, flows)
-    return {**dims, sinks.FACT: stage(risk_fact(integrated(t, flows), dims), "fact")}
+    return {**dims, sinks.FACT: risk_fact(integrated(t, flows), dims)}
 
 
-def cube(t: Source, how: str = "inner") -> DataFrame:
-    return cube_of(warehouse(t), how)
+def cube(t: Source, staged: bool = False) -> DataFrame:
+    """The cube; stage it for a query that reads it more than once."""
+    rows = cube_of(warehouse(t))
+    return stage(rows, "cube") if staged else rows

@@ -36,11 +36,11 @@ def integrate(
 def risk_fact(integrated: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Price gaps filled, index computed over all rows, surrogate keys, output precision.
 
-    ``integrated`` is read for the medians, the bounds and the result; stage it first.
+    ``integrated`` should be staged, as the medians read it too. The components are staged here:
+    both the bounds and the scaled rows come from them.
     """
-    filled = imputation.fill_price_gaps(integrated)
-    indexed = index.with_index(index.with_components(filled))
-    keyed = star.with_keys(indexed, dims["dim_prov"], dims["dim_komoditas"], dims["dim_waktu"])
+    components = stage(index.with_components(imputation.fill_price_gaps(integrated)), "components")
+    keyed = star.with_keys(index.with_index(components), dims["dim_prov"], dims["dim_komoditas"], dims["dim_waktu"])
     return star.align(cleaning.round_outputs(keyed))
 
 

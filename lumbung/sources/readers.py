@@ -128,7 +128,8 @@ def read_price_sheets(spark: SparkSession, paths: str | Sequence[str], words: Se
     join them with ``union_files``.
     """
     df = spark.read.csv(paths, header=True, recursiveFileLookup=True, enforceSchema=False)
-    df = df.withColumn("_file", F.col("_metadata.file_path"))
+    # The path comes URL-encoded, but with a plain "+".
+    df = df.withColumn("_file", F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))"))
     market, city = text.split_label(text.file_label(F.col("_file")))
     region = F.upper(F.trim(F.element_at(F.split("_file", "/"), -2)))
     return unpivot_price_sheet(df, region, market, city, words)

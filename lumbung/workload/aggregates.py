@@ -11,6 +11,7 @@ from lumbung.operators.index import with_components
 from lumbung.operators.quantiles import exact_median, exact_quantiles
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
+from lumbung.session import stage
 from lumbung.workload.base import (
     ANNUAL, CUBE, FACT, INTEGRATED, SCALED, TEST_BANDS, band_sql, n, on_cube, on_lines, query, r, tidy,
 )
@@ -73,8 +74,8 @@ def group_means(t: Source) -> DataFrame:
 @query("e7_commodity_median", f"""WITH {INTEGRATED}
 SELECT id_komoditas, {r("quantile_disc(avg_harga, 0.5)", 4)} AS global_median_harga FROM integrated WHERE avg_harga IS NOT NULL GROUP BY 1""")
 def commodity_median(t: Source) -> DataFrame:
-    monthly = standin.monthly(standin.flow(t))
-    return tidy(exact_median(monthly, ["id_komoditas"], F.col("avg_harga"), "global_median_harga"), {"global_median_harga": 4})
+    monthly = stage(standin.monthly(standin.flow(t)), "monthly")
+    return tidy(exact_median(monthly, ["id_komoditas"], F.col("avg_harga"), "global_median_harga", staged=False), {"global_median_harga": 4})
 
 
 RAW = ("raw_price_gap", "raw_health_impact", "raw_supply_strain")
@@ -92,8 +93,8 @@ def global_min_max(t: Source) -> DataFrame:
 SELECT {r("min(supply_risk_index)", 6)} AS min, {r("max(supply_risk_index)", 6)} AS max, {r("avg(supply_risk_index)", 6)} AS mean,
        {r("stddev_samp(supply_risk_index)", 6)} AS std, quantile_disc(supply_risk_index, 0.5) AS median FROM fact""")
 def index_statistics(t: Source) -> DataFrame:
-    fact = standin.warehouse(t)["fact_supply_resilience"]
-    median = exact_median(fact, [], F.col("supply_risk_index"), "median").scalar()
+    fact = stage(standin.warehouse(t)["fact_supply_resilience"].select("supply_risk_index"), "index")
+    median = exact_median(fact, [], F.col("supply_risk_index"), "median", staged=False).scalar()
     return rollups.index_statistics(fact).withColumn("median", median)
 
 
@@ -138,7 +139,7 @@ SELECT *, {band_sql("risk", 0.12, 0.06)} AS status FROM (
   SELECT nama_provinsi, {r("avg(supply_risk_index)", 4)} AS risk, {r("avg(avg_harga)", 0)} AS avg_harga, sum(sum_jumlah_sakit) AS sakit
   FROM (SELECT *, max(waktu_key) OVER (PARTITION BY nama_provinsi) AS terakhir FROM cube) WHERE waktu_key = terakhir GROUP BY 1)"""))
 def latest_status(t: Source) -> DataFrame:
-    return rollups.latest_status(standin.cube(t), TEST_BANDS)
+    return rollups.latest_status(standin.cube(t, staged=True), TEST_BANDS)
 
 
 GAPS = """gaps AS (
@@ -147,7 +148,7 @@ GAPS = """gaps AS (
          sum(sum_vol_mutasi) - avg(avg_permintaan_bulanan) AS gap_ekor,
          sum(sum_realisasi_karkas) - avg(avg_konsumsi_bulanan) AS gap_kg, CAST(tahun * 100 + bulan AS INTEGER) AS time_key
   FROM cube GROUP BY tahun, bulan, nama_komoditas)"""
-GAP_DIGITS = {"avg_permintaan": 4, "sum_karkas": 2, "avg_konsumsi": 4, "gap_ekor": 4, "gap_kg": 3}
+GAP_DIGITS = {"avg_permintaan": 4, "sum_karkas": 2, "avg_konsumsi": 4, "gap_ekor": 4, "gap_kg": 2}
 
 
 @query("e16_monthly_gap", f"""WITH {CUBE}, {GAPS}
@@ -251,7 +252,7 @@ SELECT {r("(SELECT avg(supply_risk_index) FROM cube)", 6)} AS avg_risk,
        (SELECT count(DISTINCT nama_provinsi) FROM cube WHERE supply_risk_index >= 0.3) AS n_kritis,
        {r("(SELECT sum(pct) FROM (SELECT pct FROM conc ORDER BY sum_vol DESC, nama_provinsi LIMIT 3))", 6)} AS top_share""")
 def executive_summary(t: Source) -> DataFrame:
-    return tidy(rollups.executive_summary(standin.cube(t), danger=0.3), {"avg_risk": 6, "top_share": 6})
+    return tidy(rollups.executive_summary(standin.cube(t, staged=True), danger=0.3), {"avg_risk": 6, "top_share": 6})
 
 
 HIDDEN_PRICE = "CASE WHEN o_orderkey % 20 <> 0 THEN o_totalprice END"

@@ -100,7 +100,7 @@ demand AS (
 annual AS (
   SELECT id_wilayah, tahun, id_komoditas,
          CASE WHEN (id_wilayah * 3 + tahun + id_komoditas) % 20 <> 0 THEN q END AS populasi,
-         k AS produksi_daging, w / m AS konsumsi_daging,
+         """ + r("k / 1000", 3) + """ AS produksi_daging, w / m AS konsumsi_daging,
          CASE WHEN (id_wilayah * 3 + tahun + id_komoditas) % 20 <> 7 THEN w END AS permintaan_daging,
          CAST(c AS DOUBLE) AS jumlah_ternak_potong, d / c AS harga_baseline
   FROM supply FULL JOIN demand USING (id_wilayah, tahun, id_komoditas)),

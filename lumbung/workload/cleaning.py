@@ -168,7 +168,7 @@ def monthly_rates(t: Source) -> DataFrame:
 @query("c14_output_rounding", f"""WITH {LINES}
 SELECT id_asal, id_komoditas, {r("avg(l_extendedprice / l_quantity)", 2)} AS avg_harga,
        {r("avg(p_retailprice)", 2)} AS harga_baseline, {r("avg(l_quantity)", 0)} AS populasi_ternak,
-       CAST(trunc(sum(l_tax)) AS BIGINT) AS jumlah_penduduk FROM lines GROUP BY ALL""")
+       CAST(trunc({r("sum(l_tax)", 6)}) AS BIGINT) AS jumlah_penduduk FROM lines GROUP BY ALL""")
 def output_rounding(t: Source) -> DataFrame:
     out = standin.lines(t, month=False).groupBy("id_asal", "id_komoditas").agg(
         F.expr(f"avg({standin.UNIT_PRICE}) AS avg_harga"), F.avg("p_retailprice").alias("harga_baseline"),

@@ -10,6 +10,7 @@ from lumbung.operators import imputation, index
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
 from lumbung.plans.warehouse import ANNUAL_MEASURES, cube_of
+from lumbung.session import stage
 from lumbung.workload.base import ANNUAL, COMPONENTS, FILLED, LINES, SCALED, on_cube, query, r, tidy
 
 HIDDEN = "CASE WHEN l_orderkey % 20 <> 0 THEN l_extendedprice END"
@@ -91,7 +92,7 @@ SCALED_COLUMNS = ("scaled_price_gap", "scaled_health_impact", "scaled_supply_str
 @query("j4_min_max_scale", f"""WITH {SCALED}
 SELECT {", ".join(ROW)}, {", ".join(f"{r(c, 6)} AS {c}" for c in SCALED_COLUMNS)} FROM scaled""")
 def min_max_scale(t: Source) -> DataFrame:
-    rows = index.with_components(filled_rows(t))
+    rows = stage(index.with_components(filled_rows(t)), "components")
     scaled = index.min_max_scaled(rows, {c.replace("scaled", "raw"): c for c in SCALED_COLUMNS})
     return tidy(scaled.select(*ROW, *SCALED_COLUMNS), dict.fromkeys(SCALED_COLUMNS, 6))
 
@@ -99,7 +100,8 @@ def min_max_scale(t: Source) -> DataFrame:
 @query("j5_supply_risk_index", f"""WITH {SCALED}
 SELECT {", ".join(ROW)}, {r("(scaled_price_gap + scaled_health_impact + scaled_supply_strain) / 3", 6)} AS supply_risk_index FROM scaled""")
 def supply_risk_index(t: Source) -> DataFrame:
-    return index.with_index(index.with_components(filled_rows(t))).select(*ROW, "supply_risk_index")
+    rows = stage(index.with_components(filled_rows(t)), "components")
+    return index.with_index(rows).select(*ROW, "supply_risk_index")
 
 
 @query("j6_fact_build", on_cube("SELECT * FROM cube"))

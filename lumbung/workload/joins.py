@@ -260,7 +260,7 @@ SELECT tahun, bulan, nama_provinsi, {r("avg(supply_risk_index)", 6)} AS risk,
 FROM cube WHERE nama_provinsi IN (
   SELECT nama_provinsi FROM cube GROUP BY 1 ORDER BY {r("avg(supply_risk_index)", 9)} DESC, nama_provinsi LIMIT 5) GROUP BY ALL"""))
 def top_drill_down(t: Source) -> DataFrame:
-    return tidy(ranking.top_region_timeline(standin.cube(t), 5), {"risk": 6})
+    return tidy(ranking.top_region_timeline(standin.cube(t, staged=True), 5), {"risk": 6})
 
 
 @query("d20_group_join_back", on_lines(f"""

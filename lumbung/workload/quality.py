@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lumbung.operators import quality
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
+from lumbung.session import stage
 from lumbung.sources import sinks
 from lumbung.workload.base import FACT, query
 from lumbung.workload.sources import counts_sql
@@ -82,7 +83,7 @@ REQUIRED = (("dim_prov", "prov_key"), ("dim_prov", "nama_provinsi"), ("dim_komod
 ))
 def gate_report(t: Source) -> DataFrame:
     w = standin.warehouse(t)
-    fact = w[sinks.FACT].withColumn("prov_key", F.expr("if(waktu_key % 20 = 0, NULL, prov_key)"))
+    fact = stage(w[sinks.FACT], "fact").withColumn("prov_key", F.expr("if(waktu_key % 20 = 0, NULL, prov_key)"))
     return quality.warehouse_report(fact, w["dim_prov"], w["dim_komoditas"], w["dim_waktu"].where("waktu_key % 15 <> 0"))
 
 

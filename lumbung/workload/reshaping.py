@@ -60,10 +60,9 @@ def intersect(t: Source) -> DataFrame:
 
 @query("h6_commodity_rows", on_lines("""
 SELECT id_asal AS id_wilayah, tahun, k AS id_komoditas,
-  CASE k WHEN 1 THEN coalesce(max(CASE WHEN id_asal % 4 <> 0 THEN q END), max(q2)) ELSE coalesce(max(CASE WHEN id_asal % 5 <> 0 THEN q END), max(q2)) END AS populasi,
-  max(c) AS jumlah_ternak_potong FROM (
+  CASE WHEN (k = 1 AND id_asal % 4 <> 0) OR (k = 2 AND id_asal % 5 <> 0) THEN q ELSE q2 END AS populasi, c AS jumlah_ternak_potong FROM (
     SELECT id_asal, tahun, CASE p_type WHEN 'SMALL' THEN 1 ELSE 2 END AS k, sum(l_quantity) AS q, sum(l_linenumber) * 1e0 AS q2, count(*) * 1e0 AS c
-    FROM lines WHERE p_type IN ('SMALL', 'LARGE') GROUP BY ALL) GROUP BY ALL"""))
+    FROM lines WHERE p_type IN ('SMALL', 'LARGE') GROUP BY ALL)"""))
 def commodity_rows(t: Source) -> DataFrame:
     def part(kind: str, value: str) -> F.Column:
         return F.expr(f"sum(if(p_type = '{kind}', {value}, NULL))")
