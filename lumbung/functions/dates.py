@@ -9,9 +9,14 @@ from lumbung.sources.fixed_values import MONTH_NAMES
 
 
 def event_date(c: Column) -> Column:
-    """``MM/dd/yy``, else ``MM/dd/yyyy``; anything else gives null."""
+    """``MM/dd/yy``, else ``MM/dd/yyyy``; anything else gives null.
+
+    The length decides which format is tried, because a failed parse costs far more than a good one.
+    """
     text = F.trim(c)
-    return F.coalesce(F.try_to_date(text, "MM/dd/yy"), F.try_to_date(text, "MM/dd/yyyy"))
+    return F.when(F.length(text) == 8, F.try_to_date(text, "MM/dd/yy")).when(
+        F.length(text) == 10, F.try_to_date(text, "MM/dd/yyyy")
+    )
 
 
 def header_date(c: Column) -> Column:

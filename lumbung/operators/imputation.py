@@ -15,7 +15,7 @@ from lumbung.session import stage
 def fill_with_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Null values of detail rows become the discrete median of their group.
 
-    The medians are staged: the planner then knows their size and broadcasts them when they are
+    The rows are read three times: stage them first if they come from joins. The medians are staged: the planner then knows their size and broadcasts them when they are
     small, so that the detail rows are not shuffled and a hot group does no harm.
     """
     medians = stage(exact_median(df, keys, F.col(value), "_median"), "group-medians")

@@ -85,16 +85,20 @@ def lines(t: Source, *, month: bool = True, commodity: bool = True, origin: bool
 
 
 def flow(t: Source) -> DataFrame:
-    """Sums per origin, destination, month and commodity: the one pass over the order lines.
+    """The one pass over the order lines: sums per origin and month, and per destination and year.
 
-    Everything after it works on this table, whose size depends on the number of regions, months
-    and commodities and not on the number of lines.
+    Both groupings come from the same rows, so the lines are joined and shuffled once. Each task
+    sends at most one row per group of either kind, and everything after this works on a table
+    whose size depends on regions, months and commodities and not on the number of lines. Rows of
+    the first kind have an origin, those of the second a destination.
     """
     sums = {
         "qty": "l_quantity", "qty_sakit": RETURNED, "qty_mati": RETURNED_FINISHED, "karkas": REVENUE,
         "harga": UNIT_PRICE, "dasar": "p_retailprice",
     }
-    return lines(t, destination=True).groupBy("id_asal", "id_tujuan", "tahun", "bulan", "id_komoditas").agg(
+    keys = ["id_asal", "id_tujuan", "tahun", "bulan", "id_komoditas"]
+    groups = [["id_asal", "tahun", "bulan", "id_komoditas"], ["id_tujuan", "tahun", "id_komoditas"]]
+    return lines(t, destination=True).groupingSets(groups, *keys).agg(
         F.expr("count(*) AS n"), *[F.expr(f"sum({e}) AS {name}") for name, e in sums.items()]
     )
 
@@ -122,14 +126,14 @@ def dims_of(t: Source, flows: DataFrame | None = None) -> Tables:
 
 def monthly(flows: DataFrame, hide: bool = True) -> DataFrame:
     """Monthly measures by origin. One price in twenty is hidden to give imputation work."""
-    price = "sum(harga) / sum(n)"
+    price = "harga / n"
     if hide:
         price = f"CASE WHEN pmod(id_asal * 7 + tahun * 12 + bulan, 20) <> 0 THEN {price} END"
-    return flows.groupBy("id_asal", "tahun", "bulan", "id_komoditas").agg(
-        F.expr("sum(qty_sakit) AS sum_jumlah_sakit"), F.expr("sum(qty_mati) AS sum_jumlah_mati"),
-        F.expr("sum(qty) AS sum_vol_mutasi"), stable_round(F.expr("sum(karkas)"), 2).alias("sum_realisasi_karkas"),
-        F.expr(f"{price} AS avg_harga"),
-    ).withColumnRenamed("id_asal", "id_wilayah")
+    return flows.where("id_asal IS NOT NULL").select(
+        F.expr("id_asal AS id_wilayah"), "tahun", "bulan", "id_komoditas", F.expr("qty_sakit AS sum_jumlah_sakit"),
+        F.expr("qty_mati AS sum_jumlah_mati"), F.expr("qty AS sum_vol_mutasi"),
+        stable_round(F.col("karkas"), 2).alias("sum_realisasi_karkas"), F.expr(f"{price} AS avg_harga"),
+    )
 
 
 def demography(t: Source) -> DataFrame:
@@ -142,19 +146,18 @@ def demography(t: Source) -> DataFrame:
 def annual(flows: DataFrame, hide: bool = True) -> DataFrame:
     """Statistics per region, year and commodity: supply by origin, demand by destination.
 
-    Each flow row is read once and counted in both roles. Some values are hidden for imputation.
+    Some values are hidden for imputation.
     """
-    roles = (
-        "inline(array("
-        "named_struct('id_wilayah', id_asal, 'q', qty, 'k', karkas, 'c', n, 'd', dasar, 'w', NULL, 'm', NULL), "
-        "named_struct('id_wilayah', id_tujuan, 'q', NULL, 'k', NULL, 'c', NULL, 'd', NULL, 'w', qty, 'm', n)))"
-    )
     herd, demand = "sum(q)", "sum(w)"
     if hide:
         herd = f"CASE WHEN pmod(id_wilayah * 3 + tahun + id_komoditas, 20) <> 0 THEN {herd} END"
         demand = f"CASE WHEN pmod(id_wilayah * 3 + tahun + id_komoditas, 20) <> 7 THEN {demand} END"
-    out = flows.selectExpr("tahun", "id_komoditas", roles).groupBy("id_wilayah", "tahun", "id_komoditas")
-    return out.agg(
+    sides = flows.selectExpr(
+        "coalesce(id_asal, id_tujuan) AS id_wilayah", "tahun", "id_komoditas", "if(id_asal IS NOT NULL, qty, NULL) AS q",
+        "if(id_asal IS NOT NULL, karkas, NULL) AS k", "if(id_asal IS NOT NULL, n, NULL) AS c",
+        "if(id_asal IS NOT NULL, dasar, NULL) AS d", "if(id_asal IS NULL, qty, NULL) AS w", "if(id_asal IS NULL, n, NULL) AS m",
+    )
+    return sides.groupBy("id_wilayah", "tahun", "id_komoditas").agg(
         F.expr(f"{herd} AS populasi"), stable_round(F.expr("sum(k) / 1000"), 3).alias("produksi_daging"),
         F.expr("try_divide(sum(w), sum(m)) AS konsumsi_daging"), F.expr(f"{demand} AS permintaan_daging"),
         F.expr("CAST(sum(c) AS double) AS jumlah_ternak_potong"), F.expr("try_divide(sum(d), sum(c)) AS harga_baseline"),

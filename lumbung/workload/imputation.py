@@ -23,7 +23,7 @@ m AS (SELECT id_asal, id_komoditas, bulan, quantile_disc(harga, 0.5) AS med FROM
 SELECT id_asal, id_komoditas, bulan, count(*) AS n, count(coalesce(harga, med)) AS n_isi, {r("sum(coalesce(harga, med))", 2)} AS total
 FROM h LEFT JOIN m USING (id_asal, id_komoditas, bulan) GROUP BY ALL""")
 def price_median_fill(t: Source) -> DataFrame:
-    rows = standin.lines(t).select(*GROUP, F.expr(f"{HIDDEN} AS harga"))
+    rows = stage(standin.lines(t).select(*GROUP, F.expr(f"{HIDDEN} AS harga")), "prices")
     out = imputation.fill_with_median(rows, GROUP, "harga").groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n"), F.count("harga").alias("n_isi"), F.sum("harga").alias("total")
     )
