@@ -40,9 +40,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/lumbung/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/lumbung/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the staged tables of this application, once no result needs them any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

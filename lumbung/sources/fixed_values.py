@@ -9,6 +9,14 @@ MONTH_NAMES = (
 # The two commodities (id, name).
 COMMODITIES = ((1, "Sapi"), (2, "Ayam"))
 
+# Annual indicators, their columns and the words that their labels hold.
+INDICATORS = {
+    "jumlah_penduduk": ("jumlah", "penduduk"),
+    "populasi_sapi": ("populasi", "sapi", "potong"),
+    "populasi_ayam": ("populasi", "ayam", "pedaging"),
+    "produksi_daging_ayam": ("produksi", "daging", "ayam", "pedaging"),
+}
+
 # Words that mark a meat row in a price sheet.
 MEAT_WORDS = (
     "daging sapi", "daging ayam", "daging kambing", "daging babi",

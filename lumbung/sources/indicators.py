@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import text
+from lumbung.operators.reshape import merge_indicators
+from lumbung.sources.fixed_values import INDICATORS
 
 # A payload's "data" array holds a page header first and the table second. Both are read with one
 # element type; the header leaves the fields empty.
@@ -77,3 +79,17 @@ def first_valid_payload(df: DataFrame, words: Sequence[str], payload: str = "pay
     """Per year the usable payload with the lowest ``urutan`` (source order)."""
     usable = with_indicator(df, payload, words)
     return first_valid(usable, ["tahun"], [F.col("urutan")], [payload])
+
+
+def annual_statistics(payloads: DataFrame, indicators: Mapping[str, Sequence[str]] = INDICATORS) -> DataFrame:
+    """One row per region and year with every indicator, from (indikator, tahun, urutan, payload).
+
+    Each indicator and year takes its first usable payload. The merge is one grouping of all
+    values instead of a chain of outer joins.
+    """
+    long = None
+    for column, words in indicators.items():
+        chosen = first_valid_payload(payloads.where(F.col("indikator") == column), words)
+        rows = parse_indicator(chosen, words, "nilai").withColumn("indikator", F.lit(column))
+        long = rows if long is None else long.unionByName(rows)
+    return merge_indicators(long, ["provinsi", "tahun"], "indikator", "nilai", list(indicators))

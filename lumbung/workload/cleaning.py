@@ -12,6 +12,7 @@ from lumbung.operators.measures import with_demography
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
 from lumbung.plans.warehouse import ANNUAL_MEASURES
+from lumbung.session import stage
 from lumbung.workload.base import (
     ANNUAL, FACT, LINES, MONTH_NAME_SQL, MONTHLY, TEST_BANDS, band_sql, n, on_cube, on_lines, query, r, tidy,
 )
@@ -235,7 +236,8 @@ def period_labels(t: Source) -> DataFrame:
 SELECT 'tahun' AS filter, CAST(tahun AS VARCHAR) AS pilihan FROM lines GROUP BY tahun
 UNION ALL SELECT 'provinsi', n_name FROM lines JOIN nation ON n_nationkey = id_asal GROUP BY n_name"""))
 def filter_choices(t: Source) -> DataFrame:
-    rows = standin.lines(t, commodity=False).join(t("nation"), F.expr("n_nationkey = id_asal"))
+    pairs = standin.lines(t, commodity=False).select("tahun", "id_asal").distinct()
+    rows = stage(pairs.join(t("nation"), F.expr("n_nationkey = id_asal")), "pairs")
     years = ranking.choices(rows, "tahun", descending=True).select(F.lit("tahun").alias("filter"), F.col("tahun").cast("string").alias("pilihan"))
     names = ranking.choices(rows, "n_name").select(F.lit("provinsi").alias("filter"), F.col("n_name").alias("pilihan"))
     return years.unionByName(names)

@@ -29,12 +29,16 @@ dem AS (
   SELECT id_tujuan AS id, tahun, sum(l_quantity) AS permintaan FROM lines WHERE id_tujuan % 7 <> 0 GROUP BY ALL)
 SELECT n_name AS provinsi, tahun, populasi, permintaan FROM sup JOIN dem USING (id, tahun) JOIN nation ON n_nationkey = id""")
 def two_source_merge(t: Source) -> DataFrame:
-    rows = standin.lines(t, commodity=False, destination=True)
+    # Both sides come from one pass over the lines.
+    sums = standin.lines(t, commodity=False, destination=True).groupingSets(
+        [["id_asal", "tahun"], ["id_tujuan", "tahun"]], "id_asal", "id_tujuan", "tahun"
+    ).agg(F.sum("l_quantity").alias("v"))
+    sums = stage(sums, "sides")
     name = t("nation").selectExpr("n_nationkey AS id", "n_name AS provinsi")
 
     def side(region: str, value: str, gap: int) -> DataFrame:
-        sums = rows.groupBy(F.col(region).alias("id"), "tahun").agg(F.sum("l_quantity").alias(value))
-        return sums.where(F.col("id") % gap != 0).join(name, "id").drop("id")
+        rows = sums.where(f"{region} % {gap} <> 0").selectExpr(f"{region} AS id", "tahun", f"v AS {value}")
+        return rows.join(name, "id").drop("id")
 
     return conform.merge_sources(
         side("id_asal", "q", 5), side("id_tujuan", "w", 7), REGION_YEAR,
@@ -123,13 +127,15 @@ def metric_merge(t: Source) -> DataFrame:
 
 @query("d8_annual_demography", f"""WITH {LINES}, st AS (
   SELECT id_asal AS id_wilayah, tahun, id_komoditas, sum(l_quantity) AS populasi FROM lines GROUP BY ALL),
-dem AS (SELECT id_tujuan AS id_wilayah, tahun, count(DISTINCT l_orderkey) AS jumlah_penduduk FROM lines WHERE id_tujuan % 4 <> 0 GROUP BY ALL)
+dem AS (SELECT c_nationkey AS id_wilayah, CAST(year(o_orderdate) AS INTEGER) AS tahun, count(*) AS jumlah_penduduk
+        FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey % 4 <> 0 GROUP BY ALL)
 SELECT * FROM st LEFT JOIN dem USING (id_wilayah, tahun)""")
 def annual_demography(t: Source) -> DataFrame:
-    rows = standin.lines(t, destination=True)
+    rows = standin.lines(t)
     stats = rows.groupBy(F.col("id_asal").alias("id_wilayah"), "tahun", "id_komoditas").agg(F.sum("l_quantity").alias("populasi"))
-    people = rows.where("id_tujuan % 4 <> 0").groupBy(F.col("id_tujuan").alias("id_wilayah"), "tahun").agg(
-        F.count_distinct("l_orderkey").alias("jumlah_penduduk")
+    buyers = t("customer").where("c_nationkey % 4 <> 0").selectExpr("c_custkey AS o_custkey", "c_nationkey AS id_wilayah")
+    people = t("orders").join(buyers, "o_custkey").groupBy("id_wilayah", F.year("o_orderdate").alias("tahun")).agg(
+        F.count(F.lit(1)).alias("jumlah_penduduk")
     )
     return measures.with_demography(stats, people)
 
@@ -267,7 +273,7 @@ def top_drill_down(t: Source) -> DataFrame:
 SELECT id_asal, id_komoditas, count(*) AS n, {r("sum(abs(l_extendedprice - m))", 2)} AS jarak FROM (
   SELECT *, avg(l_extendedprice) OVER (PARTITION BY id_asal, id_komoditas) AS m FROM lines) GROUP BY ALL"""))
 def group_join_back(t: Source) -> DataFrame:
-    rows = standin.lines(t, month=False)
+    rows = stage(standin.lines(t, month=False).select("id_asal", "id_komoditas", "l_extendedprice"), "prices")
     means = stage(rows.groupBy("id_asal", "id_komoditas").agg(F.avg("l_extendedprice").alias("m")), "means")
     out = rows.join(means, ["id_asal", "id_komoditas"], "left").groupBy("id_asal", "id_komoditas").agg(
         n(), F.expr("sum(abs(l_extendedprice - m)) AS jarak")

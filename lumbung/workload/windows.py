@@ -11,7 +11,7 @@ from lumbung.operators import correlation, imputation, ranking, rollups
 from lumbung.operators.dimensions import commodity_dimension_of, region_dimension
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
-from lumbung.session import stage_path
+from lumbung.session import stage, stage_path
 from lumbung.sources import sinks
 from lumbung.workload.aggregates import CONCENTRATION
 from lumbung.workload.base import CUBE, DIMS, INTEGRATED, on_cube, on_lines, query, r, tidy
@@ -71,11 +71,11 @@ def sequence_number(t: Source) -> DataFrame:
 SELECT id_asal, count(*) AS n, sum(l_quantity) AS qty, max(m) AS bulan_terakhir FROM (
   SELECT *, tahun * 100 + bulan AS m, max(tahun * 100 + bulan) OVER (PARTITION BY id_asal) AS mm FROM lines) WHERE m = mm GROUP BY 1"""))
 def latest_per_group(t: Source) -> DataFrame:
-    rows = standin.lines(t, commodity=False).withColumn("m", F.expr("tahun * 100 + bulan"))
-    latest = rollups.latest_rows(rows.select("id_asal", "m", "l_quantity"), "id_asal", "m")
-    return latest.groupBy("id_asal").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"), F.max("m").alias("bulan_terakhir")
+    # Months are summed first, so that the lines are read once and the join sees months only.
+    months = standin.lines(t, commodity=False).groupBy("id_asal", F.expr("tahun * 100 + bulan AS bulan_terakhir")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty")
     )
+    return rollups.latest_rows(stage(months, "months"), "id_asal", "bulan_terakhir")
 
 
 @query("f8_z_score", f"""WITH {CUBE}, {series_sql(UPSTREAM, DOWNSTREAM, "SMALL")}

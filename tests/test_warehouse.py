@@ -1,12 +1,16 @@
 """The whole job on hand-written staging tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from lumbung.operators import quality, rollups, star
+from lumbung.plans import daily, result_sets
 from lumbung.plans.warehouse import build_warehouse, cube_of, load_warehouse
-from lumbung.session import stage_path
+from lumbung.session import stage, stage_path
 from lumbung.sources import readers, sinks
+from lumbung.sources.fixed_values import INDICATORS
 
 DUMMY = [
     "populasi_sapi", "populasi_ayam", "produksi_daging_sapi", "produksi_daging_ayam", "konsumsi_daging_sapi", "konsumsi_daging_ayam",
@@ -194,3 +198,50 @@ def test_pareto_ends_at_one_hundred(tables):
     assert rows[-1].cumsum_pct == pytest.approx(100.0)
     empty = rollups.supply_concentration(cube_of(tables).withColumn("sum_vol_mutasi", F.lit(0.0))).collect()
     assert all(r.pct is None for r in empty)
+
+
+def test_dashboard_and_notebook(spark, tables):
+    cube = stage(cube_of(tables).withColumn("nama_provinsi", F.upper("nama_provinsi")), "cube")
+    sets = result_sets.dashboard(cube, map_year=2024, upstream=("JAWA TIMUR",), downstream=("JAWA TIMUR",))
+    counts = {name: df.count() for name, df in sets.items()}
+    assert counts["kpi"] == counts["gap_tiles"] == 1
+    assert counts["latest_status"] == counts["map"] == counts["map_bubbles"] == counts["pareto"] == 3
+    assert counts["top_timeline"] == 6 and counts["risk_heatmap"] == 3 and counts["regions"] == 3
+    assert counts["lag_scan"] == 0 and counts["lag_overlay"] == 2
+    east = sets["latest_status"].where("nama_provinsi = 'JAWA TIMUR'").first()
+    assert (east.sakit, east.avg_harga) == (0.0, 110000.0)
+    filtered = result_sets.dashboard(cube, commodity="Ayam", year=2024, region="ACEH")
+    assert filtered["monthly_gap"].count() == 2 and filtered["price_heatmap"].columns[1:] == ["2024/02", "2024/03", "2024/05", "2025/01", "2025/03"]
+    book = result_sets.notebook(cube)
+    summary = book["summary"].first()
+    assert summary.top_share == pytest.approx(100.0)
+    assert {name: df.count() for name, df in book.items()}["pareto"] == 3
+
+
+def test_daily_run(spark):
+    """Documents and tables in, loaded star and cube file out; the same rows as the direct build."""
+    tables = staging(spark)
+    api = tables["bps_api_raw"].collect()
+    documents = []
+    for column, words in INDICATORS.items():
+        for year in ("2024", "2025"):
+            rows = [{"label": r.provinsi, "kode_wilayah": "1", "variables": {"v": {"value_raw": r[column]}}} for r in api if r.tahun == year]
+            table = {"kolom": {"v": {"nama_variabel": " ".join(words)}}, "data": rows}
+            documents.append((column, int(year), 1, json.dumps({"status": "ERROR"})))
+            documents.append((column, int(year), 2, json.dumps({"status": "OK", "data": [{}, table]})))
+    payloads = spark.createDataFrame(documents, "indikator string, tahun int, urutan int, payload string")
+    lab = spark.createDataFrame([("U1", "L1", "03/09/24", "PMK", None)], "id_uji string, id_laporan string, tgl_uji string, penyakit string, hasil_uji string")
+    prices = tables["pihps_raw"].select(
+        "provinsi", "nama_komoditas", F.expr("try_cast(harga AS double) AS harga"), F.expr("cast(waktu AS timestamp_ntz) AS waktu")
+    )
+    substitute = tables["bps_dummy_raw"].withColumn("jumlah_penduduk_dummy", F.lit(None).cast("double"))
+    folder = stage_path(spark, "daily")
+    counts = daily.extract(f"{folder}/staging", payloads, substitute, {**tables, "tr_hasil_lab": lab}, prices)
+    assert {r.table_name: r.n_rows for r in counts.collect()}["bps_api_raw"] == 7
+    loaded = daily.run_daily(spark, f"{folder}/staging", f"{folder}/output", f"{folder}/dwh", f"{folder}/cube")
+    direct = build_warehouse(tables)
+    want = {tuple(r) for r in star.align(direct[sinks.FACT]).collect()}
+    assert {tuple(r) for r in loaded[sinks.FACT].collect()} == want
+    assert readers.read_cube_csv(spark, f"{folder}/cube").count() == 6
+    with pytest.raises(RuntimeError):
+        daily.extract(f"{folder}/bad", payloads, substitute.select(F.raise_error(F.lit("x")).alias("x")), {**tables, "tr_hasil_lab": lab}, prices)
