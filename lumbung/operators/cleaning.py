@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import dates, numeric, text
+from lumbung.sources.literals import alias_table
 
 
 def clean_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,11 +29,12 @@ def clean_events(df: DataFrame, date_column: str, types: Mapping[str, str]) -> D
 def canonical_names(df: DataFrame, column: str, aliases: Mapping[str, str]) -> DataFrame:
     """Replace known spellings by their canonical name; other names stay as they are.
 
-    The alias table is a literal map inside the expression, so there is nothing to shuffle.
+    A join with the literal alias table: it is broadcast, so the rows are hashed once each and
+    not shuffled.
     """
-    lookup = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
-    known = F.try_element_at(lookup, text.upper_key(F.col(column)))
-    return df.withColumn(column, F.coalesce(known, F.col(column)))
+    table = alias_table(df.sparkSession, aliases)
+    joined = df.withColumn("alias", text.upper_key(F.col(column))).join(table, "alias", "left")
+    return joined.withColumn(column, F.coalesce("canonical", column)).select(*df.columns)
 
 
 def clean_prices(

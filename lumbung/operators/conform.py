@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import text
-
-
-def alias_table(spark: SparkSession, aliases: Mapping[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(aliases.items()), "alias string, canonical string")
+from lumbung.operators.cleaning import canonical_names
 
 
 def merge_sources(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Mapping[str, Column]) -> DataFrame:
@@ -99,15 +96,12 @@ def map_join(shapes: DataFrame, metrics: DataFrame, aliases: Mapping[str, str],
 
     Boundary and region names go through the same alias table.
     """
-    known = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
 
-    def key(c: str) -> Column:
-        name = text.upper_key(F.col(c))
-        return F.upper(F.coalesce(F.try_element_at(known, name), name))
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        named = canonical_names(df.withColumn("_key", F.col(name)), "_key", aliases)
+        return named.withColumn("_key", text.upper_key(F.col("_key")))
 
-    left = shapes.withColumn("_key", key(shape_name))
-    right = metrics.withColumn("_key", key("nama_provinsi"))
-    return left.join(right, "_key", "left").drop("_key")
+    return keyed(shapes, shape_name).join(keyed(metrics, "nama_provinsi"), "_key", "left").drop("_key")
 
 
 def centre_join(centres: DataFrame, metrics: DataFrame) -> DataFrame:

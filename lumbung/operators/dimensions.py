@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import dates
 from lumbung.sources.fixed_values import COMMODITIES
+from lumbung.sources.literals import literal_table
 
 
 def numbered(df: DataFrame, order: Sequence[str | Column], key: str) -> DataFrame:
@@ -34,12 +35,10 @@ def region_dimension(names: DataFrame, name: str = "provinsi") -> DataFrame:
 
 
 def commodity_dimension(spark: SparkSession, commodities: Sequence[tuple[int, str]] = COMMODITIES) -> DataFrame:
-    """dim_komoditas from a fixed list.
-
-    As SQL values the planner knows how small it is, and broadcasts it.
-    """
-    rows = ", ".join(f"({i}, {i}, '{name}')" for i, name in commodities)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(komoditas_key, id_komoditas, nama_komoditas)")
+    """dim_komoditas from a fixed list."""
+    return literal_table(
+        spark, ["komoditas_key", "id_komoditas", "nama_komoditas"], [(i, i, name) for i, name in commodities]
+    )
 
 
 def commodity_dimension_of(names: DataFrame, name: str) -> DataFrame:

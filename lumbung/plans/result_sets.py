@@ -12,6 +12,7 @@ from lumbung.operators import conform, correlation, quantiles, ranking, reshape,
 from lumbung.operators.cleaning import global_filter
 from lumbung.session import stage
 from lumbung.sources.fixed_values import DEFAULT_DOWNSTREAM, DEFAULT_UPSTREAM, REGION_CENTRES
+from lumbung.sources.literals import literal_table
 
 ResultSets = dict[str, DataFrame]
 
@@ -42,7 +43,7 @@ def dashboard(
     gaps = rollups.monthly_gap(rows)
     map_rows = cube if map_year is None else cube.where(F.col("tahun") == map_year)
     regional = rollups.regional_summary(global_filter(map_rows, nama_komoditas=map_commodity), bands)
-    centres = cube.sparkSession.createDataFrame(REGION_CENTRES, "nama_provinsi string, lat double, lon double")
+    centres = literal_table(cube.sparkSession, ["nama_provinsi", "lat", "lon"], REGION_CENTRES)
     suppliers = rows if supply_regions is None else rows.where(F.col("nama_provinsi").isin(*supply_regions))
     supply = rollups.supply_concentration(suppliers)
     series = stage(

@@ -8,9 +8,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(app_name: str = "lumbung", **conf: str) -> SparkSession:
-    """A session with the settings every job here assumes; ``conf`` adds or overrides."""
+GIB = 1 << 30
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Partition settings for an input of this size.
+
+    Adaptive execution only merges shuffle partitions, so there must be enough of them to start
+    with: one per GiB of input, between 200 and 20 000. From 10 TiB on scan tasks read 1 GiB each,
+    which keeps the number of map outputs per reducer manageable.
+    """
+    partitions = min(20_000, max(200, -(-input_bytes // GIB)))
+    settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    if input_bytes >= 10 * 1024 * GIB:
+        settings["spark.sql.files.maxPartitionBytes"] = str(GIB)
+    return settings
+
+
+def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with the settings every job here assumes; ``conf`` adds or overrides.
+
+    ``input_bytes``, the size of the largest table, sets the partition numbers.
+    """
     settings = {
+        **(sizing(input_bytes) if input_bytes else {}),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +38,15 @@ def read_jdbc(
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop_path)
-
-
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet folder, else a single file, with lower-case column names."""
     for path in (f"{folder}/{name}", f"{folder}/{name}.parquet"):
-        if path_exists(spark, path):
+        try:
             df = spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
             return df.toDF(*[c.lower() for c in df.columns])
     raise TableNotFound(f"no Parquet data at {folder}/{name} or {folder}/{name}.parquet")
 

@@ -82,8 +82,10 @@ def test_totals_and_blank_names_are_not_regions(spark):
 
 def test_canonical_names_keep_unknown_spellings(spark):
     df = spark.createDataFrame([(" jatim ",), ("KEP. BANGKA BELITUNG",), ("West Papua",), ("Atlantis",), (None,)], "p string")
-    got = [r.p for r in cleaning.canonical_names(df, "p", REGION_ALIASES).collect()]
-    assert got == ["Jawa Timur", "Bangka Belitung", "Papua Barat", "Atlantis", None]
+    out = cleaning.canonical_names(df, "p", REGION_ALIASES)
+    assert {r.p for r in out.collect()} == {"Jawa Timur", "Bangka Belitung", "Papua Barat", "Atlantis", None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_fixed_tables_agree():

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbung.operators import conform, measures, ranking, reshape, rollups
-from lumbung.session import stage_path
+from lumbung.session import sizing, stage_path
 from lumbung.sources import indicators, readers, sinks
 from lumbung.sources.fixed_values import REGION_ALIASES
+from lumbung.sources.literals import literal_table
 
 
 def payload(status="OK", label="Populasi Sapi Potong (ekor)", rows=()):
@@ -150,3 +151,15 @@ def test_one_per_key_is_deterministic(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 2), (1, "c", 9), (2, "x", 1)], "k int, v string, o int")
     got = {(r.k, r.v) for r in reshape.one_per_key(df, ["k"], [F.col("o"), F.col("v")]).collect()}
     assert got == {(1, "a"), (2, "x")}
+
+
+def test_session_sizing():
+    small, large = sizing(1 << 30), sizing(100 << 40)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert small == {key: "200"}
+    assert large == {key: "20000", "spark.sql.files.maxPartitionBytes": str(1 << 30)}
+
+
+def test_literal_table_quotes_text(spark):
+    rows = [("it's", 1, 2.5), ("a\\b", None, None)]
+    assert [tuple(r) for r in literal_table(spark, ["s", "i", "d"], rows).collect()] == rows
