@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lumbung.operators.quantiles import exact_median
+from lumbung.operators.quantiles import exact_median, grouped_quantiles
 from lumbung.session import stage
 
 
@@ -43,9 +43,9 @@ def fill_price_gaps(
 ) -> DataFrame:
     """Own price, else the latest earlier one, else the median of the commodity.
 
-    For monthly rows, one per region and commodity. The input is read three times: stage it.
+    For monthly rows, one per region and commodity. The input is read twice: stage it.
     """
-    medians = exact_median(df, [commodity], F.col(value), "_median", staged=False)
+    medians = grouped_quantiles(df, [commodity], value, {"_median": 0.5})
     earlier = last_known(value, [region, commodity], ["tahun", "bulan"])
     filled = df.withColumn("_earlier", earlier).join(medians, commodity, "left")
     return filled.withColumn(value, F.coalesce(value, "_earlier", "_median")).select(*df.columns)

@@ -1,99 +1,146 @@
-"""Exact quantiles per group that no single task has to hold a whole group for."""
+"""Exact quantiles per group, for small groups and for groups of any size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.session import stage
 
-ACCURACY = 10_000
+ACCURACY = 1_000
+MARGIN = 3.0 / ACCURACY
+CELLS = 1_000
+
+
+def grouped_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], method: str = "disc",
+) -> DataFrame:
+    """Quantiles of monthly rows by Spark's own aggregates.
+
+    These keep the distinct values of a group in one task. That is right for the fact table and
+    the cube, whose groups hold at most regions times months; use ``exact_quantiles`` for detail.
+    """
+    picks = [
+        F.expr(f"percentile_{method}({p}D) WITHIN GROUP (ORDER BY {value}) AS {name}") for name, p in quantiles.items()
+    ]
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(*picks)
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, quantiles: dict[str, float], method: str = "disc",
-    staged: bool = True,
+    df: DataFrame, keys: Sequence[str], value: Column, quantiles: Mapping[str, float], method: str = "disc",
 ) -> DataFrame:
-    """One row per group with the named exact quantiles of the non-null values.
+    """One row per group with the named exact quantiles of the non-null values of detail rows.
 
     ``disc`` takes the first value whose cumulative share reaches the quantile, ``cont``
-    interpolates between neighbours.
+    interpolates between neighbours. The input is read twice.
 
-    Spark's ``percentile`` keeps all distinct values of a group in one task. Here a mergeable
-    sketch first brackets each quantile (its rank error is at most n / ACCURACY, the bracket is
-    three times as wide on both sides). A second pass counts the values outside the brackets
-    inside each task and shuffles only distinct values within them, which is enough to find the
-    exact rank. Groups of up to ACCURACY rows are kept whole.
+    1. A mergeable sketch brackets each quantile. Its rank error is at most n / ACCURACY and the
+       bracket is three times as wide on both sides. Groups of up to ACCURACY rows are kept whole.
+    2. Values outside the brackets are only counted, inside each task; values within are counted
+       per value, hashed by group and value. This is staged.
+    3. Cells of a bracket are ranked by their counts, which finds the cell of each wanted rank.
+    4. Only the values of those cells are ranked one by one.
 
-    The brackets are staged, so that their size decides on a broadcast. With ``staged=False``
-    the result is one lazy plan, for tables that are small anyway.
+    So no task holds a whole group, however large the group is.
     """
-    keys = list(keys)
-    margin = 3.0 / ACCURACY
-    lows = [max(p - margin, 0.0) for p in quantiles.values()]
-    highs = [min(p + margin, 1.0) for p in quantiles.values()]
+    keys, quantiles = list(keys), dict(sorted(quantiles.items(), key=lambda item: item[1]))
     rows = df.select(*keys, value.cast("double").alias("_v")).where("_v IS NOT NULL")
+    joined = _with_brackets(rows, keys, list(quantiles.values()))
+
+    # Place of a value: the first bracket that holds it, else behind the last that ends below it.
+    n = range(len(quantiles))
+    held = " ".join(f"WHEN _v BETWEEN _lo{i} AND _hi{i} THEN {i}" for i in n)
+    behind = " ".join(f"WHEN _hi{i} < _v THEN {i}" for i in reversed(n))
+    cell = " ".join(
+        f"WHEN {i} THEN CAST(coalesce(floor(try_divide(_v - _lo{i}, _hi{i} - _lo{i}) * {CELLS}), 0) AS int)" for i in n
+    )
+    counted = joined.withColumn("_held", F.expr(f"CASE {held} END")).selectExpr(
+        *keys,
+        f"coalesce(_held, CASE {behind} ELSE -1 END) AS _place",
+        f"CASE _held {cell} ELSE {CELLS + 1} END AS _cell",
+        "_held IS NULL AS _gap",
+        "if(_held IS NULL, NULL, _v) AS _m",
+    )
+    counted = counted.groupBy(*keys, "_place", "_cell", "_gap", "_m").agg(F.expr("count(*) AS _c"))
+    counted = stage(counted, "quantile-counts")
+
+    group = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    cells = counted.groupBy(*keys, "_place", "_cell").agg(F.expr("sum(_c) AS _c")).selectExpr(
+        "*", f"sum(_c) OVER ({group}) AS _n", f"sum(_c) OVER ({group}ORDER BY _place, _cell ROWS UNBOUNDED PRECEDING) AS _upto"
+    )
+    ranks = sorted({r for p in quantiles.values() for r in _ranks(p, method)})
+    wanted = " OR ".join(f"({r} > _upto - _c AND {r} <= _upto)" for r in ranks)
+    cells = cells.where(wanted).selectExpr(*keys, "_place", "_cell", "_n", "_upto - _c AS _before")
+
+    outside = "raise_error('a quantile lies outside its bracket')"
+    within = f"PARTITION BY {', '.join([*keys, '_place', '_cell'])}"
+    same = " AND ".join(f"f.{k} <=> c.{k}" for k in [*keys, "_place", "_cell"])
+    fine = counted.alias("f").join(cells.alias("c"), F.expr(same)).selectExpr(
+        *[f"f.{k} AS {k}" for k in keys], "f._place", "f._cell", "_n", "_before", "_c", f"if(_gap, {outside}, _m) AS _m"
+    )
+    fine = fine.selectExpr("*", f"_before + sum(_c) OVER ({within} ORDER BY _m ROWS UNBOUNDED PRECEDING) AS _upto")
+    picks = [F.expr(f"{_pick(p, method)} AS {name}") for name, p in quantiles.items()]
+    return fine.groupBy(*keys).agg(*picks)
 
+
+def _with_brackets(rows: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
+    lows = [max(p - MARGIN, 0.0) for p in probabilities]
+    highs = [min(p + MARGIN, 1.0) for p in probabilities]
     ends = ", ".join(f"{p}D" for p in lows + highs)
     bounds = rows.groupBy(*keys).agg(
         F.expr(f"percentile_approx(_v, array({ends}), {ACCURACY}) AS _q"),
         F.expr(f"count(*) <= {ACCURACY} AS _whole"), F.expr("min(_v) AS _min"), F.expr("max(_v) AS _max"),
     )
-    brackets = ", ".join(
-        f"named_struct('lo', if(_whole OR {lo}D <= 0, _min, _q[{i}]), 'hi', if(_whole OR {hi}D >= 1, _max, _q[{len(lows) + i}]))"
-        for i, (lo, hi) in enumerate(zip(lows, highs))
-    )
-    bounds = bounds.selectExpr(*keys, f"array({brackets}) AS _b")
-    if staged:
-        bounds = stage(bounds, "quantile-bounds")
+    ends = []
+    for i, (lo, hi) in enumerate(zip(lows, highs)):
+        ends.append(f"if(_whole OR {lo}D <= 0, _min, _q[{i}]) AS _lo{i}")
+        ends.append(f"if(_whole OR {hi}D >= 1, _max, _q[{len(lows) + i}]) AS _hi{i}")
+    # Staged, so that the size of the table decides whether it is broadcast to the rows.
+    bounds = stage(bounds.selectExpr(*keys, *ends), "quantile-bounds")
+    if not keys:
+        return rows.withColumn("_b", bounds.select(F.struct("*")).scalar()).select("_v", "_b.*")
+    side = bounds.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return rows.join(side, F.expr(" AND ".join(f"{k} <=> _k_{k}" for k in keys)))
 
-    if keys:
-        side = bounds.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-        joined = rows.join(side, F.expr(" AND ".join(f"{k} <=> _k_{k}" for k in keys)))
-    else:
-        joined = rows.withColumn("_b", bounds.select("_b").scalar())
-    # A value between brackets only counts: it is replaced by the bracket end below it.
-    kept = "exists(_b, b -> _v BETWEEN b.lo AND b.hi)"
-    below = "array_max(transform(_b, b -> if(b.hi < _v, b.hi, NULL)))"
-    counted = joined.selectExpr(*keys, f"if({kept}, _v, {below}) AS _m", f"NOT {kept} AS _gap")
-    counted = counted.groupBy(*keys, "_m", "_gap").agg(F.expr("count(*) AS _c"))
-    group = f"PARTITION BY {', '.join(keys)} " if keys else ""
-    ranked = counted.selectExpr(
-        *keys, "_m",
-        f"sum(_c) OVER ({group}ORDER BY _m NULLS FIRST, _gap ROWS UNBOUNDED PRECEDING) AS _upto",
-        f"sum(_c) OVER ({group}) AS _n",
-    )
 
-    def at_rank(rank: str) -> str:
-        return f"min(if(_upto >= {rank}, _m, NULL))"
+def _ranks(p: float, method: str) -> tuple[str, ...]:
+    if method == "disc":
+        return (f"greatest(1, ceil(_n * {p}D))",)
+    return f"floor((_n - 1) * {p}D) + 1", f"ceil((_n - 1) * {p}D) + 1"
 
-    def pick(p: float) -> str:
-        if method == "disc":
-            return at_rank(f"greatest(1, ceil(_n * {p}D))")
-        place = f"((_n - 1) * {p}D)"
-        low, high = at_rank(f"floor({place}) + 1"), at_rank(f"ceil({place}) + 1")
-        return f"{low} + ({high} - {low}) * max({place} - floor({place}))"
 
-    return ranked.groupBy(*keys).agg(*[F.expr(f"{pick(p)} AS {name}") for name, p in quantiles.items()])
+def _pick(p: float, method: str) -> str:
+    at = [f"min(if(_upto >= {rank}, _m, NULL))" for rank in _ranks(p, method)]
+    if method == "disc":
+        return at[0]
+    share = f"max((_n - 1) * {p}D - floor((_n - 1) * {p}D))"
+    return f"{at[0]} + ({at[1]} - {at[0]}) * {share}"
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, staged: bool = True) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
     """The discrete median: always one of the group's own values."""
-    return exact_quantiles(df, keys, value, {name: 0.5}, staged=staged)
+    return exact_quantiles(df, keys, value, {name: 0.5})
+
 
+BOX = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str, staged: bool = True) -> DataFrame:
-    """Box-plot rows: quartiles, Tukey fences, whisker ends and the number of outliers."""
+
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str, detail: bool = False) -> DataFrame:
+    """Box-plot rows: quartiles, Tukey fences, whisker ends and the number of outliers.
+
+    Set ``detail`` for rows finer than the cube's.
+    """
     keys = list(keys)
-    box = exact_quantiles(
-        df, keys, F.col(value), {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}, "cont", staged
-    )
-    box = (stage(box, "box") if staged else box).withColumns(
+    if detail:
+        box = stage(exact_quantiles(df, keys, F.col(value), BOX, "cont"), "box")
+    else:
+        box = grouped_quantiles(df, keys, value, BOX, "cont")
+    box = box.withColumns(
         {
-            "lower_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-            "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
+            "lower_fence": F.expr("q1 - 1.5D * (q3 - q1)"),
+            "upper_fence": F.expr("q3 + 1.5D * (q3 - q1)"),
         }
     )
     v = F.col(value)

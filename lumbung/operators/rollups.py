@@ -20,12 +20,13 @@ def mean_by(cube: DataFrame, keys: Sequence[str], value: str = RISK, name: str =
 
 
 def index_statistics(fact: DataFrame) -> DataFrame:
-    """One row: least, greatest, mean and sample deviation of the index, six decimals."""
+    """One row: least, greatest, mean, sample deviation and median of the index, six decimals."""
     return fact.agg(
         *[
             stable_round(f(RISK), 6).alias(name)
             for name, f in (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))
-        ]
+        ],
+        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {RISK}) AS median"),
     )
 
 

@@ -62,7 +62,7 @@ def dashboard(
         "risk_heatmap": reshape.heatmap(rows, "nama_provinsi", _period(), rollups.RISK, periods),
         "correlation": correlation.price_outbreak_correlation(cube),
         "price_scatter": rollups.price_scatter(rows),
-        "price_box_quarter": quantiles.five_numbers(rows, ["kuartal", "nama_komoditas"], "avg_harga", staged=False),
+        "price_box_quarter": quantiles.five_numbers(rows, ["kuartal", "nama_komoditas"], "avg_harga"),
         "lag_scan": correlation.labelled_scan(scan),
         "lag_peak": correlation.peak_lag(scan),
         "lag_overlay": correlation.overlay(series, scan),
@@ -78,7 +78,7 @@ def dashboard(
         "treemap": supply.select("nama_provinsi", "sum_vol", "pct"),
         "vulnerable": rollups.vulnerable(supply),
         "price_box_period": quantiles.five_numbers(
-            rows.withColumn("periode", _period()), ["periode", "nama_komoditas"], "avg_harga", staged=False
+            rows.withColumn("periode", _period()), ["periode", "nama_komoditas"], "avg_harga"
         ),
         "price_variation": rollups.price_variation(rows),
         "price_heatmap": reshape.heatmap(prices, "nama_provinsi", _period(), "avg_harga", periods),
@@ -105,7 +105,7 @@ def notebook(
             F.col("disease_density_2dp").alias("disease_density"),
         ),
         "pareto": ranking.top_suppliers(supply, 10).withColumn("status", risk.above("risk", 0.3)),
-        "price_box_month": quantiles.five_numbers(cube, ["bulan", "nama_komoditas"], "avg_harga", staged=False),
+        "price_box_month": quantiles.five_numbers(cube, ["bulan", "nama_komoditas"], "avg_harga"),
         "summary": rollups.executive_summary(cube, danger=0.5),
         "top_suppliers": ranking.top_suppliers(supply, 3),
     }

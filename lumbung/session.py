@@ -56,9 +56,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="lumbung-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lumbung-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def _stage_root(spark: SparkSession) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumbung.operators import measures, quality, ranking, rollups
 from lumbung.operators.imputation import fill_price_gaps
 from lumbung.operators.index import with_components
-from lumbung.operators.quantiles import exact_median, exact_quantiles
+from lumbung.operators.quantiles import exact_median, exact_quantiles, grouped_quantiles
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
 from lumbung.session import stage
@@ -76,8 +76,8 @@ def group_means(t: Source) -> DataFrame:
 @query("e7_commodity_median", f"""WITH {INTEGRATED}
 SELECT id_komoditas, {r("quantile_disc(avg_harga, 0.5)", 4)} AS global_median_harga FROM integrated WHERE avg_harga IS NOT NULL GROUP BY 1""")
 def commodity_median(t: Source) -> DataFrame:
-    monthly = stage(standin.monthly(standin.flow(t)), "monthly")
-    return tidy(exact_median(monthly, ["id_komoditas"], F.col("avg_harga"), "global_median_harga", staged=False), {"global_median_harga": 4})
+    monthly = standin.monthly(standin.flow(t))
+    return tidy(grouped_quantiles(monthly, ["id_komoditas"], "avg_harga", {"global_median_harga": 0.5}), {"global_median_harga": 4})
 
 
 RAW = ("raw_price_gap", "raw_health_impact", "raw_supply_strain")
@@ -95,9 +95,7 @@ def global_min_max(t: Source) -> DataFrame:
 SELECT {r("min(supply_risk_index)", 6)} AS min, {r("max(supply_risk_index)", 6)} AS max, {r("avg(supply_risk_index)", 6)} AS mean,
        {r("stddev_samp(supply_risk_index)", 6)} AS std, quantile_disc(supply_risk_index, 0.5) AS median FROM fact""")
 def index_statistics(t: Source) -> DataFrame:
-    fact = stage(standin.warehouse(t)["fact_supply_resilience"].select("supply_risk_index"), "index")
-    median = exact_median(fact, [], F.col("supply_risk_index"), "median", staged=False).scalar()
-    return rollups.index_statistics(fact).withColumn("median", median)
+    return rollups.index_statistics(standin.warehouse(t)["fact_supply_resilience"])
 
 
 @query("e10_load_summary", f"""WITH {FACT}

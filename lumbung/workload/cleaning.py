@@ -31,7 +31,7 @@ def local_numbers(t: Source) -> DataFrame:
 
 
 @query("c2_typed_projection", f"""
-SELECT l_returnflag, count(*) AS n, count(k) AS n_key, sum(k) AS sum_key, {r("sum(q)", 2)} AS qty FROM (
+SELECT l_returnflag, count(*) AS n, count(k) AS n_key, CAST(sum(k) AS BIGINT) AS sum_key, {r("sum(q)", 2)} AS qty FROM (
   SELECT l_returnflag, CASE WHEN l_orderkey % 20 <> 0 THEN l_linenumber END AS k,
          CASE WHEN l_orderkey % 30 <> 0 THEN l_quantity END AS q FROM lineitem) GROUP BY l_returnflag""")
 def typed_projection(t: Source) -> DataFrame:
@@ -46,7 +46,7 @@ def typed_projection(t: Source) -> DataFrame:
 
 
 @query("c3_event_dates", """
-SELECT tanggal_tahun, tanggal_bulan, count(*) AS n FROM (
+SELECT CAST(tanggal_tahun AS INTEGER) AS tanggal_tahun, CAST(tanggal_bulan AS INTEGER) AS tanggal_bulan, count(*) AS n FROM (
   SELECT CASE WHEN l_orderkey % 20 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN 2000 + year(l_shipdate) % 100
               ELSE year(l_shipdate) END AS tanggal_tahun,
          CASE WHEN l_orderkey % 20 <> 0 THEN month(l_shipdate) END AS tanggal_bulan FROM lineitem)

@@ -24,7 +24,7 @@ def union_by_name(t: Source) -> DataFrame:
 
 
 @query("h2_bind_rows", """
-SELECT year(l_shipdate) AS tahun, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY 1""")
+SELECT CAST(year(l_shipdate) AS INTEGER) AS tahun, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY 1""")
 def bind_rows(t: Source) -> DataFrame:
     rows = t("lineitem").selectExpr("year(l_shipdate) AS tahun", "l_quantity")
     slices = [rows.where("tahun < 1998"), rows.where("tahun = 1998"), rows.where("tahun > 1998")]
@@ -39,7 +39,7 @@ def distinct(t: Source) -> DataFrame:
 
 
 @query("h4_one_per_key", """
-SELECT o_custkey, tahun, o_orderkey, o_totalprice FROM (
+SELECT o_custkey, CAST(tahun AS INTEGER) AS tahun, o_orderkey, o_totalprice FROM (
   SELECT o_custkey, year(o_orderdate) AS tahun, o_orderkey, o_totalprice,
          row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
 def one_per_key(t: Source) -> DataFrame:

@@ -124,22 +124,22 @@ BOX_SELECT = "n, n_outliers, " + ", ".join(f"{r(c, 4)} AS {c}" for c in BOX)
 @query("k7_box_by_quarter", f"""WITH {CUBE}, {box_sql("cube", "kuartal, nama_komoditas", "avg_harga")}
 SELECT kuartal, nama_komoditas, {BOX_SELECT} FROM boxes""")
 def box_by_quarter(t: Source) -> DataFrame:
-    return tidy(five_numbers(standin.cube(t, staged=True), ["kuartal", "nama_komoditas"], "avg_harga", staged=False), dict.fromkeys(BOX, 4))
+    return tidy(five_numbers(standin.cube(t, staged=True), ["kuartal", "nama_komoditas"], "avg_harga"), dict.fromkeys(BOX, 4))
 
 
 @query("k7_box_by_month", f"""WITH {CUBE}, {box_sql("cube", "bulan, nama_komoditas", "avg_harga")}
 SELECT bulan, nama_komoditas, {BOX_SELECT} FROM boxes""")
 def box_by_month(t: Source) -> DataFrame:
-    return tidy(five_numbers(standin.cube(t, staged=True), ["bulan", "nama_komoditas"], "avg_harga", staged=False), dict.fromkeys(BOX, 4))
+    return tidy(five_numbers(standin.cube(t, staged=True), ["bulan", "nama_komoditas"], "avg_harga"), dict.fromkeys(BOX, 4))
 
 
 @query("k7_box_by_period", f"""WITH {CUBE}, {box_sql("cube", "tahun, bulan, nama_komoditas", "avg_harga")}
 SELECT tahun, bulan, nama_komoditas, {BOX_SELECT} FROM boxes""")
 def box_by_period(t: Source) -> DataFrame:
-    return tidy(five_numbers(standin.cube(t, staged=True), ["tahun", "bulan", "nama_komoditas"], "avg_harga", staged=False), dict.fromkeys(BOX, 4))
+    return tidy(five_numbers(standin.cube(t, staged=True), ["tahun", "bulan", "nama_komoditas"], "avg_harga"), dict.fromkeys(BOX, 4))
 
 
 @query("k7_box_of_lines", f"""WITH {box_sql("lineitem", "l_returnflag", "l_extendedprice")}
 SELECT l_returnflag, {BOX_SELECT} FROM boxes""")
 def box_of_lines(t: Source) -> DataFrame:
-    return tidy(five_numbers(t("lineitem"), ["l_returnflag"], "l_extendedprice"), dict.fromkeys(BOX, 4))
+    return tidy(five_numbers(t("lineitem"), ["l_returnflag"], "l_extendedprice", detail=True), dict.fromkeys(BOX, 4))

@@ -60,6 +60,15 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     )
 
 
+SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_notes(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """Columns whose types differ; the values may still be the same."""
+    oracle = {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c}: {t} / {oracle.get(c)}" for c, t in df.dtypes if SAME_TYPE.get(t, t) != oracle.get(c)]
+
+
 def main() -> int:
     from lumbung import workload
     from lumbung.session import get_session
@@ -73,13 +82,15 @@ def main() -> int:
     for name, run in workload.QUERIES.items():
         if args and not any(a in name for a in args):
             continue
-        start = time.time()
+        start, notes = time.time(), []
         try:
-            problem = difference(run(spark, folder), con, workload.ORACLES[name])
+            df = run(spark, folder)
+            problem = difference(df, con, workload.ORACLES[name])
+            notes = type_notes(df, con, workload.ORACLES[name])
         except Exception as error:  # keep going: one report for all queries
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
-        print(f"{'ok  ' if problem is None else 'BAD '} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'ok  ' if problem is None else 'BAD '} {name} {time.time() - start:.1f}s {problem or ''} {notes or ''}", flush=True)
     print(f"{bad} bad")
     return bad
 

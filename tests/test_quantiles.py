@@ -31,11 +31,15 @@ def frame(spark):
 
 
 @pytest.mark.parametrize("method", ["disc", "cont"])
-@pytest.mark.parametrize("staged", [True, False])
-def test_against_sorting(frame, method, staged):
+@pytest.mark.parametrize("small", [True, False])
+def test_against_sorting(frame, method, small):
     pdf, df = frame
-    wanted = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q9": 0.999, "q4": 1.0}
-    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], F.col("v"), wanted, method, staged).collect()}
+    wanted = {"q2": 0.5, "q0": 0.0, "q1": 0.25, "q3": 0.75, "q9": 0.999, "q5": 0.5005, "q4": 1.0}
+    if small:
+        out = quantiles.grouped_quantiles(df, ["k"], "v", wanted, method)
+    else:
+        out = quantiles.exact_quantiles(df, ["k"], F.col("v"), wanted, method)
+    got = {r.k: r for r in out.collect()}
     assert set(got) == {"hot", "steps", "constant", "small", "one", "two"}
     for k, group in pdf.dropna().groupby("k"):
         for name, p in wanted.items():
@@ -48,18 +52,36 @@ def test_without_groups(frame):
     assert got == brute(pdf.v.dropna(), 0.5, "disc")
 
 
-def test_hot_group_reaches_the_window_as_few_rows(frame):
-    """Values outside the brackets are only counted: the window sees a small part of a large group."""
+def test_few_rows_of_a_hot_group_are_ranked(frame, monkeypatch):
+    """Values outside the brackets are only counted, those inside are a small part of the group."""
     _, df = frame
-    plan = quantiles.exact_median(df, ["k"], F.col("v"), "m", staged=False)
-    assert "percentile_approx" in plan._jdf.queryExecution().optimizedPlan().toString()
+    staged = {}
+    real = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda d, name: staged.setdefault(name, real(d, name)))
+    quantiles.exact_median(df, ["k"], F.col("v"), "m").collect()
+    counts = staged["quantile-counts"].where("k = 'hot'")
+    assert counts.agg(F.sum("_c")).first()[0] == 60_000
+    assert counts.count() < 0.01 * 60_000
+    largest = counts.groupBy("_place", "_cell").count().agg(F.max("count")).first()[0]
+    assert largest < 30
+
+
+def test_values_of_either_sign_and_null_keys(spark):
+    rng = random.Random(3)
+    rows = [(None if i % 3 else "a", rng.gauss(0, 5)) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.lo, r.m) for r in quantiles.exact_quantiles(df, ["k"], F.col("v"), {"m": 0.5, "lo": 0.01}).collect()}
+    for k in (None, "a"):
+        group = [v for key, v in rows if key == k]
+        assert got[k] == (brute(group, 0.01, "disc"), brute(group, 0.5, "disc"))
 
 
 def test_five_numbers(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (1, 2, 3, 4, 5, 100)] + [("a", None)], "k string, v double")
-    row = quantiles.five_numbers(df, ["k"], "v").first()
-    assert (row.q0, row.q1, row.q2, row.q3, row.q4) == (1.0, 2.25, 3.5, 4.75, 100.0)
-    assert (row.n, row.n_outliers, row.lower_whisker, row.upper_whisker) == (6, 1, 1.0, 5.0)
+    for detail in (False, True):
+        row = quantiles.five_numbers(df, ["k"], "v", detail).first()
+        assert (row.q0, row.q1, row.q2, row.q3, row.q4) == (1.0, 2.25, 3.5, 4.75, 100.0)
+        assert (row.n, row.n_outliers, row.lower_whisker, row.upper_whisker) == (6, 1, 1.0, 5.0)
 
 
 def test_median_fill_changes_only_nulls(frame):
