@@ -11,12 +11,14 @@ def local_number(c: Column) -> Column:
     return F.translate(c.cast("string"), ",.", ".").try_cast("double")
 
 
-def stable_round(c: Column, digits: int) -> Column:
-    """Half-up rounding that ignores summation-order noise.
+def stable_round(c: Column | str, digits: int) -> Column:
+    """Half-up rounding, of a column or a SQL expression, that ignores summation-order noise.
 
     Sums of doubles depend on the order in which partitions arrive. Rounding to six spare digits
     first makes a tie such as x.xx5 round the same way on every run and partitioning.
     """
+    if isinstance(c, str):
+        return F.expr(f"round(round({c}, {digits + 6}), {digits})")
     return F.round(F.round(c, digits + 6), digits)
 
 

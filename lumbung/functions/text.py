@@ -49,14 +49,10 @@ def label_by_content(c: Column, labels: Mapping[str, str]) -> Column:
     return out.otherwise(c)
 
 
-def code_by_name(c: Column, codes: Mapping[str, int]) -> Column:
+def code_by_name(column: str, codes: Mapping[str, int]) -> Column:
     """Integer code of an exact name (any case); 0 for every other or missing name."""
-    lowered = F.lower(c)
-    out = None
-    for name, code in codes.items():
-        test = lowered == F.lit(name.lower())
-        out = F.when(test, F.lit(code)) if out is None else out.when(test, F.lit(code))
-    return out.otherwise(F.lit(0))
+    cases = " ".join(f"WHEN '{name.lower()}' THEN {code}" for name, code in codes.items())
+    return F.expr(f"CASE lower({column}) {cases} ELSE 0 END")
 
 
 def split_label(c: Column, separator: str = "_", default: str = "TIDAK DIKETAHUI") -> tuple[Column, Column]:

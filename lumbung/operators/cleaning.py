@@ -93,7 +93,7 @@ ROUNDING = {
 
 def round_outputs(df: DataFrame) -> DataFrame:
     """Output precision of the fact table; inhabitants become whole numbers (truncated)."""
-    columns = {c: numeric.stable_round(F.col(c), d) for c, d in ROUNDING.items()}
+    columns = {c: numeric.stable_round(c, d) for c, d in ROUNDING.items()}
     return df.withColumns({**columns, "jumlah_penduduk": F.expr("CAST(jumlah_penduduk AS bigint)")})
 
 

@@ -10,11 +10,11 @@ from lumbung.operators.rollups import RISK
 
 
 def _risk(name: str) -> Column:
-    return stable_round(F.avg(RISK), 4).alias(name)
+    return stable_round(f"avg({RISK})", 4).alias(name)
 
 
 def _price() -> Column:
-    return stable_round(F.avg("avg_harga"), 0).alias("avg_harga")
+    return stable_round("avg(avg_harga)", 0).alias("avg_harga")
 
 
 def _sick() -> Column:

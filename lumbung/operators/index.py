@@ -39,4 +39,4 @@ def with_index(df: DataFrame, components: Sequence[str] = COMPONENTS) -> DataFra
     """Mean of the scaled components, six decimals."""
     scaled = min_max_scaled(df, {f"raw_{c}": f"scaled_{c}" for c in components})
     total = " + ".join(f"scaled_{c}" for c in components)
-    return scaled.withColumn("supply_risk_index", stable_round(F.expr(f"({total}) / {len(components)}D"), 6))
+    return scaled.withColumn("supply_risk_index", stable_round(f"({total}) / {len(components)}D", 6))

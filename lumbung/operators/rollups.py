@@ -23,8 +23,8 @@ def index_statistics(fact: DataFrame) -> DataFrame:
     """One row: least, greatest, mean, sample deviation and median of the index, six decimals."""
     return fact.agg(
         *[
-            stable_round(f(RISK), 6).alias(name)
-            for name, f in (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))
+            stable_round(f"{f}({RISK})", 6).alias(name)
+            for name, f in (("min", "min"), ("max", "max"), ("mean", "avg"), ("std", "stddev_samp"))
         ],
         F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {RISK}) AS median"),
     )
@@ -38,9 +38,9 @@ def load_summary(dim_prov: DataFrame, dim_komoditas: DataFrame, dim_waktu: DataF
 
     return fact.agg(
         F.count(F.lit(1)).alias("n_fact"),
-        stable_round(F.min(RISK), 6).alias("risk_min"),
-        stable_round(F.max(RISK), 6).alias("risk_max"),
-        stable_round(F.avg(RISK), 6).alias("risk_avg"),
+        stable_round(f"min({RISK})", 6).alias("risk_min"),
+        stable_round(f"max({RISK})", 6).alias("risk_max"),
+        stable_round(f"avg({RISK})", 6).alias("risk_avg"),
     ).select(
         size(dim_prov).alias("n_dim_prov"), size(dim_komoditas).alias("n_dim_komoditas"),
         size(dim_waktu).alias("n_dim_waktu"), "n_fact", "risk_min", "risk_max", "risk_avg",
@@ -82,8 +82,8 @@ def latest_rows(df: DataFrame, group: str, time: str) -> DataFrame:
 def latest_status(cube: DataFrame, bands: Bands = risk.DASHBOARD_BANDS) -> DataFrame:
     """State of every region in its latest month, riskiest first."""
     now = latest_rows(cube, "nama_provinsi", "waktu_key").groupBy("nama_provinsi").agg(
-        stable_round(F.avg(RISK), 4).alias("risk"),
-        stable_round(F.avg("avg_harga"), 0).alias("avg_harga"),
+        stable_round(f"avg({RISK})", 4).alias("risk"),
+        stable_round("avg(avg_harga)", 0).alias("avg_harga"),
         F.coalesce(F.sum("sum_jumlah_sakit"), F.lit(0.0)).alias("sakit"),
     )
     return now.withColumn("status", risk.band("risk", bands)).orderBy(F.desc("risk"), "nama_provinsi")
@@ -110,8 +110,8 @@ def gap_tiles(gaps: DataFrame) -> DataFrame:
     return gaps.agg(
         F.count_if(F.col("gap_ekor") > 0).alias("n_surplus"),
         F.count_if(F.col("gap_ekor") < 0).alias("n_defisit"),
-        stable_round(F.avg("gap_ekor"), 0).alias("avg_gap_ekor"),
-        stable_round(F.avg("gap_kg"), 0).alias("avg_gap_kg"),
+        stable_round("avg(gap_ekor)", 0).alias("avg_gap_ekor"),
+        stable_round("avg(gap_kg)", 0).alias("avg_gap_kg"),
     )
 
 
@@ -183,9 +183,9 @@ def vulnerable(concentration: DataFrame, share: float = 10.0, index: float = 0.3
     """Large and risky suppliers."""
     return concentration.where((F.col("pct") >= share) & (F.col("risk") >= index)).select(
         "nama_provinsi",
-        stable_round(F.col("sum_vol"), 0).alias("vol_supply"),
-        stable_round(F.col("pct"), 2).alias("pct_nasional"),
-        stable_round(F.col("risk"), 4).alias("avg_risk"),
+        stable_round("sum_vol", 0).alias("vol_supply"),
+        stable_round("pct", 2).alias("pct_nasional"),
+        stable_round("risk", 4).alias("avg_risk"),
     )
 
 

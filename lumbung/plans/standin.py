@@ -70,7 +70,7 @@ def lines(t: Source, *, month: bool = True, commodity: bool = True, origin: bool
     if commodity:
         part = t("part").select(
             F.expr("p_partkey AS l_partkey"), "p_type", "p_retailprice",
-            text.code_by_name(F.col("p_type"), CODES).alias("id_komoditas"),
+            text.code_by_name("p_type", CODES).alias("id_komoditas"),
         )
         df = df.join(part, "l_partkey")
     if month or destination:
@@ -132,14 +132,14 @@ def monthly(flows: DataFrame, hide: bool = True) -> DataFrame:
     return flows.where("id_asal IS NOT NULL").select(
         F.expr("id_asal AS id_wilayah"), "tahun", "bulan", "id_komoditas", F.expr("qty_sakit AS sum_jumlah_sakit"),
         F.expr("qty_mati AS sum_jumlah_mati"), F.expr("qty AS sum_vol_mutasi"),
-        stable_round(F.col("karkas"), 2).alias("sum_realisasi_karkas"), F.expr(f"{price} AS avg_harga"),
+        stable_round("karkas", 2).alias("sum_realisasi_karkas"), F.expr(f"{price} AS avg_harga"),
     )
 
 
 def demography(t: Source) -> DataFrame:
     """Inhabitants and growth per region."""
     return t("customer").groupBy(F.expr("c_nationkey AS id_wilayah")).agg(
-        F.expr("count(*) AS jumlah_penduduk"), stable_round(F.expr("avg(c_acctbal) / 10000"), 6).alias("growth_populasi")
+        F.expr("count(*) AS jumlah_penduduk"), stable_round("avg(c_acctbal) / 10000", 6).alias("growth_populasi")
     )
 
 
@@ -158,7 +158,7 @@ def annual(flows: DataFrame, hide: bool = True) -> DataFrame:
         "if(id_asal IS NOT NULL, dasar, NULL) AS d", "if(id_asal IS NULL, qty, NULL) AS w", "if(id_asal IS NULL, n, NULL) AS m",
     )
     return sides.groupBy("id_wilayah", "tahun", "id_komoditas").agg(
-        F.expr(f"{herd} AS populasi"), stable_round(F.expr("sum(k) / 1000"), 3).alias("produksi_daging"),
+        F.expr(f"{herd} AS populasi"), stable_round("sum(k) / 1000", 3).alias("produksi_daging"),
         F.expr("try_divide(sum(w), sum(m)) AS konsumsi_daging"), F.expr(f"{demand} AS permintaan_daging"),
         F.expr("CAST(sum(c) AS double) AS jumlah_ternak_potong"), F.expr("try_divide(sum(d), sum(c)) AS harga_baseline"),
     )

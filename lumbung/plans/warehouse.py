@@ -53,7 +53,7 @@ def _annual_sources(staging: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _event_sums(staging: Mapping[str, DataFrame]) -> list[DataFrame]:
-    animals = staging["ref_hewan"].select("id_hewan", text.code_by_name(F.col("nama_hewan"), ANIMAL_CODES).alias("id_komoditas"))
+    animals = staging["ref_hewan"].select("id_hewan", text.code_by_name("nama_hewan", ANIMAL_CODES).alias("id_komoditas"))
     reports = cleaning.clean_events(
         staging["tr_laporan_sakit"], "tgl_lapor",
         {"id_wilayah": "int", "jumlah_gejala": "double", "jumlah_mati": "double"},
@@ -124,7 +124,7 @@ def build_warehouse(
     label = "nama_komoditas" if "nama_komoditas" in prices.columns else "jenis_daging"
     prices = cleaning.clean_prices(prices, REGION_ALIASES, label_column=label)
     prices = imputation.fill_with_median(prices, ["provinsi", "nama_komoditas", "bulan"], "harga")
-    price = measures.monthly_price(prices, dim_prov, text.code_by_name(F.col("nama_komoditas"), ANIMAL_CODES))
+    price = measures.monthly_price(prices, dim_prov, text.code_by_name("nama_komoditas", ANIMAL_CODES))
     monthly = cleaning.keep_known(measures.merge_measures([*sums, price]), "id_komoditas", [1, 2])
 
     bounds = master.select(F.lit(years[0]).alias("first"), F.lit(years[1]).alias("last")).limit(1) if years else (

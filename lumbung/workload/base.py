@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 def tidy(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """Round result columns, so that summation order does not show."""
-    return df.withColumns({c: stable_round(F.col(c), d) for c, d in digits.items()})
+    return df.withColumns({c: stable_round(f"`{c}`", d) for c, d in digits.items()})
 
 
 def n() -> Column:

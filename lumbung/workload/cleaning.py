@@ -87,7 +87,7 @@ def label_by_content(t: Source) -> DataFrame:
 SELECT CASE p_type WHEN 'SMALL' THEN 1 WHEN 'LARGE' THEN 2 ELSE 0 END AS kode, count(*) AS n,
        CAST(sum(l_linenumber) AS BIGINT) AS s FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def code_by_name(t: Source) -> DataFrame:
-    part = t("part").select("p_partkey", text.code_by_name(F.col("p_type"), {"Small": 1, "large": 2}).alias("kode"))
+    part = t("part").select("p_partkey", text.code_by_name("p_type", {"Small": 1, "large": 2}).alias("kode"))
     rows = t("lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_linenumber").join(part, "p_partkey")
     return rows.groupBy("kode").agg(n(), F.sum("l_linenumber").alias("s"))
 

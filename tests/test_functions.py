@@ -61,7 +61,7 @@ def test_label_and_code(spark):
     labels = values(df, "v", lambda c: text.label_by_content(c, {"sapi": "Sapi", "ayam": "Ayam"}))
     assert labels == ["Sapi", "Ayam", "Kambing", None]
     df = spark.createDataFrame([("SAPI",), ("ayam",), ("sapi potong",), (None,)], "v string")
-    assert values(df, "v", lambda c: text.code_by_name(c, {"sapi": 1, "ayam": 2})) == [1, 2, 0, 0]
+    assert values(df, "v", lambda c: text.code_by_name("v", {"sapi": 1, "ayam": 2})) == [1, 2, 0, 0]
 
 
 def test_split_label(spark):
