@@ -37,8 +37,6 @@ def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Join partitions that turn out this small are hashed instead of sorted.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.enabled": "false",
         **conf,
     }
