@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumbung.llm import mixing, simhash, spaced, suffix, weak
 from lumbung.llm.targets import TARGETS
@@ -20,8 +21,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose every string of 100 bytes that also starts earlier; all documents go on."""
-    return suffix.without_repeats(docs, length=100)
+    """Texts lose every string of 100 bytes that also starts earlier; all documents go on, with their new length."""
+    cut = suffix.without_repeats(docs, length=100)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

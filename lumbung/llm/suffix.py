@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.llm.arrow import TEXT, arrow_fields, fresh, map_arrow
+from lumbung.llm.arrow import TEXT, arrow_fields, map_arrow
 from lumbung.session import stage
 
 GRAM = 24
@@ -400,12 +400,9 @@ def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float
     return np.array([r[0] for r in rows], np.int64).view(np.uint64)
 
 
-def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
-    """Keyed texts (row, __text and the columns of ``docs``) and the repeated spans (row, spans) of them."""
-    row = fresh(docs, "__row")
-    base = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(TEXT, F.col(text_col).cast("string").cast("binary"))
-    doc = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
-    keyed = base.select(doc.alias("doc"), F.col(row).alias("row"), F.col(TEXT))
+def repeats(base: DataFrame, length: int) -> DataFrame:
+    """(row, spans) of the repeated strings of ``base`` (doc, row, __text)."""
+    keyed = base.select("doc", "row", TEXT)
     size = keyed.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
     hot = hot_anchors(keyed, length)
     found = find_pieces(keyed, length, hot, max(1, -(-size // SHARD)))
@@ -416,8 +413,16 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[D
     body = F.substring(F.col(TEXT), F.col("w.start") + 1, F.col("w.stop") - F.col("w.start"))
     pieces = texts.select("w.h", "doc", "row", "w.start", body.alias("body"))
     spans = stage(whole.union(compare_pieces(pieces, length)), "repeated-spans")
-    spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return base.withColumnRenamed(row, "__row"), spans
+    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns of ``docs`` as c0, c1, ..., beside doc (the id), row (the place in the table) and __text."""
+    doc = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+    return docs.select(
+        *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)), doc.alias("doc"),
+        F.monotonically_increasing_id().alias("row"), F.col(f"`{text_col}`").cast("string").cast("binary").alias(TEXT),
+    )
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -439,27 +444,23 @@ def cut(text: bytes, runs: list[list[int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _cut_texts(base: DataFrame, spans: DataFrame, keep: list[str], ddl: str, give) -> DataFrame:
+def _cut_texts(base: DataFrame, keep: list[str], length: int, ddl: str, give) -> DataFrame:
     """The columns ``keep`` of ``base`` and what ``give`` makes of a text and its repeated runs."""
-    spans = spans.select(F.col("row").alias("__at"), "spans")
-    joined = base.join(spans, base["__row"] == spans["__at"], "left").select(
-        *(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), TEXT,
-        F.col("spans.start").alias("__starts"), F.col("spans.stop").alias("__stops"),
-    )
-    kinds = ", ".join(f"k{i} {base.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    schema = f"{kinds}, {ddl}" if keep else ddl
-    fields = arrow_fields(schema)
+    joined = base.join(repeats(base, length), "row", "left").select(
+        *keep, TEXT, F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")
+    )
+    schema = ", ".join([f"{c} {base.schema[c].dataType.simpleString()}" for c in keep] + [ddl])
+    fields, n = arrow_fields(schema), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = len(keep)
             rows = zip(*(batch.column(i).to_pylist() for i in range(n, n + 3)))
             made = [give(t, merged(list(zip(a or (), b or ())))) for t, a, b in rows]
             columns = list(zip(*made)) or [()] * (len(fields) - n)
             arrays = [batch.column(i) for i in range(n)] + [pa.array(c, f.type) for c, f in zip(columns, fields[n:])]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-    return map_arrow(joined, run, schema).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
+    return map_arrow(joined, run, schema)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
@@ -479,8 +480,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         removed = sum(b - a for a, b in runs)
         return len(text), removed, len(runs), hashlib.sha256(cut(text, runs)).hexdigest()
 
-    base, spans = repeats(docs.select(id_col, text_col), id_col, text_col, length)
-    return _cut_texts(base, spans, [id_col], "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", give)
+    base = _keyed(docs.select(id_col, text_col), id_col, text_col)
+    fields = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    return _cut_texts(base, ["c0"], length, fields, give).withColumnRenamed("c0", id_col)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
@@ -492,8 +494,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def give(text: bytes | None, runs: list[list[int]]) -> tuple:
         return (None if text is None else cut(text, runs).decode("utf-8", "ignore") if runs else text.decode("utf-8", "replace"),)
 
-    base, spans = repeats(docs, id_col, text_col, length)
-    keep = [c for c in docs.columns if c != text_col]
-    new = fresh(docs, "__kept")
-    done = _cut_texts(base, spans, keep, f"`{new}` string", give)
-    return done.select(*(F.col(new).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    names = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    keep = [n for n, c in names.items() if c != text_col]
+    done = _cut_texts(_keyed(docs, id_col, text_col), keep, length, "kept string", give)
+    return done.select(*(F.col("kept" if c == text_col else n).alias(c) for n, c in names.items()))

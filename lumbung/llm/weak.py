@@ -136,7 +136,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
     Rules are taken as independent given the class; each has its own shares of votes in either
     class, which is its accuracy on good and on bad texts.
     """
-    patterns, counts = np.asarray(patterns, int).reshape(len(counts), -1), np.asarray(counts, float)
+    patterns, counts = np.asarray(patterns, int), np.asarray(counts, float)
     seen = np.stack([patterns == v for v in range(3)], axis=2).astype(float)  # pattern, rule, vote
     start = STRENGTH * np.array([[BAD] * patterns.shape[1], [GOOD] * patterns.shape[1]])  # class, rule, vote
     shares, prior = better_than_chance(start), PRIOR
