@@ -9,13 +9,13 @@ from lumbung.sources.fixed_values import MONTH_NAMES
 
 
 def event_date(c: Column) -> Column:
-    """``MM/dd/yy``, else ``MM/dd/yyyy``; anything else gives null.
+    """Month/day/year with two or four digits of the year, padded or not; anything else gives null.
 
-    The length decides which format is tried, because a failed parse costs far more than a good one.
+    The shape decides which format is tried, because a failed parse costs far more than a good one.
     """
     text = F.trim(c)
-    return F.when(F.length(text) == 8, F.try_to_date(text, "MM/dd/yy")).when(
-        F.length(text) == 10, F.try_to_date(text, "MM/dd/yyyy")
+    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d\d$"), F.try_to_date(text, "M/d/yy")).when(
+        text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy")
     )
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumbung.sources.literals import sql_value
+
 EPSILON = 1e-9
 DASHBOARD_BANDS = ((0.6, "BAHAYA"), (0.3, "WASPADA"))
 NOTEBOOK_BANDS = ((0.5, "BAHAYA"), (0.3, "WASPADA"))
@@ -41,10 +43,10 @@ def min_max(value: str, low: str, high: str) -> Column:
 
 def band(value: str, bands: Sequence[tuple[float, str]] = DASHBOARD_BANDS, rest: str = "AMAN") -> Column:
     """Label of the first lower bound that the value reaches; null gets ``rest``."""
-    cases = " ".join(f"WHEN {value} >= {bound}D THEN '{label}'" for bound, label in bands)
-    return F.expr(f"CASE {cases} ELSE '{rest}' END")
+    cases = " ".join(f"WHEN {value} >= {bound}D THEN {sql_value(label)}" for bound, label in bands)
+    return F.expr(f"CASE {cases} ELSE {sql_value(rest)} END")
 
 
 def above(value: str, bound: float = 0.3, label: str = "BAHAYA", rest: str = "AMAN") -> Column:
     """Two-way label with a strict bound."""
-    return F.expr(f"CASE WHEN {value} > {bound}D THEN '{label}' ELSE '{rest}' END")
+    return F.expr(f"CASE WHEN {value} > {bound}D THEN {sql_value(label)} ELSE {sql_value(rest)} END")

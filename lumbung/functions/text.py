@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lumbung.sources.literals import sql_value
+
 
 def upper_key(c: Column) -> Column:
     return F.upper(F.trim(c))
@@ -51,7 +53,7 @@ def label_by_content(c: Column, labels: Mapping[str, str]) -> Column:
 
 def code_by_name(column: str, codes: Mapping[str, int]) -> Column:
     """Integer code of an exact name (any case); 0 for every other or missing name."""
-    cases = " ".join(f"WHEN '{name.lower()}' THEN {code}" for name, code in codes.items())
+    cases = " ".join(f"WHEN {sql_value(name.lower())} THEN {code}" for name, code in codes.items())
     return F.expr(f"CASE lower({column}) {cases} ELSE 0 END")
 
 

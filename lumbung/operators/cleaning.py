@@ -32,9 +32,9 @@ def canonical_names(df: DataFrame, column: str, aliases: Mapping[str, str]) -> D
     A join with the literal alias table: it is broadcast, so the rows are hashed once each and
     not shuffled.
     """
-    table = alias_table(df.sparkSession, aliases)
-    joined = df.withColumn("alias", text.upper_key(F.col(column))).join(table, "alias", "left")
-    return joined.withColumn(column, F.coalesce("canonical", column)).select(*df.columns)
+    table = alias_table(df.sparkSession, aliases).toDF("_alias", "_canonical")
+    joined = df.withColumn("_alias", text.upper_key(F.col(column))).join(table, "_alias", "left")
+    return joined.withColumn(column, F.coalesce("_canonical", column)).select(*df.columns)
 
 
 def clean_prices(

@@ -24,12 +24,14 @@ def _row(check: str, table: str, column: str, bad: Column) -> list[Column]:
 
 
 def required_columns(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A missing column makes every row of the table bad."""
-    n = F.count(F.lit(1))
-    rows = df.agg(n.alias("n"))
-    return stack(
-        [rows.select(*_row("required_column", table, c, F.lit(0) if c in df.columns else F.col("n"))) for c in columns]
-    )
+    """A missing column makes every row of the table bad; only then is the table read."""
+    one = df.sparkSession.range(1)
+    rows = df.agg(F.count(F.lit(1)).alias("n"))
+    return stack([
+        one.select(*_row("required_column", table, c, F.lit(0))) if c in df.columns
+        else rows.select(*_row("required_column", table, c, F.col("n")))
+        for c in columns
+    ])
 
 
 def null_counts(table: str, df: DataFrame, columns: Sequence[str] | None = None, check: str = "null") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,8 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key by ``order``.
 
-    An aggregate, not a window: each task keeps one candidate per key before the shuffle.
+    An aggregate, not a window: each task keeps one candidate per key before the shuffle. Spark
+    plans it by sorting, inside the tasks and again after the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
@@ -68,9 +69,11 @@ def commodity_rows(df: DataFrame, keep: Sequence[str] = ("id_wilayah", "tahun"))
     )
 
 
-def merge_indicators(df: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str]) -> DataFrame:
-    """Long indicators to one wide row per key: what a chain of outer joins gives, in one shuffle."""
-    return df.groupBy(*keys).pivot(name, list(names)).agg(F.max(value))
+def merge_indicators(
+    df: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str], how: Callable[[Column], Column] = F.max,
+) -> DataFrame:
+    """Long indicators to one wide row per key: what a chain of outer joins gives, in one grouping."""
+    return df.groupBy(*keys).agg(*[how(F.when(F.col(name) == n, F.col(value))).alias(n) for n in names])
 
 
 def heatmap(df: DataFrame, row: str, column: Column, value: str, columns: Sequence[str]) -> DataFrame:

@@ -116,10 +116,10 @@ def gap_tiles(gaps: DataFrame) -> DataFrame:
 
 
 def supply_demand_series(cube: DataFrame, commodity: str) -> DataFrame:
-    """Total carcass weight and total consumption per month of one commodity."""
+    """Total carcass weight and total consumption per month of one commodity; 0 where nothing is known."""
     out = cube.where(F.col("nama_komoditas") == commodity).groupBy("tahun", "bulan", "nama_komoditas").agg(
-        F.sum("sum_realisasi_karkas").alias("sum_realisasi_karkas"),
-        F.sum("avg_konsumsi_bulanan").alias("avg_konsumsi_bulanan"),
+        F.coalesce(F.sum("sum_realisasi_karkas"), F.lit(0.0)).alias("sum_realisasi_karkas"),
+        F.coalesce(F.sum("avg_konsumsi_bulanan"), F.lit(0.0)).alias("avg_konsumsi_bulanan"),
     )
     return out.withColumn("tanggal", dates.period_dash(F.col("tahun"), F.col("bulan")))
 
@@ -149,11 +149,11 @@ def regional_summary(cube: DataFrame, bands: Bands = risk.DASHBOARD_BANDS) -> Da
 
 
 def disease_density(summary: DataFrame) -> DataFrame:
-    """Sick animals per thousand kept: herd floored at one, and plainly with two decimals."""
+    """Sick animals per thousand kept: herd floored at one, and plainly with two decimals; null without a herd size."""
     sick, herd = F.col("sum_jumlah_sakit"), F.col("populasi_ternak")
     return summary.withColumns(
         {
-            "disease_density": sick / (F.greatest(herd, F.lit(1.0)) / 1000),
+            "disease_density": F.when(herd.isNotNull(), sick / (F.greatest(herd, F.lit(1.0)) / 1000)),
             "disease_density_2dp": stable_round(safe_ratio(sick, herd / 1000), 2),
         }
     )

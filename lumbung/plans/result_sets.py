@@ -21,37 +21,50 @@ def _period() -> Column:
     return dates.period_slash(F.col("tahun"), F.col("bulan"))
 
 
-def _periods(cube: DataFrame) -> list[str]:
+def month_labels(cube: DataFrame) -> list[str]:
     """Month labels of the cube, in order: at most one per month of the time dimension."""
     rows = cube.select("tahun", "bulan").distinct().orderBy("tahun", "bulan").collect()
     return [f"{r.tahun}/{r.bulan:02d}" for r in rows]
 
 
+def _upper(names: Sequence[str]) -> list[str]:
+    return [name.strip().upper() for name in names]
+
+
+def _upper_names(cube: DataFrame) -> DataFrame:
+    return cube.withColumn("nama_provinsi", F.upper(F.trim("nama_provinsi")))
+
+
 def dashboard(
     cube: DataFrame, commodity: str | None = None, year: int | None = None, region: str | None = None,
-    map_year: int | None = None, map_commodity: str | None = None, upstream: Sequence[str] = DEFAULT_UPSTREAM,
+    map_year: int | str | None = None, map_commodity: str | None = None, upstream: Sequence[str] = DEFAULT_UPSTREAM,
     downstream: Sequence[str] = DEFAULT_DOWNSTREAM, lag_commodity: str = "Sapi", lag_measure: str = "sum_jumlah_sakit",
     max_lag: int = 6, supply_regions: Sequence[str] | None = None, bands: rollups.Bands = risk.DASHBOARD_BANDS,
 ) -> ResultSets:
-    """Lazy result sets by name. Region names in the cube are upper case, as in its CSV.
+    """Result sets by name; regions are compared in upper case by the lag analysis.
 
     The first three arguments are the global filters. Correlations, the lag analysis and the map
-    use the whole cube, as they have filters of their own. Pass a stored cube: each result reads it.
+    use the whole cube, as they have filters of their own; the map shows ``map_year``, the newest
+    year if none is given, all years for "Semua". Pass a stored cube: each result reads it. The
+    sets are lazy, but for the monthly series of the lag analysis, which is staged, and the month
+    labels of the heatmaps, which are collected.
     """
     rows = global_filter(cube, nama_komoditas=commodity, tahun=year, nama_provinsi=region)
     heat_commodity = lag_commodity if commodity in (None, "Semua") else commodity
     gaps = rollups.monthly_gap(rows)
-    map_rows = cube if map_year is None else cube.where(F.col("tahun") == map_year)
+    newest = cube.agg(F.max("tahun").alias("tahun"))
+    map_rows = cube.join(newest, "tahun", "left_semi") if map_year is None else global_filter(cube, tahun=map_year)
     regional = rollups.regional_summary(global_filter(map_rows, nama_komoditas=map_commodity), bands)
     centres = literal_table(cube.sparkSession, ["nama_provinsi", "lat", "lon"], REGION_CENTRES)
     suppliers = rows if supply_regions is None else rows.where(F.col("nama_provinsi").isin(*supply_regions))
     supply = rollups.supply_concentration(suppliers)
     series = stage(
-        correlation.two_region_series(cube, upstream, downstream, lag_commodity, lag_measure), "lag-series"
+        correlation.two_region_series(_upper_names(cube), _upper(upstream), _upper(downstream), lag_commodity, lag_measure),
+        "lag-series",
     )
     scan = correlation.lag_scan(series, max_lag)
     prices = cube.where((F.col("nama_komoditas") == heat_commodity) & F.col("avg_harga").isNotNull())
-    periods = _periods(cube)
+    periods = month_labels(cube)
     return {
         "kpi": rollups.kpi_tiles(rows, bands),
         "zone_distribution": rollups.zone_distribution(rows, bands),
@@ -91,9 +104,10 @@ def notebook(
     cube: DataFrame, upstream: Sequence[str] = DEFAULT_UPSTREAM, downstream: Sequence[str] = DEFAULT_DOWNSTREAM,
     commodity: str = "Sapi",
 ) -> ResultSets:
-    """Lazy result sets of the analysis notebook; regions are compared in upper case."""
-    named = cube.withColumn("nama_provinsi", F.upper(F.trim("nama_provinsi")))
-    series = stage(correlation.two_region_series(named, upstream, downstream, commodity), "lag-series")
+    """Result sets of the analysis notebook, lazy but for the staged lag series; regions are compared in upper case."""
+    series = stage(
+        correlation.two_region_series(_upper_names(cube), _upper(upstream), _upper(downstream), commodity), "lag-series"
+    )
     density = rollups.disease_density(rollups.regional_summary(cube))
     supply = rollups.supply_concentration(cube)
     return {

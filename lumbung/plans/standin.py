@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.functions import text
 from lumbung.functions.numeric import stable_round
 from lumbung.operators import dimensions, imputation
 from lumbung.plans.warehouse import ANNUAL_MEASURES, Tables, cube_of, integrate, risk_fact
@@ -48,9 +47,8 @@ class Source:
         return self._tables[table]
 
 
-# The commodities, keyed in name order.
+# A fixed list of commodities, as the literal-table query wants one; all others use ``commodities``.
 COMMODITIES = ((1, "ECONOMY"), (2, "LARGE"), (3, "MEDIUM"), (4, "PROMO"), (5, "SMALL"), (6, "STANDARD"))
-CODES = {name: i for i, name in COMMODITIES}
 
 REVENUE = "l_extendedprice * (1 - l_discount)"
 UNIT_PRICE = "l_extendedprice / l_quantity"
@@ -58,6 +56,11 @@ RETURNED = "CASE WHEN l_returnflag = 'R' THEN l_quantity END"
 RETURNED_FINISHED = "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_quantity END"
 
 
+def commodities(t: Source) -> DataFrame:
+    """dim_komoditas: the types that the parts have, keyed in name order."""
+    return dimensions.commodity_dimension_of(t("part").where("p_type IS NOT NULL"), "p_type")
+
+
 def lines(t: Source, *, month: bool = True, commodity: bool = True, origin: bool = True, destination: bool = False) -> DataFrame:
     """Order lines with only the attributes a query needs.
 
@@ -68,10 +71,9 @@ def lines(t: Source, *, month: bool = True, commodity: bool = True, origin: bool
     if origin:
         df = df.join(t("supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS id_asal"), "l_suppkey")
     if commodity:
-        part = t("part").select(
-            F.expr("p_partkey AS l_partkey"), "p_type", "p_retailprice",
-            text.code_by_name("p_type", CODES).alias("id_komoditas"),
-        )
+        codes = commodities(t).select(F.col("nama_komoditas").alias("p_type"), "id_komoditas")
+        part = t("part").selectExpr("p_partkey AS l_partkey", "p_type", "p_retailprice").join(codes, "p_type", "left")
+        part = part.withColumn("id_komoditas", F.coalesce("id_komoditas", F.lit(0)))
         df = df.join(part, "l_partkey")
     if month or destination:
         orders = t("orders").selectExpr(
@@ -119,7 +121,7 @@ def dims_of(t: Source, flows: DataFrame | None = None) -> Tables:
     years = t("orders").selectExpr("year(o_orderdate) AS tahun") if flows is None else flows
     return {
         "dim_prov": region_dim(t),
-        "dim_komoditas": dimensions.commodity_dimension(t.spark, COMMODITIES),
+        "dim_komoditas": commodities(t),
         "dim_waktu": time_dim(years),
     }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -147,15 +148,19 @@ def build_warehouse(
 
 
 def load_warehouse(tables: Mapping[str, DataFrame], folder: str) -> Tables:
-    """Check the star, then replace its four tables; a failed check stops the load."""
+    """Check the star, then replace its four tables; a failed check or write leaves the old ones in place.
+
+    All tables are written beside the old ones first; then folders are only renamed.
+    """
     fact = stage(star.align(tables[sinks.FACT]), "fact")
     dims = {name: tables[name] for name in star.DIMENSION_COLUMNS}
     quality.require_clean(quality.warehouse_report(fact, dims["dim_prov"], dims["dim_komoditas"], dims["dim_waktu"]))
-    loaded = {
-        name: sinks.load_table(df, folder, name, star.DIMENSION_COLUMNS[name]) for name, df in dims.items()
-    }
-    loaded[sinks.FACT] = sinks.load_table(fact, folder, sinks.FACT)
-    return loaded
+    spark, new = fact.sparkSession, f"{folder}/_new-{uuid.uuid4().hex}"
+    for name, df in dims.items():
+        sinks.load_table(df, new, name, star.DIMENSION_COLUMNS[name])
+    sinks.load_table(fact, new, sinks.FACT)
+    sinks.publish(spark, new, folder, [*dims, sinks.FACT])
+    return sinks.read_back(spark, folder, [*dims, sinks.FACT])
 
 
 def cube_of(tables: Mapping[str, DataFrame], how: str = "inner") -> DataFrame:

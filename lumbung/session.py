@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,14 +16,11 @@ def sizing(input_bytes: int) -> dict[str, str]:
     """Partition settings for an input of this size.
 
     Adaptive execution only merges shuffle partitions, so there must be enough of them to start
-    with: one per GiB of input, between 200 and 20 000. From 10 TiB on scan tasks read 1 GiB each,
-    which keeps the number of map outputs per reducer manageable.
+    with: one per GiB of input, and 200 at least. Joins and groupings here shuffle a fraction of
+    the input's columns. The settings of a cluster may say otherwise, as may ``get_session(**conf)``.
     """
-    partitions = min(20_000, max(200, -(-input_bytes // GIB)))
-    settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
-    if input_bytes >= 10 * 1024 * GIB:
-        settings["spark.sql.files.maxPartitionBytes"] = str(GIB)
-    return settings
+    partitions = max(200, -(-input_bytes // GIB))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
 
 
 def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **conf: str) -> SparkSession:
@@ -49,12 +47,13 @@ def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session that names none gets a temporary folder of its own.
+    Only a session with a single process (master ``local`` or ``local[n]``) that names none gets a
+    temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lumbung-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -76,7 +75,10 @@ def drop_stages(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the shared folder, at once, and read it back.
+
+    Functions that call this run jobs while they build their result. ``drop_stages`` deletes what
+    an application has staged, when nothing reads it any more.
 
     Use it for a small result that several later steps read: it cuts the lineage, survives the
     loss of executors, and gives the planner real file sizes, so that later joins are broadcast

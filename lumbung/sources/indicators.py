@@ -69,7 +69,8 @@ def parse_region_indicator(df: DataFrame, words: Sequence[str], column: str, pay
 def first_valid(df: DataFrame, keys: Sequence[str], priority: Sequence[Column], values: Sequence[str]) -> DataFrame:
     """Per key the values of the row that comes first by ``priority``.
 
-    ``min_by`` combines inside each task, so a key with very many candidates stays cheap.
+    ``min_by`` combines inside each task (by sorting its rows), so a key with very many candidates
+    sends one row per task.
     """
     best = F.min_by(F.struct(*values), F.struct(*priority)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _sql_value(value: object) -> str:
+def sql_value(value: object) -> str:
     if value is None:
         return "NULL"
     if isinstance(value, str):
@@ -17,7 +17,7 @@ def _sql_value(value: object) -> str:
 
 def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[object]]) -> DataFrame:
     """Rows as SQL values: the planner knows their size and broadcasts them in joins."""
-    body = ", ".join("(" + ", ".join(map(_sql_value, row)) + ")" for row in rows)
+    body = ", ".join("(" + ", ".join(map(sql_value, row)) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 

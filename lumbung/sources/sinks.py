@@ -51,6 +51,18 @@ def load_table(df: DataFrame, folder: str, table: str, columns: Sequence[str] |
     return df.sparkSession.read.parquet(f"{folder}/{table}")
 
 
+def publish(spark: SparkSession, new: str, folder: str, names: Sequence[str]) -> None:
+    """Move finished tables from ``new`` to ``folder`` and delete those they replace."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for name in names:
+        if files.exists(path(f"{folder}/{name}")):
+            files.rename(path(f"{folder}/{name}"), path(f"{new}/_old-{name}"))
+        if not files.rename(path(f"{new}/{name}"), path(f"{folder}/{name}")):
+            raise OSError(f"could not move {new}/{name} to {folder}")
+    files.delete(path(new), True)
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:
     """Append to a database table; run it on a partitioned frame to write in parallel."""
     df.write.option("batchsize", batch).jdbc(url, table, mode="append", properties=options)

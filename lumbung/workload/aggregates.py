@@ -166,7 +166,8 @@ def gap_tiles(t: Source) -> DataFrame:
 
 @query("e18_supply_demand_series", on_cube(f"""
 SELECT tahun, bulan, nama_komoditas, tahun || '-' || lpad(CAST(bulan AS VARCHAR), 2, '0') AS tanggal,
-       {r("sum(sum_realisasi_karkas)", 2)} AS sum_realisasi_karkas, {r("sum(avg_konsumsi_bulanan)", 2)} AS avg_konsumsi_bulanan
+       {r("coalesce(sum(sum_realisasi_karkas), 0)", 2)} AS sum_realisasi_karkas,
+       {r("coalesce(sum(avg_konsumsi_bulanan), 0)", 2)} AS avg_konsumsi_bulanan
 FROM cube WHERE nama_komoditas = 'PROMO' GROUP BY ALL"""))
 def supply_demand_series(t: Source) -> DataFrame:
     out = rollups.supply_demand_series(standin.cube(t), "PROMO")
@@ -289,8 +290,9 @@ def distinct_lists(t: Source) -> DataFrame:
 @query("e27_rows_per_region", """
 SELECT n_name, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
 def rows_per_region(t: Source) -> DataFrame:
-    rows = t("orders").join(t("customer"), F.expr("c_custkey = o_custkey")).join(t("nation"), F.expr("n_nationkey = c_nationkey"))
-    return rollups.rows_per(rows, "n_name")
+    orders = rollups.rows_per(t("orders"), "o_custkey")
+    counts = orders.join(t("customer"), F.expr("c_custkey = o_custkey")).groupBy("c_nationkey").agg(F.sum("n").alias("n"))
+    return counts.join(t("nation"), F.expr("n_nationkey = c_nationkey")).groupBy("n_name").agg(F.sum("n").alias("n"))
 
 
 @query("e27_mean_price", on_lines(f"""

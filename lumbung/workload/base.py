@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions.numeric import stable_round
-from lumbung.plans.standin import CODES, COMMODITIES, Source
+from lumbung.plans.standin import COMMODITIES, Source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,20 +47,22 @@ def band_sql(value: str, high: float, mid: float) -> str:
 # Bands that split the derived index, whose values stay below the usual 0.3 and 0.6.
 TEST_BANDS = ((0.12, "BAHAYA"), (0.06, "WASPADA"))
 
-CODE_SQL = "CASE p_type " + " ".join(f"WHEN '{n}' THEN {i}" for n, i in CODES.items()) + " ELSE 0 END"
-NAME_SQL = "CASE id_komoditas " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in COMMODITIES) + " END"
+CODE_SQL = "CASE p_type " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in COMMODITIES) + " ELSE 0 END"
+KINDS = """(SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) AS INTEGER) AS id_komoditas
+  FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL))"""
 MONTH_NAME_SQL = (
     "list_extract(['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September',"
     "'Oktober','November','Desember'], bulan)"
 )
 
 LINES = f"""lines AS (
-  SELECT l.*, s_nationkey AS id_asal, c_nationkey AS id_tujuan, p_type, p_name, p_retailprice,
-         CAST({CODE_SQL} AS INTEGER) AS id_komoditas,
+  SELECT l.*, s_nationkey AS id_asal, c_nationkey AS id_tujuan, part.p_type, p_name, p_retailprice,
+         coalesce(kinds.id_komoditas, 0) AS id_komoditas,
          CAST(year(o_orderdate) AS INTEGER) AS tahun, CAST(month(o_orderdate) AS INTEGER) AS bulan
   FROM lineitem l
   JOIN supplier ON s_suppkey = l_suppkey
   JOIN part ON p_partkey = l_partkey
+  LEFT JOIN {KINDS} kinds ON kinds.p_type = part.p_type
   JOIN orders ON o_orderkey = l_orderkey
   JOIN customer ON c_custkey = o_custkey)"""
 
@@ -76,8 +78,7 @@ DIMS = """, dim_prov AS (
   SELECT CAST(row_number() OVER (ORDER BY n_name) AS INTEGER) AS prov_key, n_nationkey AS id_prov,
          n_name AS nama_provinsi FROM nation),
 dim_komoditas AS (
-  SELECT * FROM (VALUES """ + ", ".join(f"({i}, {i}, '{n}')" for i, n in COMMODITIES) + """)
-  AS v(komoditas_key, id_komoditas, nama_komoditas)),
+  SELECT id_komoditas AS komoditas_key, id_komoditas, p_type AS nama_komoditas FROM """ + KINDS + """),
 dim_waktu AS (
   SELECT CAST(row_number() OVER (ORDER BY tahun, bulan) AS INTEGER) AS waktu_key, tahun, bulan,
          CAST(ceil(bulan / 3.0) AS INTEGER) AS kuartal, """ + MONTH_NAME_SQL + """ AS nama_bulan

@@ -216,16 +216,16 @@ def two_region_series(t: Source) -> DataFrame:
     return tidy(series, {"y_harga": 4})
 
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
 @query("d16_indicator_merge", f"""
-SELECT user_id, strftime(ts, '%Y-%m-%d') AS hari,
-       {", ".join(f"{r(f'sum(CASE WHEN event_type = {chr(39)}{e}{chr(39)} THEN value END)', 4)} AS {e}" for e in EVENT_TYPES)}
-FROM events GROUP BY ALL""")
+SELECT user_id, strftime(ts, '%Y-%m-%d') AS hari, event_type AS indikator, {r("sum(value)", 4)} AS nilai
+FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL GROUP BY ALL""")
 def indicator_merge(t: Source) -> DataFrame:
-    long = t("events").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("hari"), "event_type").agg(F.sum("value").alias("v"))
-    return tidy(reshape.merge_indicators(long, ["user_id", "hari"], "event_type", "v", EVENT_TYPES), dict.fromkeys(EVENT_TYPES, 4))
+    """The filled cells of the merged table, whose columns are the types that the events have."""
+    events = t("events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("hari"), "event_type", "value")
+    types = sorted(row.event_type for row in events.where("event_type IS NOT NULL").select("event_type").distinct().collect())
+    wide = reshape.merge_indicators(events, ["user_id", "hari"], "event_type", "value", types, F.sum)
+    cells = reshape.longer(wide, ["user_id", "hari"], types, "indikator", "nilai").where("nilai IS NOT NULL")
+    return tidy(cells, {"nilai": 4})
 
 
 MAP_ALIASES = {f"N{i}": f"NATION_{i}" for i in range(12)}

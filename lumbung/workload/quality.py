@@ -11,7 +11,7 @@ from lumbung.plans.standin import Source
 from lumbung.session import stage
 from lumbung.sources import sinks
 from lumbung.workload.base import FACT, query
-from lumbung.workload.sources import counts_sql
+from lumbung.workload.sources import TABLES, counts_sql
 
 
 def row_sql(check: str, table: str, column: str, bad: str, source: str) -> str:
@@ -87,15 +87,12 @@ def gate_report(t: Source) -> DataFrame:
     return quality.warehouse_report(fact, w["dim_prov"], w["dim_komoditas"], w["dim_waktu"].where("waktu_key % 15 <> 0"))
 
 
-LISTED = ("nation", "region", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
-@query("l6_table_counts", counts_sql(LISTED))
+@query("l6_table_counts", counts_sql(TABLES))
 def table_counts(t: Source) -> DataFrame:
-    for name in LISTED:
+    for name in TABLES:
         t(name).createOrReplaceTempView(name)
     present = {table.name for table in t.spark.catalog.listTables()}
-    return sinks.row_counts({name: t.spark.table(name) for name in LISTED if name in present})
+    return sinks.row_counts({name: t.spark.table(name) for name in TABLES if name in present})
 
 
 @query("l7_uniqueness", " UNION ALL ".join([

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import dates
 from lumbung.operators import reshape, rollups
-from lumbung.plans import standin
+from lumbung.plans import result_sets, standin
 from lumbung.plans.standin import Source
 from lumbung.workload.aggregates import GAPS
 from lumbung.workload.base import CUBE, n, on_cube, on_lines, query, r, tidy
@@ -17,24 +17,27 @@ from lumbung.workload.base import CUBE, n, on_cube, on_lines, query, r, tidy
 SELECT p_type, count(*) AS n, sum(l_quantity) AS qty FROM lineitem JOIN part ON p_partkey = l_partkey
 WHERE p_type IN ('SMALL', 'LARGE') GROUP BY p_type""")
 def union_by_name(t: Source) -> DataFrame:
-    rows = t("lineitem").join(t("part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
-    small = rows.where("p_type = 'SMALL'").select("p_type", "l_quantity")
-    large = rows.where("p_type = 'LARGE'").select("l_quantity", "p_type")
-    return small.unionByName(large).groupBy("p_type").agg(n(), F.sum("l_quantity").alias("qty"))
+    small = t("part").where("p_type = 'SMALL'").selectExpr("p_type", "p_partkey AS l_partkey")
+    large = t("part").where("p_type = 'LARGE'").selectExpr("p_partkey AS l_partkey", "p_type")
+    rows = t("lineitem").join(reshape.stack([small, large]), "l_partkey")
+    return rows.groupBy("p_type").agg(n(), F.sum("l_quantity").alias("qty"))
 
 
 @query("h2_bind_rows", """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS tahun, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY 1""")
 def bind_rows(t: Source) -> DataFrame:
-    rows = t("lineitem").selectExpr("year(l_shipdate) AS tahun", "l_quantity")
-    slices = [rows.where("tahun < 1998"), rows.where("tahun = 1998"), rows.where("tahun > 1998")]
+    slices = [
+        t("lineitem").where(f"l_shipdate {when}").selectExpr("year(l_shipdate) AS tahun", "l_quantity")
+        for when in ("< DATE'1998-01-01'", ">= DATE'1998-01-01'", "IS NULL")
+    ]
     return reshape.stack(slices).groupBy("tahun").agg(n(), F.sum("l_quantity").alias("qty"))
 
 
 @query("h3_distinct", """
 SELECT DISTINCT n_name, o_orderpriority FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
 def distinct(t: Source) -> DataFrame:
-    rows = t("orders").join(t("customer"), F.expr("c_custkey = o_custkey")).join(t("nation"), F.expr("n_nationkey = c_nationkey"))
+    orders = t("orders").select("o_custkey", "o_orderpriority").distinct()
+    rows = orders.join(t("customer"), F.expr("c_custkey = o_custkey")).join(t("nation"), F.expr("n_nationkey = c_nationkey"))
     return rows.select("n_name", "o_orderpriority").distinct()
 
 
@@ -80,30 +83,31 @@ def commodity_rows(t: Source) -> DataFrame:
     return out.where("jumlah_ternak_potong IS NOT NULL")
 
 
-PERIODS = [f"{y}/{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
+def long_sql(value: str, digits: int, where: str = "TRUE") -> str:
+    return on_cube(f"""
+SELECT nama_provinsi, tahun || '/' || lpad(CAST(bulan AS VARCHAR), 2, '0') AS periode, {r(f"avg({value})", digits)} AS nilai
+FROM cube WHERE {value} IS NOT NULL AND {where} GROUP BY ALL""")
 
 
-def pivot_sql(value: str, digits: int) -> str:
-    return ", ".join(
-        r(f"avg(CASE WHEN tahun = {p[:4]} AND bulan = {int(p[5:])} THEN {value} END)", digits) + f' AS "{p}"' for p in PERIODS
-    )
-
-
-PERIOD = dates.period_slash
+def long_heatmap(rows: DataFrame, months: list[str], value: str, digits: int) -> DataFrame:
+    """The filled cells of a heatmap over all months of the data, a row each."""
+    period = dates.period_slash(F.col("tahun"), F.col("bulan"))
+    wide = reshape.heatmap(rows, "nama_provinsi", period, value, months)
+    cells = reshape.longer(wide, ["nama_provinsi"], months, "periode", "nilai")
+    return tidy(cells.where("nilai IS NOT NULL"), {"nilai": digits})
 
 
-@query("h7_risk_heatmap", on_cube(f"SELECT nama_provinsi, {pivot_sql('supply_risk_index', 6)} FROM cube GROUP BY nama_provinsi"))
+@query("h7_risk_heatmap", long_sql("supply_risk_index", 6))
 def risk_heatmap(t: Source) -> DataFrame:
-    period = PERIOD(F.col("tahun"), F.col("bulan"))
-    return tidy(reshape.heatmap(standin.cube(t), "nama_provinsi", period, "supply_risk_index", PERIODS), dict.fromkeys(PERIODS, 6))
+    cube = standin.cube(t, staged=True)
+    return long_heatmap(cube, result_sets.month_labels(cube), "supply_risk_index", 6)
 
 
-@query("h8_price_heatmap", on_cube(
-    f"SELECT nama_provinsi, {pivot_sql('avg_harga', 4)} FROM cube WHERE nama_komoditas = 'SMALL' GROUP BY nama_provinsi"))
+@query("h8_price_heatmap", long_sql("avg_harga", 4, "nama_komoditas = 'SMALL'"))
 def price_heatmap(t: Source) -> DataFrame:
-    rows = standin.cube(t).where("nama_komoditas = 'SMALL' AND avg_harga IS NOT NULL")
-    period = PERIOD(F.col("tahun"), F.col("bulan"))
-    return tidy(reshape.heatmap(rows, "nama_provinsi", period, "avg_harga", PERIODS), dict.fromkeys(PERIODS, 4))
+    cube = standin.cube(t, staged=True)
+    rows = cube.where("nama_komoditas = 'SMALL' AND avg_harga IS NOT NULL")
+    return long_heatmap(rows, result_sets.month_labels(cube), "avg_harga", 4)
 
 
 @query("h9_longer", f"""WITH {CUBE}, {GAPS}

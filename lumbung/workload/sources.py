@@ -87,17 +87,18 @@ def payloads(t: Source) -> DataFrame:
         f"inline(array(named_struct('label', 'Indonesia', 'kode_wilayah', '0000000', 'variables', {nothing}), "
         f"named_struct('label', 'no code', 'kode_wilayah', '', 'variables', {nothing})))",
     )
-    columns = F.create_map(*[
-        x for name, i in standin.CODES.items()
-        for x in (F.lit(f"v{i}"), F.struct(F.lit(f"Jumlah {name} Terjual").alias("nama_variabel")))
-    ])
+    names = small.select(
+        "tahun", F.expr("concat('v', id_komoditas)").alias("key"),
+        F.struct(F.expr("concat('Jumlah ', p_type, ' Terjual')").alias("nama_variabel")).alias("value"),
+    ).distinct()
+    names = names.groupBy("tahun").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("columns"))
     rows = region.unionByName(extra).groupBy("tahun").agg(
         F.collect_list(F.struct("label", "kode_wilayah", "variables")).alias("data")
     )
     page = F.struct(F.lit(None).cast("map<string,struct<nama_variabel:string>>").alias("kolom"),
                     F.lit(None).cast("array<struct<label:string,kode_wilayah:string,variables:map<string,struct<value_raw:string>>>>").alias("data"))
-    table = F.struct(columns.alias("kolom"), F.col("data"))
-    return rows.select("tahun", F.to_json(F.struct(F.lit("OK").alias("status"), F.array(page, table).alias("data"))).alias("payload"))
+    table = F.struct(F.col("columns").alias("kolom"), F.col("data"))
+    return rows.join(names, "tahun").select("tahun", F.to_json(F.struct(F.lit("OK").alias("status"), F.array(page, table).alias("data"))).alias("payload"))
 
 
 @query("a5_indicator_payload", on_lines("""
@@ -122,9 +123,10 @@ PRIORITY = ("purchase", "signup", "click", "view", "error")
 @query("a6_first_valid_source", f"""
 SELECT user_id, event_type, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id
-         ORDER BY list_position({list(PRIORITY)}, event_type), event_id) AS rn FROM events) WHERE rn = 1""")
+         ORDER BY coalesce(nullif(list_position({list(PRIORITY)}, event_type), 0), {len(PRIORITY) + 1}), event_id) AS rn FROM events) WHERE rn = 1""")
 def first_valid_source(t: Source) -> DataFrame:
-    place = F.array_position(F.array(*[F.lit(p) for p in PRIORITY]), F.col("event_type"))
+    place = F.nullif(F.array_position(F.array(*[F.lit(p) for p in PRIORITY]), F.col("event_type")), F.lit(0))
+    place = F.coalesce(place, F.lit(len(PRIORITY) + 1))  # unlisted types come last
     return indicators.first_valid(
         t("events"), ["user_id"], [place, F.col("event_id")], ["event_type", "event_id", "value"]
     )
@@ -137,8 +139,8 @@ FROM orders WHERE lower(o_orderpriority) LIKE '%high%' OR lower(o_orderpriority)
 GROUP BY o_orderpriority, date_trunc('month', o_orderdate)""")
 def unpivot_price_sheet(t: Source) -> DataFrame:
     header = F.date_format("o_orderdate", "'01/ 'MM'/ 'yyyy")
-    months = [f"01/ {m:02d}/ {y}" for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
     sheet = t("orders").select(F.col("o_orderpriority").alias("Komoditas (Rp)"), header.alias("h"), "o_totalprice")
+    months = sorted(row.h for row in sheet.where("h IS NOT NULL").select("h").distinct().collect())  # a sheet's header
     sheet = sheet.groupBy("Komoditas (Rp)").pivot("h", months).agg(F.sum("o_totalprice"))
     long = readers.unpivot_price_sheet(sheet, F.lit("TIMUR"), F.lit("PASAR"), F.lit("KOTA"), ["high", "urgent", "low"])
     long = long.select("provinsi", "kota", "jenis_daging", "jenis_pasar", "harga", F.expr("date_format(waktu, 'yyyy-MM-dd') AS tanggal"))
@@ -166,27 +168,22 @@ SELECT jenis_pasar, count(*) AS n, count(harga) AS n_harga, {r("sum(harga)", 2)}
   SELECT o_orderpriority AS jenis_pasar, CASE WHEN o_orderkey % 20 <> 0 THEN o_totalprice END AS harga,
          CASE WHEN o_orderkey % 30 <> 0 THEN o_orderdate END AS waktu FROM orders) GROUP BY jenis_pasar""")
 def union_files(t: Source) -> DataFrame:
-    raw = t("orders").selectExpr(
+    raw = [t("orders").where(f"o_orderdate {when}").selectExpr(
         "'X' AS provinsi", "'Y' AS kota", "o_orderstatus AS jenis_daging", "o_orderpriority AS jenis_pasar",
         "CASE WHEN o_orderkey % 20 = 0 THEN '-' ELSE string(o_totalprice) END AS harga",
         "CASE WHEN o_orderkey % 30 = 0 THEN 'soon' ELSE string(o_orderdate) END AS waktu",
-        "year(o_orderdate) AS y",
-    )
-    files = [raw.where(F.col("y") <= 1997), raw.where(F.col("y") == 1998), raw.where(F.col("y") >= 1999)]
-    out = readers.union_files(files).groupBy("jenis_pasar").agg(
+    ) for when in ("< DATE'1998-01-01'", ">= DATE'1998-01-01'", "IS NULL")]
+    out = readers.union_files(raw).groupBy("jenis_pasar").agg(
         F.count(F.lit(1)).alias("n"), F.count("harga").alias("n_harga"), F.sum("harga").alias("total"),
         F.count("waktu").alias("n_waktu"), F.date_format(F.max("waktu"), "yyyy-MM-dd").alias("terakhir"),
     )
     return tidy(out, {"total": 2})
 
 
-SNAPSHOT = ("region", "nation", "supplier", "customer", "orders")
-
-
-@query("a10_snapshot_copy", counts_sql(SNAPSHOT))
+@query("a10_snapshot_copy", counts_sql(TABLES))
 def snapshot_copy(t: Source) -> DataFrame:
     folder = stage_path(t.spark, "snapshot")
-    outcome = sinks.snapshot({name: t(name) for name in SNAPSHOT}, folder)
+    outcome = sinks.snapshot({name: t(name) for name in TABLES}, folder)
     return sinks.row_counts({name: t.spark.read.parquet(f"{folder}/{name}") for name, failed in outcome.items() if not failed})
 
 
@@ -195,8 +192,8 @@ SELECT {CODE_SQL} AS komoditas_key, p_type AS nama_komoditas, count(*) AS n FROM
 def literal_table(t: Source) -> DataFrame:
     codes = dimensions.commodity_dimension(t.spark, standin.COMMODITIES)
     return t("part").groupBy(F.col("p_type").alias("nama_komoditas")).agg(F.count(F.lit(1)).alias("n")).join(
-        codes, "nama_komoditas"
-    ).select("komoditas_key", "nama_komoditas", "n")
+        codes, "nama_komoditas", "left"
+    ).select(F.coalesce("komoditas_key", F.lit(0)).alias("komoditas_key"), "nama_komoditas", "n")
 
 
 @query("a12_month_spine", f"""WITH {DIMS.lstrip(', ')} SELECT tahun, bulan FROM dim_waktu""")

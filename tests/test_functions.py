@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbung.functions import dates, numeric, risk, text
-from lumbung.operators import cleaning
+from lumbung.operators import cleaning, rollups
 from lumbung.sources.fixed_values import REGION_ALIASES, REGION_CENTRES, REGION_CODES
 
 
@@ -25,12 +25,12 @@ def test_stable_round_ignores_summation_noise(spark):
     assert values(df, "v", lambda c: numeric.stable_round(c, 0))[2:4] == [3.0, -3.0]
 
 
-def test_event_date_takes_both_year_lengths_and_no_others(spark):
+def test_event_date_takes_both_year_lengths_padded_or_not(spark):
     df = spark.createDataFrame(
-        [("03/16/24",), ("03/16/2024",), ("13/45/24",), ("2024-03-16",), (None,), ("01/02/60",)], "v string"
+        [("03/16/24",), ("03/16/2024",), ("13/45/24",), ("2024-03-16",), (None,), ("01/02/60",), ("1/5/24",), (" 1/15/2024 ",), ("1/5/024",)], "v string"
     )
     d = datetime.date
-    assert values(df, "v", dates.event_date) == [d(2024, 3, 16), d(2024, 3, 16), None, None, None, d(2060, 1, 2)]
+    assert values(df, "v", dates.event_date) == [d(2024, 3, 16), d(2024, 3, 16), None, None, None, d(2060, 1, 2), d(2024, 1, 5), d(2024, 1, 15), None]
 
 
 def test_header_date_ignores_blanks(spark):
@@ -88,6 +88,28 @@ def test_canonical_names_keep_unknown_spellings(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_canonical_names_leave_a_column_named_alias_alone(spark):
+    df = spark.createDataFrame([("jatim", "x", "y")], "p string, alias string, canonical string")
+    assert [tuple(r) for r in cleaning.canonical_names(df, "p", REGION_ALIASES).collect()] == [("Jawa Timur", "x", "y")]
+
+
+def test_names_with_quotes(spark):
+    df = spark.createDataFrame([("Sapi 'A'", 0.7)], "n string, v double")
+    got = df.select(text.code_by_name("n", {"Sapi 'A'": 3}), risk.band("v", ((0.5, "it's bad"),)), risk.above("v", 0.9, rest="it's ok")).first()
+    assert tuple(got) == (3, "it's bad", "it's ok")
+
+
+def test_density_is_unknown_without_a_herd_size(spark):
+    df = spark.createDataFrame([(5.0, None), (5.0, 0.0), (5.0, 2000.0)], "sum_jumlah_sakit double, populasi_ternak double")
+    assert [r.disease_density for r in rollups.disease_density(df).collect()] == [None, 5000.0, 2.5]
+
+
+def test_series_of_unknown_sums_is_zero(spark):
+    df = spark.createDataFrame([("Sapi", 2024, 1, None, None)], "nama_komoditas string, tahun int, bulan int, sum_realisasi_karkas double, avg_konsumsi_bulanan double")
+    row = rollups.supply_demand_series(df, "Sapi").first()
+    assert (row.sum_realisasi_karkas, row.avg_konsumsi_bulanan) == (0.0, 0.0)
+
+
 def test_fixed_tables_agree():
     names = set(REGION_ALIASES.values())
     assert len(names) == 38

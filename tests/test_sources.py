@@ -157,7 +157,7 @@ def test_session_sizing():
     small, large = sizing(1 << 30), sizing(100 << 40)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert small == {key: "200"}
-    assert large == {key: "20000", "spark.sql.files.maxPartitionBytes": str(1 << 30)}
+    assert large == {key: str(100 << 10)}
 
 
 def test_literal_table_quotes_text(spark):

@@ -210,6 +210,12 @@ def test_dashboard_and_notebook(spark, tables):
     assert counts["lag_scan"] == 0 and counts["lag_overlay"] == 2
     east = sets["latest_status"].where("nama_provinsi = 'JAWA TIMUR'").first()
     assert (east.sakit, east.avg_harga) == (0.0, 110000.0)
+    plain = result_sets.dashboard(stage(cube_of(tables), "cube"), upstream=("Jawa Timur",), downstream=("jawa timur",))
+    assert plain["lag_overlay"].count() == 2  # names as the warehouse has them
+    newest = {r.nama_provinsi: r.sum_vol_mutasi for r in plain["map"].collect()}
+    every = {r.nama_provinsi: r.sum_vol_mutasi for r in result_sets.dashboard(cube, map_year="Semua")["map"].collect()}
+    assert newest == {r.nama_provinsi: r.v for r in cube_of(tables).where("tahun = 2025").groupBy("nama_provinsi").agg(F.sum("sum_vol_mutasi").alias("v")).collect()}
+    assert set(map(str.upper, newest)) <= set(every)
     filtered = result_sets.dashboard(cube, commodity="Ayam", year=2024, region="ACEH")
     assert filtered["monthly_gap"].count() == 2 and filtered["price_heatmap"].columns[1:] == ["2024/02", "2024/03", "2024/05", "2025/01", "2025/03"]
     book = result_sets.notebook(cube)
