@@ -15,14 +15,33 @@ from lumbung.session import stage
 def fill_with_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Null values of detail rows become the discrete median of their group.
 
-    The rows are read three times: stage them first if they come from joins. The medians are staged: the planner then knows their size and broadcasts them when they are
-    small, so that the detail rows are not shuffled and a hot group does no harm.
+    The rows are read three times: stage them first if they come from joins. The medians are
+    staged: the planner then knows their size and broadcasts them when they are small, so that the
+    detail rows are not shuffled and a hot group does no harm. Where only sums of the filled rows
+    are wanted, ``sums_filled_with_median`` needs no such join.
     """
     medians = stage(exact_median(df, keys, F.col(value), "_median"), "group-medians")
     filled = df.join(medians, list(keys), "left")
     return filled.withColumn(value, F.coalesce(value, "_median")).drop("_median").select(*df.columns)
 
 
+def sums_filled_with_median(df: DataFrame, keys: Sequence[str], more: Sequence[str], value: str) -> DataFrame:
+    """_sum and _n of ``value`` per ``keys`` and ``more``, nulls taken as the discrete median of ``keys``.
+
+    Detail rows are only summed: a null adds the median once. Nulls of a group without any value
+    add nothing.
+    """
+    medians = exact_median(df, keys, F.col(value), "_median")
+    small = df.groupBy(*keys, *more).agg(
+        F.sum(value).alias("_known"), F.count(value).alias("_k"), F.count_if(F.col(value).isNull()).alias("_missing")
+    )
+    added = F.when(F.col("_median").isNotNull(), F.col("_missing")).otherwise(0)
+    filled = small.join(medians, list(keys), "left").withColumns(
+        {"_sum": F.coalesce("_known", F.lit(0.0)) + F.coalesce(added * F.col("_median"), F.lit(0.0)), "_n": F.col("_k") + added}
+    )
+    return filled.select(*keys, *more, "_sum", "_n")
+
+
 def fill_with_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Null values of a statistics table become the mean of their group.
 

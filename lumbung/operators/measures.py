@@ -45,6 +45,12 @@ def monthly_price(prices: DataFrame, regions: DataFrame, codes: Column, value: s
     small = coded.groupBy("provinsi", "bulan", "tahun", "id_komoditas").agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_n")
     )
+    return mean_price(small, regions, F.col("id_komoditas"))
+
+
+def mean_price(sums: DataFrame, regions: DataFrame, codes: Column) -> DataFrame:
+    """Mean price per region, month and commodity from _sum and _n per raw name."""
+    small = sums.withColumn("id_komoditas", codes)
     known = join_by_name(small, regions.select("id_prov", "nama_provinsi"), "provinsi", "nama_provinsi", "inner")
     mean = F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_harga")
     return known.withColumnRenamed("id_prov", "id_wilayah").groupBy(*KEYS).agg(mean)

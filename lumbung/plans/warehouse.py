@@ -124,8 +124,9 @@ def build_warehouse(
     prices = staging["pihps_raw"]
     label = "nama_komoditas" if "nama_komoditas" in prices.columns else "jenis_daging"
     prices = cleaning.clean_prices(prices, REGION_ALIASES, label_column=label)
-    prices = imputation.fill_with_median(prices, ["provinsi", "nama_komoditas", "bulan"], "harga")
-    price = measures.monthly_price(prices, dim_prov, text.code_by_name("nama_komoditas", ANIMAL_CODES))
+    prices = stage(prices.select("provinsi", "nama_komoditas", "tahun", "bulan", "harga"), "prices")
+    sums_of_prices = imputation.sums_filled_with_median(prices, ["provinsi", "nama_komoditas", "bulan"], ["tahun"], "harga")
+    price = measures.mean_price(sums_of_prices, dim_prov, text.code_by_name("nama_komoditas", ANIMAL_CODES))
     monthly = cleaning.keep_known(measures.merge_measures([*sums, price]), "id_komoditas", [1, 2])
 
     bounds = master.select(F.lit(years[0]).alias("first"), F.lit(years[1]).alias("last")).limit(1) if years else (
