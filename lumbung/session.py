@@ -35,6 +35,8 @@ def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # The quantile sketches of a few thousand groups stay hashed (24 kB each) instead of sorting all rows.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
         "spark.ui.enabled": "false",
         **conf,
     }
