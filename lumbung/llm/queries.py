@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import bpe, langid, mixing, simhash, spaced, suffix, toxicity, url_rules, warc, weak
+from lumbung.llm.mixing_sql import mixture_sql
 from lumbung.llm.targets import TARGETS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,9 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", mixing.n_tokens(F.col("text")).alias("n_tokens"), "copies")
 
 
+ORACLES["op2_mixing"] = mixture_sql(TARGETS)
+
+
 @query
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -12,10 +13,11 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from oracle import database, difference
 from samples import prose
 
 import corpus_pipeline
-from lumbung.llm import components, mixing, simhash, suffix, url_rules, warc
+from lumbung.llm import components, mixing, queries, simhash, suffix, url_rules, warc
 from lumbung.session import stage, stage_path
 
 
@@ -168,13 +170,14 @@ def test_repeats_equal_brute_force(table, monkeypatch):
     want = [(7 * i, *d) for i, d in enumerate(digests(slow_repeats(texts, 100)))]
     assert rows(suffix.remove_repeats(docs)) == sorted(want, key=str)
     monkeypatch.setattr(suffix, "SHARD", 2000)  # many shards
+    monkeypatch.setattr(suffix, "BLOCK", 1500)  # and many arrays, merged by binary search
     assert rows(suffix.remove_repeats(docs)) == sorted(want, key=str)
 
 
 def test_hot_anchors_do_not_change_the_result(table, monkeypatch):
     rng = random.Random(4)
     line = "licensed under the same terms as the original work, see the file at the top"
-    texts = [f"{rng.random()} {line} {rng.choice('abc') * 40} {rng.random()}" for _ in range(80)]
+    texts = [f"{rng.random()} {line} {rng.choice("abc") * 40} {rng.random()}" for _ in range(80)]
     docs = table(list(enumerate(texts)))
     want = sorted([(i, *d) for i, d in enumerate(digests(slow_repeats(texts, 100)))], key=str)
     assert rows(suffix.remove_repeats(docs)) == want
@@ -184,6 +187,7 @@ def test_hot_anchors_do_not_change_the_result(table, monkeypatch):
     suffix.remove_repeats(docs).collect()
     assert len(found[0])  # the line was dealt out window by window
     monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: np.zeros(0, np.uint64))
+    monkeypatch.setattr(suffix, "BLOCK", 1500)
     assert rows(suffix.remove_repeats(docs)) == want
 
 
@@ -345,6 +349,14 @@ def test_mixture_equals_brute_force(table, share):
     assert got == slow_mix(docs, t)
 
 
+def test_mixture_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    for name, sql in queries.ORACLES.items():
+        assert difference(queries.QUERIES[name](spark, folder), database(folder), sql) is None
+
+
 def test_mixture_leaves_out_children_without_weight(table):
     docs = [(i, "a b c d", "en", f"src{i % 3}", 1) for i in range(30)]
     t = mixing.Targets(source={"src0": 0}, share=5000, epochs=2)
