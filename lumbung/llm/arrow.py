@@ -22,13 +22,24 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def importable(df: DataFrame) -> None:
-    """Let Python workers that see this folder import the package; others need it installed or in --py-files."""
+#: Most bytes of a batch; a batch and what is made of it are in memory several times over.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, SPARKS_OWN = "4m", "67108864b"
+
+
+def prepare(df: DataFrame) -> None:
+    """Let Python workers that see this folder import the package, and keep their batches small.
+
+    Workers that don't see it need the package installed or in --py-files. Batches of texts get
+    4 MB at most, unless the session sets another limit than Spark's own of 64 MB.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = df.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if df.sparkSession.conf.get(BATCH) == SPARKS_OWN:
+        df.sparkSession.conf.set(BATCH, BATCH_BYTES)
 
 
 def arrow_fields(ddl: str) -> list[pa.Field]:
@@ -36,7 +47,7 @@ def arrow_fields(ddl: str) -> list[pa.Field]:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
-    importable(df)
+    prepare(df)
     return df.mapInArrow(run, ddl)
 
 

@@ -2,10 +2,10 @@
 
 Any two equal strings of 100 bytes contain the same grams at the same places, and so the same
 smallest gram hash, their anchor. Every text is cut into pieces: the longest runs of windows with one
-anchor. Equal windows always lie in pieces with equal anchors, so shards made by anchor never need
-to be searched against each other. Of equal pieces only the earliest goes on, the others are repeats
-as a whole; a piece whose anchor no other piece has can't hold a repeat. What is left, different
-pieces with one anchor, is sorted by suffix arrays with common prefixes.
+anchor. Equal windows always lie in pieces with equal anchors, so only these have to meet. Of equal
+pieces only the earliest goes on, the others are repeats as a whole; a piece whose anchor no other
+piece has can't hold a repeat. What is left, different pieces with one anchor, is sorted by suffix
+arrays with common prefixes; where they fill several arrays, the arrays are merged by binary search.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from lumbung.llm.arrow import TEXT, arrow_fields, map_arrow
 from lumbung.session import stage
 
 GRAM = 24
-CHUNK = 2 << 20  # bytes of text that are cut into pieces at a time
-BLOCK = 2 << 20  # bytes of pieces in one suffix array
-SHARD = 32 << 20  # bytes of text for one shard
+CHUNK = 1 << 19  # bytes of text that are cut into pieces at a time
+BLOCK = 1 << 19  # bytes of pieces in one suffix array
+SHARD = 8 << 20  # bytes of text for one shard
+SENT = 200_000  # pieces that a task gathers before it sends those that differ
 PLACE = np.uint64((1 << 28) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK64 = (1 << 64) - 1
-PIECE = "h bigint, s bigint, doc bigint, row bigint, start int, windows int"
 
 
 @lru_cache(maxsize=1)
@@ -154,49 +154,73 @@ def _batch(columns: dict[str, np.ndarray], fields: list[pa.Field]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in fields], names=[f.name for f in fields])
 
 
-def _pieces_of_chunks(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray):
-    """(doc, row, pieces) of chunks of about CHUNK bytes; a batch has columns doc, row and text."""
-    doc, row, texts, size = [], [], [], 0
+def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(doc, row, offset, bytes) of texts with columns doc, row and text; a long text comes in slices that share no window."""
     for batch in batches:
-        for d, r, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if t is None or len(t) < length:
-                continue
-            doc.append(d), row.append(r), texts.append(t)
-            size += len(t)
-            if size >= CHUNK:
-                yield np.array(doc, np.int64), np.array(row, np.int64), Pieces(texts, length, hot)
-                doc, row, texts, size = [], [], [], 0
-    if texts:
-        yield np.array(doc, np.int64), np.array(row, np.int64), Pieces(texts, length, hot)
+        for i in range(0, batch.num_rows, 100):
+            part = batch.slice(i, 100)
+            for doc, row, text in zip(*(part.column(c).to_pylist() for c in range(3))):
+                if text is not None and len(text) >= length:
+                    for at in range(0, len(text) - length + 1, CHUNK):
+                        yield doc, row, at, text[at : at + CHUNK + length - 1]
+
+
+def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    """The pieces of chunks of about CHUNK bytes, as columns h, s, doc, row, start and stop."""
+
+    def cut(slices: list[tuple]) -> dict[str, np.ndarray]:
+        p = Pieces([x[3] for x in slices], length, hot)
+        doc, row, offset = (np.array([x[i] for x in slices], np.int64)[p.text] for i in range(3))
+        start = p.start + offset
+        return {"h": p.h, "s": p.s, "doc": doc, "row": row, "start": start, "stop": start + p.windows + length - 1}
+
+    waiting, size = [], 0
+    for piece in _slices(batches, length):
+        waiting.append(piece)
+        size += len(piece[3])
+        if size >= CHUNK:
+            yield cut(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield cut(waiting)
 
 
 REPEAT = "row bigint, start int, stop int"
 
 
 def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) -> DataFrame:
-    """Rows (shard, row, blob): repeats inside a chunk (shard -1), and the packed pieces of a shard.
+    """Rows (shard, blob): repeats among the pieces that a task has gathered (shard -1), and the packed pieces of a shard.
 
-    Of equal pieces of a chunk only the earliest is sent, so a passage that a third of all texts
-    share costs one piece per chunk, not one per text.
+    Of equal pieces gathered only the earliest is sent, so a passage that a third of all texts share
+    costs one piece in some hundred thousand, not one per text.
     """
     ddl = "shard int, blob binary"
     fields = arrow_fields(ddl)
 
+    def send(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        p = {name: np.concatenate([x[name] for x in parts]) for name in parts[0]}
+        at, first = first_of_equal(p["h"], p["s"], p["doc"], p["row"], p["start"])
+        again, at = at[~first], at[first]
+        blobs = [(-1, pack(*(p[c][again] for c in ("row", "start", "stop"))))] if len(again) else []
+        shard = (p["h"][at] % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        at, shard = at[order], shard[order]
+        bounds = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)]
+        columns = [p[c][at].view(np.int64) for c in ("h", "s", "doc", "row", "start", "stop")]
+        blobs += [(int(shard[a]), pack(*(c[a:b] for c in columns))) for a, b in zip(bounds[:-1], bounds[1:])]
+        return pa.RecordBatch.from_arrays([pa.array([b[i] for b in blobs], f.type) for i, f in enumerate(fields)], names=["shard", "blob"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, row, p in _pieces_of_chunks(batches, length, hot):
-            at, first = first_of_equal(p.h, p.s, doc[p.text], row[p.text], p.start)
-            again = at[~first]
-            again = again[np.lexsort((p.start[again], p.text[again]))]
-            blobs = [(-1, pack(row[p.text[again]], p.start[again], p.start[again] + p.windows[again] + length - 1))] if len(again) else []
-            at = at[first]
-            shard = (p.h[at] % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            at, shard = at[order], shard[order]
-            bounds = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)] if len(shard) else [0]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                i = at[a:b]
-                blobs.append((int(shard[a]), pack(p.h[i].view(np.int64), p.s[i].view(np.int64), doc[p.text[i]], row[p.text[i]], p.start[i], p.windows[i])))
-            yield pa.RecordBatch.from_arrays([pa.array([b[i] for b in blobs], f.type) for i, f in enumerate(fields)], names=["shard", "blob"])
+        parts, size = [], 0
+        for part in _cut_up(batches, length, hot):
+            if len(part["h"]):
+                parts.append(part)
+                size += len(part["h"])
+            if size >= SENT:
+                yield send(parts)
+                parts, size = [], 0
+        if parts:
+            yield send(parts)
 
     return map_arrow(keyed, run, ddl)
 
@@ -213,7 +237,7 @@ def unpack(blobs: list[bytes], n: int) -> list[np.ndarray]:
 SETTLED = "row bigint, start int, stop int, h bigint"
 
 
-def settle_pieces(found: DataFrame, length: int) -> DataFrame:
+def settle_pieces(found: DataFrame) -> DataFrame:
     """(row, start, stop, h): spans that are repeats as a whole (h null), and pieces to be compared with others of anchor h."""
     fields = arrow_fields(SETTLED)
 
@@ -221,14 +245,13 @@ def settle_pieces(found: DataFrame, length: int) -> DataFrame:
         if shard < 0:
             row, start, stop = unpack(blobs, 3)
             return _batch({"row": row, "start": start, "stop": stop, "h": np.ma.masked_all(len(row), np.int64)}, fields)
-        h, s, doc, row, start, windows = unpack(blobs, 6)
+        h, s, doc, row, start, stop = unpack(blobs, 6)
         at, first = first_of_equal(h, s, doc, row, start)
         again, kept = at[~first], at[first]
         shared = h[kept][1:] == h[kept][:-1]
         open_ = kept[np.r_[False, shared] | np.r_[shared, False]]
         both = np.concatenate([again, open_])
         mark = np.ma.array(h[both], mask=np.arange(len(both)) < len(again))
-        stop = start + windows + length - 1
         return _batch({"row": row[both], "start": start[both], "stop": stop[both], "h": mark}, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +282,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     first = np.zeros(n, np.uint64)
     for i in range(8):
         first = first << np.uint64(8) | padded[i : i + n].astype(np.uint64)
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     new = np.r_[True, first[order][1:] != first[order][:-1]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -268,7 +291,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     depth = 8
     if n < 8 or not data[-8:].all():
         rank[:n], depth = np.unique(data, return_inverse=True)[1], 1
-        order = np.argsort(rank[:n], kind="stable")
+        order = np.argsort(rank[:n])
         new = np.r_[True, rank[order][1:] != rank[order][:-1]]
         rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     while True:
@@ -277,11 +300,11 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         if not len(unsorted):
             return order
         members = order[unsorted]
-        own, after = rank[members], rank[np.minimum(members + depth, n)]
-        at = np.lexsort((after, own))
+        key = rank[members] * (n + 1) + rank[np.minimum(members + depth, n)] + 1
+        at = np.argsort(key)
         order[unsorted] = members[at]
-        own, after = own[at], after[at]
-        split = np.r_[True, (own[1:] != own[:-1]) | (after[1:] != after[:-1])]
+        key = key[at]
+        split = np.r_[True, key[1:] != key[:-1]]
         new[unsorted] = split
         rank[order[unsorted]] = unsorted[np.maximum.accumulate(np.where(split, np.arange(len(unsorted)), 0))]
         depth *= 2
@@ -319,25 +342,59 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, len
     return shared
 
 
-def repeats_in_block(pieces: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the piece, offset) of the windows that equal an earlier one; pieces are (doc, row, start, bytes)."""
-    data = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
-    sizes = np.array([len(p[3]) for p in pieces])
-    begins = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(pieces)), sizes)
-    offset = np.arange(len(data)) - begins[owner]
-    order = suffix_array(data)
-    shared = common_prefixes(data, order, begins, sizes, length)
-    group = np.empty(len(data), np.int64)
-    group[order] = np.cumsum(shared < length)
-    window = np.flatnonzero(offset <= sizes[owner] - length)
-    doc, row, start = (np.array([p[i] for p in pieces], np.int64) for i in range(3))
-    o = owner[window]
-    at = np.lexsort((start[o] + offset[window], row[o], doc[o], group[window]))
-    window = window[at]
-    again = np.r_[False, group[window][1:] == group[window][:-1]] if len(window) else np.zeros(0, bool)
-    found = window[again]
-    return owner[found], offset[found]
+class Block:
+    """One suffix array over pieces (h, doc, row, start, bytes), which come in order of h and place."""
+
+    def __init__(self, pieces: list[tuple], length: int):
+        self.data = np.frombuffer(b"".join(p[4] for p in pieces), np.uint8)
+        self.length = length
+        self.h, doc, row, start = (np.array([p[i] for p in pieces], np.int64) for i in range(4))
+        sizes = np.array([len(p[4]) for p in pieces])
+        begins = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        offset = np.arange(len(self.data)) - begins[owner]
+        order = suffix_array(self.data)
+        shared = common_prefixes(self.data, order, begins, sizes, length)
+        group = np.empty(len(self.data), np.int64)
+        group[order] = np.cumsum(shared < length)
+        window = np.flatnonzero(offset <= sizes[owner] - length)
+        # A piece that comes before another in the block also does so in the table, so places compare like texts.
+        at = np.lexsort((window, group[window]))
+        window = window[at]
+        again = np.r_[False, group[window][1:] == group[window][:-1]] if len(window) else np.zeros(0, bool)
+        self.first, self.again = window[~again], window[again]
+        self.owner, self.row, self.place = owner, row[owner], start[owner] + offset
+
+    def keys(self, windows: np.ndarray) -> np.ndarray:
+        """Two hashes of each window, as records that sort."""
+        out = np.empty(len(windows), [("a", np.uint64), ("b", np.uint64)])
+        for name, table in zip("ab", _table()):
+            out[name] = Pieces._content(table[self.data], windows, windows + self.length)
+        return out
+
+
+class Merger:
+    """Blocks of one shard in turn; an anchor whose pieces fill several blocks is merged over them by binary search."""
+
+    def __init__(self, length: int):
+        self.length, self.h, self.seen = length, None, np.zeros(0, [("a", np.uint64), ("b", np.uint64)])
+
+    def repeats(self, pieces: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, start) of the windows that equal an earlier one in this block or in those before."""
+        block = Block(pieces, self.length)
+        found = [block.again]
+        anchor = block.h[block.owner[block.first]]
+        if len(self.seen) and block.h[0] == self.h:
+            own = block.first[anchor == self.h]
+            keys = block.keys(own)
+            at = np.minimum(np.searchsorted(self.seen, keys), len(self.seen) - 1)
+            found.append(own[self.seen[at] == keys])
+        last = block.h[-1]
+        keys = block.keys(block.first[anchor == last])
+        self.seen = np.union1d(self.seen, keys) if last == self.h else np.sort(keys)
+        self.h = last
+        windows = np.concatenate(found)
+        return block.row[windows], block.place[windows]
 
 
 def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
@@ -345,14 +402,12 @@ def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
     fields = arrow_fields(REPEAT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size, last = [], 0, None
+        waiting, size, merger = [], 0, Merger(length)
 
         def flush() -> pa.RecordBatch:
-            index, offset = repeats_in_block(waiting, length)
-            row, start = (np.array([p[i] for p in waiting], np.int64) for i in (1, 2))
-            at = start[index] + offset
-            order = np.lexsort((at, row[index]))
-            r, a = row[index][order], at[order]
+            row, at = merger.repeats(waiting)
+            order = np.lexsort((at, row))
+            r, a = row[order], at[order]
             if not len(r):
                 return _batch({"row": r, "start": a, "stop": a}, fields)
             new = np.r_[True, (r[1:] != r[:-1]) | (a[1:] != a[:-1] + 1)]
@@ -360,43 +415,39 @@ def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
             return _batch({"row": r[new], "start": a[new], "stop": a[end] + length}, fields)
 
         for batch in batches:
-            for h, *piece in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size > BLOCK and h != last:
+            for piece in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if size > BLOCK:
                     yield flush()
                     waiting, size = [], 0
                 waiting.append(piece)
-                size += len(piece[3])
-                last = h
+                size += len(piece[4])
         if waiting:
             yield flush()
 
-    return map_arrow(pieces.repartition("h").sortWithinPartitions("h"), run, REPEAT)
+    return map_arrow(pieces.repartition("h").sortWithinPartitions("h", "doc", "row", "start"), run, REPEAT)
 
 
-def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.002) -> np.ndarray:
-    """Anchors with more than this share of the different pieces of some texts.
+def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.001, pieces: int = 20) -> np.ndarray:
+    """Anchors with at least this many different pieces in a share of the texts, of ``sample`` texts at least.
 
     It only decides how work is split, not what is found: windows of a hot anchor are dealt out by
-    their own content. The texts looked at (about ``sample``, by a hash) give at most 1 / ``share``.
+    their own content, and an anchor that is not hot has some ten thousand pieces in all at most,
+    whatever the size of the corpus.
     """
     total = keyed.count()
-    part = min(1.0, sample / max(1, total))
+    part = min(1.0, max(sample / max(1, total), share))
     chosen = keyed.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    fields = arrow_fields("h bigint, n bigint")
+    ddl = "h bigint, n bigint"
+    fields = arrow_fields(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, p in _pieces_of_chunks(batches, length, np.zeros(0, np.uint64)):
-            at, first = first_of_equal(p.h, p.s)
-            h, n = np.unique(p.h[at[first]], return_counts=True)
-            many = n >= max(3, share / 2 * n.sum())
-            yield _batch({"h": np.r_[h[many].view(np.int64), 0], "n": np.r_[n[many], -n.sum()]}, fields)
-
-    counts = map_arrow(chosen, run, "h bigint, n bigint").where("n > 0 or h = 0").groupBy("h").agg(
-        F.sum(F.greatest("n", F.lit(0))).alias("n"), F.sum(F.greatest(-F.col("n"), F.lit(0))).alias("all")
-    )
-    counts = stage(counts, "hot-anchors")
-    pieces = counts.agg(F.sum("all")).first()[0] or 0
-    rows = counts.where(F.col("n") >= max(20, int(share * pieces))).select("h").collect()
+        for p in _cut_up(batches, length, np.zeros(0, np.uint64)):
+            at, first = first_of_equal(p["h"], p["s"])
+            h, n = np.unique(p["h"][at[first]], return_counts=True)
+            yield _batch({"h": h.view(np.int64), "n": n}, fields)
+
+    counts = map_arrow(chosen, run, ddl).groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= pieces).select("h").collect()
     return np.array([r[0] for r in rows], np.int64).view(np.uint64)
 
 
@@ -406,7 +457,7 @@ def repeats(base: DataFrame, length: int) -> DataFrame:
     size = keyed.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
     hot = hot_anchors(keyed, length)
     found = find_pieces(keyed, length, hot, max(1, -(-size // SHARD)))
-    settled = stage(settle_pieces(found, length), "settled-pieces")
+    settled = stage(settle_pieces(found), "settled-pieces")
     whole = settled.where("h is null").select("row", "start", "stop")
     wanted = settled.where("h is not null").groupBy("row").agg(F.collect_list(F.struct("h", "start", "stop")).alias("wanted"))
     texts = keyed.join(wanted, "row").select("doc", "row", TEXT, F.explode("wanted").alias("w"))
