@@ -197,7 +197,7 @@ def keep_one(docs: DataFrame, text_col: str = "text", shingle: int = 3, distance
     """
     key, comp, mine = fresh(docs, "__key"), fresh(docs, "__component"), fresh(docs, "__id")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn(key, F.xxhash64(*columns))
+    keyed = docs.withColumn(key, F.xxhash64(*columns, *(c.isNull() for c in columns)))  # nulls alone leave no trace
     prints = stage(fingerprints(keyed, [id_col, key], text_col, shingle).withColumnsRenamed({id_col: mine}), "fingerprints")
     named = classes(prints, distance)
     best = prints.join(named, "fingerprint").groupBy("root").agg(
