@@ -169,7 +169,8 @@ def fit(docs: DataFrame, lang_col: str, text_col: str, path: str, sample: int =
 
     About ``sample`` texts of each language are used, chosen by a hash of the text. Words are
     counted by Spark, each round sums the expected counts of the pieces over all segmentations on
-    the executors, and the driver gets one number per language and piece (32,000 at most).
+    the executors, and the driver gets one number per language and piece (32,000 pieces at most, so
+    the table of a hundred languages has 26 MB).
     """
     spark = docs.sparkSession
     labelled = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("body")).where(

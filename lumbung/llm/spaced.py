@@ -123,7 +123,7 @@ def find_leaks(
     window: int = 20,
     share: float = 0.8,
     least: int = 8,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Per row: the columns ``keep``, contaminated, item_ids (ascending) and overlaps (of the same items).
 
