@@ -10,7 +10,7 @@ from lumbung.operators import dimensions, star
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
 from lumbung.plans.warehouse import cube_of, load_warehouse
-from lumbung.session import stage_path
+from lumbung.session import stage, stage_path
 from lumbung.sources import indicators, readers, sinks
 from lumbung.workload.base import CODE_SQL, DIMS, FACT, on_cube, on_lines, query, r, tidy
 
@@ -109,6 +109,37 @@ def indicator_payload(t: Source) -> DataFrame:
     return parsed.withColumn("terjual", F.col("terjual").try_cast("double"))
 
 
+STATISTICS = {"terjual_small": ["jumlah", "small"], "terjual_large": ["jumlah", "large"]}
+
+
+@query("a5_annual_statistics", on_lines("""
+SELECT n_name AS provinsi, tahun, sum(CASE WHEN p_type = 'SMALL' THEN l_quantity END) AS terjual_small,
+       sum(CASE WHEN p_type = 'LARGE' THEN l_quantity END) AS terjual_large
+FROM lines JOIN nation ON n_nationkey = id_asal GROUP BY n_name, tahun HAVING terjual_small IS NOT NULL OR terjual_large IS NOT NULL"""))
+def annual_statistics(t: Source) -> DataFrame:
+    """Two indicators, each with an unusable document before the good one."""
+    good = stage(payloads(t), "payloads")
+    documents = good.select("tahun", F.lit(2).alias("urutan"), "payload").unionByName(
+        good.select("tahun", F.lit(1).alias("urutan"), F.lit('{"status": "ERROR"}').alias("payload"))
+    )
+    documents = documents.select("*", F.explode(F.array(*[F.lit(c) for c in STATISTICS])).alias("indikator"))
+    table = indicators.annual_statistics(documents, STATISTICS)
+    table = table.select("provinsi", "tahun", *[F.col(c).try_cast("double").alias(c) for c in STATISTICS])
+    return table.where(" OR ".join(f"{c} IS NOT NULL" for c in STATISTICS))
+
+
+@query("a5_region_indicator", on_lines("""
+SELECT ' ' || n_name AS provinsi, tahun, lpad(CAST(n_nationkey + 1 AS VARCHAR), 7, '0') AS kode_wilayah,
+       sum(CASE WHEN p_type = 'SMALL' THEN l_quantity END) AS terjual
+FROM lines JOIN nation ON n_nationkey = id_asal GROUP BY n_name, n_nationkey, tahun"""))
+def region_indicator(t: Source) -> DataFrame:
+    """The document of a year delivered once per region, each read for its own region."""
+    regions = standin.lines(t).select("id_asal", "tahun").distinct().join(t("nation"), F.expr("n_nationkey = id_asal"))
+    documents = regions.select("tahun", F.concat(F.lit(" "), "n_name").alias("provinsi")).join(payloads(t), "tahun")
+    parsed = indicators.parse_region_indicator(documents, ["jumlah", "small"], "terjual")
+    return parsed.withColumn("terjual", F.col("terjual").try_cast("double"))
+
+
 @query("a5_json_props", f"""
 SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, {r("sum(value)", 2)} AS total
 FROM events GROUP BY 1""")
@@ -147,6 +178,24 @@ def unpivot_price_sheet(t: Source) -> DataFrame:
     return tidy(long.where("harga IS NOT NULL"), {"harga": 2})
 
 
+@query("a7_price_sheet_files", f"""
+SELECT o_orderstatus AS provinsi, o_orderpriority AS jenis_daging, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS tanggal,
+       {r("sum(o_totalprice)", 2)} AS harga
+FROM orders WHERE lower(o_orderpriority) LIKE '%high%' OR lower(o_orderpriority) LIKE '%low%' GROUP BY ALL""")
+def price_sheet_files(t: Source) -> DataFrame:
+    """A CSV sheet per status, in a folder of its name, all read in one call."""
+    folder = stage_path(t.spark, "sheets")
+    rows = t("orders").where("o_orderdate IS NOT NULL").select(
+        "o_orderstatus", F.col("o_orderpriority").alias("Komoditas (Rp)"), F.date_format("o_orderdate", "'01/ 'MM'/ 'yyyy").alias("h"), "o_totalprice"
+    )
+    months = sorted(row.h for row in rows.select("h").distinct().collect())
+    wide = stage(rows.groupBy("o_orderstatus", "Komoditas (Rp)").pivot("h", months).agg(F.sum("o_totalprice")), "sheets")
+    for status in sorted(row.o_orderstatus for row in wide.select("o_orderstatus").distinct().collect()):
+        wide.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.csv(f"{folder}/{status}", header=True)
+    long = readers.read_price_sheets(t.spark, folder, ["high", "low"]).where("harga IS NOT NULL")
+    return tidy(long.select("provinsi", "jenis_daging", F.date_format("waktu", "yyyy-MM-dd").alias("tanggal"), "harga"), {"harga": 2})
+
+
 @query("a8_label_parts", """
 SELECT jenis_pasar, kota, count(*) AS n FROM (
   SELECT CASE WHEN p_partkey % 10 = 0 THEN 'TIDAK DIKETAHUI' ELSE split_part(p_name, ' ', 1) END AS jenis_pasar,
