@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -54,13 +55,18 @@ def _record(kind: Column, record_id: Column, page: Column, uri: Column, code: Co
     )
 
 
+def _fresh(record_id: Column, salt: str) -> Column:
+    """The id of a record in the new archive, the same wherever it is asked for."""
+    return F.regexp_replace(F.md5(F.concat(record_id, F.lit(salt))), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+
+
 def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
 def _save(records: DataFrame, path: str) -> None:
     """Records as gzip files; the line separator is the end mark of a record."""
-    options = {"lineSep": CRLF * 2, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    options = {"lineSep": CRLF * 2, "compression": "gzip"}
     records.write.options(**options).text(path)
 
 
@@ -158,23 +164,23 @@ def resolve_revisits(spark: SparkSession, source: str, target: str, min_bytes: i
     (then record) id stays a response, the others become revisit records of it, and so do revisit
     records read from ``source``; those without a response of their digest stay as they are.
     Only headers are grouped and joined by digest: the largest id of a digest is found by partial
-    sums, and a digest shared by a third of all records meets one row in the join.
+    sums, and a digest shared by a third of all records meets one row in the join. Payloads meet
+    the list of records that change, which is staged; where that is short, Spark broadcasts it.
     """
     page = F.col("page").cast(id_type)
-    heads = stage(read_archive(spark, source).withColumn("fresh", F.expr("uuid()")), "warc-heads")
+    heads = stage(read_archive(spark, source), "warc-heads")
     whole = heads.where((F.col("type") != "revisit") & (F.col("payload_bytes") >= min_bytes))
-    winners = whole.groupBy("digest").agg(F.max(F.struct(page.alias("page"), "fresh")).alias("best"))
-    winners = winners.select("digest", F.col("best.fresh").alias("winner"))
+    winners = whole.groupBy("digest").agg(F.max(F.struct(page.alias("page"), "record_id")).alias("best"))
     can_move = (F.col("type") == "revisit") | (F.col("payload_bytes") >= min_bytes)
-    moved = F.col("winner").isNotNull() & can_move & (F.col("winner") != F.col("fresh"))
-    resolved = heads.join(winners, "digest", "left").select(
-        "record_id", "fresh", F.when(moved, "revisit").otherwise(F.col("type")).alias("kind"),
-        F.when(moved, F.col("winner")).otherwise(F.col("refers_record")).alias("refers"),
-    )
-    records = read_archive(spark, source, payloads=True).join(resolved, "record_id")
+    found = heads.where(can_move).join(winners.select("digest", F.col("best.record_id").alias("winner")), "digest")
+    moved = stage(found.where("winner != record_id").select("record_id", "winner"), "warc-moved")
+    records = read_archive(spark, source, payloads=True).join(moved, "record_id", "left")
+    salt = uuid.uuid4().hex
+    again = F.col("winner").isNotNull()
     record = _record(
-        F.col("kind"), F.col("fresh"), F.col("page"), F.col("uri"), F.col("digest"), F.col("payload").cast("string"),
-        F.col("refers"), _now(),
+        F.when(again, "revisit").otherwise(F.col("type")), _fresh(F.col("record_id"), salt), F.col("page"), F.col("uri"),
+        F.col("digest"), F.col("payload").cast("string"),
+        F.when(again, _fresh(F.col("winner"), salt)).otherwise(F.col("refers_record")), _now(),
     )
     _save(records.select(record.alias("value")), target)
 
