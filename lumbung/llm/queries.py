@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm import bpe, langid, mixing, simhash, spaced, suffix, toxicity, url_rules, warc, weak
+from lumbung.llm import bpe, conversations, importance, langid, mixing, simhash, spaced, suffix, token_files, toxicity, url_rules, warc, weak
+from lumbung.llm.conversations_sql import repair_sql
+from lumbung.llm.importance_sql import resample_sql
 from lumbung.llm.mixing_sql import mixture_sql
 from lumbung.llm.targets import TARGETS
 
@@ -93,3 +95,26 @@ def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, folder, "documents"), length=100)
+
+
+@query
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_importance"] = resample_sql()
+
+
+@query
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.write_and_read(table(spark, folder, "documents"), end_id=2)
+
+
+@query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations, repaired; those that lost all rows are reported too."""
+    rows = table(spark, folder, "conversations")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
+ORACLES["op13_conversations"] = repair_sql()
