@@ -292,6 +292,43 @@ def test_mined_rules_equal_brute_force(table):
     assert [got[i] for i in range(len(urls))] == want and any(want) and not all(want)
 
 
+@pytest.mark.parametrize("before", [7, 8, 12, 29])
+def test_rules_on_late_tokens_of_long_paths(table, before):
+    """Bad URLs are told by one word after ``before`` different ones; a site with a third of all pages shares one path."""
+    rng = random.Random(before)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    long = [f"http://{word()}.org/" + "/".join(word() for _ in range(before)) for _ in range(300)]
+    urls = [u + ("/casino" if i < 134 else "/garden") for i, u in enumerate(long)] + ["http://big.net/a/b"] * 200
+    pages = table([(i, u, None) for i, u in enumerate(urls)], PAGES)
+    known = table([(u, i < 134) for i, u in enumerate(urls)], "url string, bad boolean")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages, known, []).collect()}
+    assert [got[i] == "block" for i in range(len(urls))] == [i < 134 for i in range(len(urls))]
+
+
+def test_shared_long_paths_equal_brute_force(table):
+    """Thirty path words that always come together are mined as one; each of them alone is a rule of its own."""
+    rng = random.Random(4)
+    common = "/".join(f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30))
+    kinds = ["", "/x", "/x/y", "/y", "/z", "/z/x"]
+    urls = [f"http://s.org/{common if rng.random() < 0.5 else 'partaa' if rng.random() < 0.3 else 'home'}{rng.choice(kinds)}" for _ in range(500)]
+    known = [(u, ("partab" in u and "/x" in u) or rng.random() < 0.05) for u in urls]
+    others = [f"http://t.org/{p}{k}" for p in ("partab", "partbd/partac", "partaa", "home", "x", common) for k in kinds]
+    pages = table([(i, u, None) for i, u in enumerate(urls + others)], PAGES)
+    frame = pages.select("url", url_rules.tokens(url_rules.host(F.col("url")), url_rules.path(F.col("url"))).alias("t")).distinct()
+    sets = {r["url"]: frozenset(r["t"]) for r in frame.collect()}
+    # Of the thirty, all but partaa stand for one another in every combination.
+    short = lambda s: frozenset("p:partab" if t.startswith("p:part") and t != "p:partaa" else t for t in s)
+    rules = []
+    for c in {frozenset(c) for s in sets.values() for n in range(1, len(short(s)) + 1) for c in combinations(sorted(short(s)), n)}:
+        hits = [b for u, b in known if c <= short(sets[u])]
+        if sum(hits) >= 20 and sum(hits) >= 0.8 * len(hits):
+            rules.append(c)
+    judged = url_rules.judge_urls(pages, table(known, "url string, bad boolean"), [], min_support=0.001, min_confidence=0.8)
+    got = {r["page_id"]: r["verdict"] == "block" for r in judged.collect()}
+    want = [any(c <= short(sets[u]) for c in rules) for u in urls + others]
+    assert [got[i] for i in range(len(want))] == want and any(want[500:]) and not all(want[500:])
+
+
 # Mixing
 
 
