@@ -26,7 +26,8 @@ GRAM = 24
 CHUNK = 1 << 19  # bytes of text that are cut into pieces at a time
 BLOCK = 1 << 19  # bytes of pieces in one suffix array
 SHARD = 8 << 20  # bytes of text for one shard
-SENT = 200_000  # pieces that a task gathers before it sends those that differ
+SENT = 1 << 16  # pieces that a task gathers before it sends those that differ, 3 MB
+HOT_BITS = 27  # two to this power bits at most tell which anchors are hot, 16 MB
 PLACE = np.uint64((1 << 28) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK64 = (1 << 64) - 1
@@ -91,10 +92,26 @@ def smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - over], keys[over:]) if over else keys
 
 
+class Hot:
+    """A set of anchors as bits, that may take some others for members; without bits it has none."""
+
+    def __init__(self, bits: np.ndarray | None = None):
+        self.bits = np.zeros(1, np.uint64) if bits is None else bits
+
+    @staticmethod
+    def place(h, size: int):
+        """(word, bit) of hashes in ``size`` words, a power of two."""
+        return h & np.uint64(size - 1), h >> np.uint64(27) & np.uint64(63)  # smallest hashes begin with zeros
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        word, bit = self.place(h, len(self.bits))
+        return (self.bits[word] >> bit & np.uint64(1)).astype(bool)
+
+
 class Pieces:
     """The pieces of some texts: anchor hash h, content hash s, text, start and number of windows."""
 
-    def __init__(self, texts: list[bytes], length: int, hot: np.ndarray):
+    def __init__(self, texts: list[bytes], length: int, hot: Hot):
         data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes)
@@ -119,7 +136,7 @@ class Pieces:
         last = ends[owner[starts]] - length + 1
         windows = np.minimum(np.r_[starts[1:], n], last) - starts
         h = hashes[anchor[starts]]
-        loose = np.isin(h, hot)
+        loose = hot.has(h)
         if loose.any():  # each window of a hot anchor becomes a piece with an anchor of its own
             count = np.where(loose, windows, 1)
             offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -165,7 +182,7 @@ def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[in
                         yield doc, row, at, text[at : at + CHUNK + length - 1]
 
 
-def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: Hot) -> Iterator[dict[str, np.ndarray]]:
     """The pieces of chunks of about CHUNK bytes, as columns h, s, doc, row, start and stop."""
 
     def cut(slices: list[tuple]) -> dict[str, np.ndarray]:
@@ -185,23 +202,23 @@ def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) ->
         yield cut(waiting)
 
 
-REPEAT = "row bigint, start int, stop int"
+REPEAT = "doc bigint, row bigint, start int, stop int"
 
 
-def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) -> DataFrame:
+def find_pieces(keyed: DataFrame, length: int, hot: Hot, shards: int) -> DataFrame:
     """Rows (shard, blob): repeats among the pieces that a task has gathered (shard -1), and the packed pieces of a shard.
 
     Of equal pieces gathered only the earliest is sent, so a passage that a third of all texts share
-    costs one piece in some hundred thousand, not one per text.
+    costs one piece in some ten thousand, not one per text.
     """
     ddl = "shard int, blob binary"
-    fields = arrow_fields(ddl)
+    fields, shared = arrow_fields(ddl), keyed.sparkSession.sparkContext.broadcast(hot.bits)
 
     def send(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
         p = {name: np.concatenate([x[name] for x in parts]) for name in parts[0]}
         at, first = first_of_equal(p["h"], p["s"], p["doc"], p["row"], p["start"])
         again, at = at[~first], at[first]
-        blobs = [(-1, pack(*(p[c][again] for c in ("row", "start", "stop"))))] if len(again) else []
+        blobs = [(-1, pack(*(p[c][again] for c in ("doc", "row", "start", "stop"))))] if len(again) else []
         shard = (p["h"][at] % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         at, shard = at[order], shard[order]
@@ -212,7 +229,7 @@ def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
-        for part in _cut_up(batches, length, hot):
+        for part in _cut_up(batches, length, Hot(shared.value)):
             if len(part["h"]):
                 parts.append(part)
                 size += len(part["h"])
@@ -234,17 +251,17 @@ def unpack(blobs: list[bytes], n: int) -> list[np.ndarray]:
     return list(np.concatenate(parts, axis=1)) if parts else [np.zeros(0, np.int64)] * n
 
 
-SETTLED = "row bigint, start int, stop int, h bigint"
+SETTLED = "doc bigint, row bigint, start int, stop int, h bigint"
 
 
 def settle_pieces(found: DataFrame) -> DataFrame:
-    """(row, start, stop, h): spans that are repeats as a whole (h null), and pieces to be compared with others of anchor h."""
+    """(doc, row, start, stop, h): spans that are repeats as a whole (h null), and pieces to be compared with others of anchor h."""
     fields = arrow_fields(SETTLED)
 
     def settle(shard: int, blobs: list[bytes]) -> pa.RecordBatch:
         if shard < 0:
-            row, start, stop = unpack(blobs, 3)
-            return _batch({"row": row, "start": start, "stop": stop, "h": np.ma.masked_all(len(row), np.int64)}, fields)
+            doc, row, start, stop = unpack(blobs, 4)
+            return _batch({"doc": doc, "row": row, "start": start, "stop": stop, "h": np.ma.masked_all(len(row), np.int64)}, fields)
         h, s, doc, row, start, stop = unpack(blobs, 6)
         at, first = first_of_equal(h, s, doc, row, start)
         again, kept = at[~first], at[first]
@@ -252,7 +269,7 @@ def settle_pieces(found: DataFrame) -> DataFrame:
         open_ = kept[np.r_[False, shared] | np.r_[shared, False]]
         both = np.concatenate([again, open_])
         mark = np.ma.array(h[both], mask=np.arange(len(both)) < len(again))
-        return _batch({"row": row[both], "start": start[both], "stop": stop[both], "h": mark}, fields)
+        return _batch({"doc": doc[both], "row": row[both], "start": start[both], "stop": stop[both], "h": mark}, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, blobs = None, []
@@ -363,7 +380,7 @@ class Block:
         window = window[at]
         again = np.r_[False, group[window][1:] == group[window][:-1]] if len(window) else np.zeros(0, bool)
         self.first, self.again = window[~again], window[again]
-        self.owner, self.row, self.place = owner, row[owner], start[owner] + offset
+        self.owner, self.doc, self.row, self.place = owner, doc[owner], row[owner], start[owner] + offset
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """Two hashes of each window, as records that sort."""
@@ -379,8 +396,8 @@ class Merger:
     def __init__(self, length: int):
         self.length, self.h, self.seen = length, None, np.zeros(0, [("a", np.uint64), ("b", np.uint64)])
 
-    def repeats(self, pieces: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        """(row, start) of the windows that equal an earlier one in this block or in those before."""
+    def repeats(self, pieces: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, row, start) of the windows that equal an earlier one in this block or in those before."""
         block = Block(pieces, self.length)
         found = [block.again]
         anchor = block.h[block.owner[block.first]]
@@ -394,25 +411,25 @@ class Merger:
         self.seen = np.union1d(self.seen, keys) if last == self.h else np.sort(keys)
         self.h = last
         windows = np.concatenate(found)
-        return block.row[windows], block.place[windows]
+        return block.doc[windows], block.row[windows], block.place[windows]
 
 
 def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
-    """(row, start, stop): repeated windows among pieces (h, doc, row, start, body) with one anchor."""
+    """(doc, row, start, stop): repeated windows among pieces (h, doc, row, start, body) with one anchor."""
     fields = arrow_fields(REPEAT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, merger = [], 0, Merger(length)
 
         def flush() -> pa.RecordBatch:
-            row, at = merger.repeats(waiting)
-            order = np.lexsort((at, row))
-            r, a = row[order], at[order]
+            doc, row, at = merger.repeats(waiting)
+            order = np.lexsort((at, row, doc))
+            d, r, a = doc[order], row[order], at[order]
             if not len(r):
-                return _batch({"row": r, "start": a, "stop": a}, fields)
-            new = np.r_[True, (r[1:] != r[:-1]) | (a[1:] != a[:-1] + 1)]
+                return _batch({"doc": d, "row": r, "start": a, "stop": a}, fields)
+            new = np.r_[True, (d[1:] != d[:-1]) | (r[1:] != r[:-1]) | (a[1:] != a[:-1] + 1)]
             end = np.r_[np.flatnonzero(new)[1:] - 1, len(r) - 1]
-            return _batch({"row": r[new], "start": a[new], "stop": a[end] + length}, fields)
+            return _batch({"doc": d[new], "row": r[new], "start": a[new], "stop": a[end] + length}, fields)
 
         for batch in batches:
             for piece in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -427,53 +444,76 @@ def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
     return map_arrow(pieces.repartition("h").sortWithinPartitions("h", "doc", "row", "start"), run, REPEAT)
 
 
-def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.001, pieces: int = 20) -> np.ndarray:
+def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.001, pieces: int = 20) -> Hot:
     """Anchors with at least this many different pieces in a share of the texts, of ``sample`` texts at least.
 
     It only decides how work is split, not what is found: windows of a hot anchor are dealt out by
     their own content, and an anchor that is not hot has some ten thousand pieces in all at most,
-    whatever the size of the corpus.
+    whatever the size of the corpus. What the driver gets is a row of bits, 16 for each hot anchor and
+    two to the power of HOT_BITS at most; beyond that more anchors than the hot ones are dealt out.
     """
     total = keyed.count()
     part = min(1.0, max(sample / max(1, total), share))
-    chosen = keyed.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(part * (1 << 30)))
+    chosen = keyed.where(F.pmod(F.xxhash64("doc", "row"), F.lit(1 << 30)) < int(part * (1 << 30)))
     ddl = "h bigint, n bigint"
     fields = arrow_fields(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in _cut_up(batches, length, np.zeros(0, np.uint64)):
+        for p in _cut_up(batches, length, Hot()):
             at, first = first_of_equal(p["h"], p["s"])
             h, n = np.unique(p["h"][at[first]], return_counts=True)
             yield _batch({"h": h.view(np.int64), "n": n}, fields)
 
     counts = map_arrow(chosen, run, ddl).groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= pieces).select("h").collect()
-    return np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    hot = stage(counts.where(F.col("n") >= pieces).select("h"), "hot-anchors")
+    found = hot.count()
+    if not found:
+        return Hot()
+    size = 1 << max(0, min(HOT_BITS, (16 * found - 1).bit_length()) - 6)
+    word = F.col("h").bitwiseAND(F.lit(size - 1))
+    words = hot.select(word.alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 27) & 63 as int))").alias("bit"))
+    bits = np.zeros(size, np.int64)
+    for at, value in words.groupBy("word").agg(F.bit_or("bit")).collect():
+        bits[at] = value
+    return Hot(bits.view(np.uint64))
+
+
+KEY = ["doc", "row"]
 
 
 def repeats(base: DataFrame, length: int) -> DataFrame:
-    """(row, spans) of the repeated strings of ``base`` (doc, row, __text)."""
-    keyed = base.select("doc", "row", TEXT)
+    """(doc, row, spans) of the repeated strings of ``base`` (doc, row, __text)."""
+    keyed = base.select(*KEY, TEXT)
     size = keyed.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
     hot = hot_anchors(keyed, length)
     found = find_pieces(keyed, length, hot, max(1, -(-size // SHARD)))
     settled = stage(settle_pieces(found), "settled-pieces")
-    whole = settled.where("h is null").select("row", "start", "stop")
-    wanted = settled.where("h is not null").groupBy("row").agg(F.collect_list(F.struct("h", "start", "stop")).alias("wanted"))
-    texts = keyed.join(wanted, "row").select("doc", "row", TEXT, F.explode("wanted").alias("w"))
+    whole = settled.where("h is null").select(*KEY, "start", "stop")
+    wanted = settled.where("h is not null").groupBy(*KEY).agg(F.collect_list(F.struct("h", "start", "stop")).alias("wanted"))
+    texts = keyed.join(wanted, KEY).select(*KEY, TEXT, F.explode("wanted").alias("w"))
     body = F.substring(F.col(TEXT), F.col("w.start") + 1, F.col("w.stop") - F.col("w.start"))
-    pieces = texts.select("w.h", "doc", "row", "w.start", body.alias("body"))
+    pieces = texts.select("w.h", *KEY, "w.start", body.alias("body"))
     spans = stage(whole.union(compare_pieces(pieces, length)), "repeated-spans")
-    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The columns of ``docs`` as c0, c1, ..., beside doc (the id), row (the place in the table) and __text."""
+    """The columns of ``docs`` as c0, c1, ..., beside doc (the id), row and __text.
+
+    doc and row name a row, the same in every job. row is 0 for an id that occurs once; the rows of
+    all others are stored with numbers in the order in which they are read.
+    """
     doc = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
-    return docs.select(
+    plain = docs.select(
         *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)), doc.alias("doc"),
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{text_col}`").cast("string").cast("binary").alias(TEXT),
+        F.col(f"`{text_col}`").cast("string").cast("binary").alias(TEXT),
     )
+    several = stage(plain.groupBy("doc").count().where("count > 1").select("doc"), "repeated-ids")
+    if several.isEmpty():
+        return plain.withColumn("row", F.lit(0).cast("bigint"))
+    numbered = plain.join(several, "doc", "left_semi").withColumn("row", F.monotonically_increasing_id())
+    single = plain.join(several, "doc", "left_anti").withColumn("row", F.lit(0).cast("bigint"))
+    return single.unionByName(stage(numbered, "rows-of-repeated-ids"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -497,7 +537,7 @@ def cut(text: bytes, runs: list[list[int]]) -> bytes:
 
 def _cut_texts(base: DataFrame, keep: list[str], length: int, ddl: str, give) -> DataFrame:
     """The columns ``keep`` of ``base`` and what ``give`` makes of a text and its repeated runs."""
-    joined = base.join(repeats(base, length), "row", "left").select(
+    joined = base.join(repeats(base, length), KEY, "left").select(
         *keep, TEXT, F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")
     )
     schema = ", ".join([f"{c} {base.schema[c].dataType.simpleString()}" for c in keep] + [ddl])
@@ -522,8 +562,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others, rows with one id are taken in the order in which the table is read. Texts are compared
     as UTF-8 bytes and as they were before anything was removed; strings never span two texts. Null
     and empty texts, and those shorter than ``length``, lose nothing. An empty table gives an empty
-    result; other columns are not read. ``docs`` must be a stored table (or a projection of one),
-    because it is read several times and its rows are told apart by their place in it.
+    result; other columns are not read. ``docs`` should be a stored table (or a projection of one),
+    because it is read several times; how it is split into tasks may change in between, as rows are
+    told apart by their ids. Rows of ids that occur several times are stored with numbers first.
+
+    Strings are held to be equal if their hashes are: 64 bits of the anchor and 64 of the piece where
+    whole pieces meet, 128 bits of the window where an anchor's pieces fill several arrays. Inside an
+    array the bytes are compared. The chance that any two of n different pieces pass for equal is
+    about n ** 2 / 2 ** 129.
     """
 
     def give(text: bytes | None, runs: list[list[int]]) -> tuple:

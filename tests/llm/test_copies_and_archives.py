@@ -185,12 +185,60 @@ def test_hot_anchors_do_not_change_the_result(table, monkeypatch):
     hot = suffix.hot_anchors
     monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: found.append(hot(keyed, length)) or found[-1])
     suffix.remove_repeats(docs).collect()
-    assert len(found[0])  # the line was dealt out window by window
-    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: np.zeros(0, np.uint64))
+    assert found[0].bits.any()  # the line was dealt out window by window
+    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: suffix.Hot())
     monkeypatch.setattr(suffix, "BLOCK", 1500)
     assert rows(suffix.remove_repeats(docs)) == want
 
 
+def test_all_anchors_may_be_taken_for_hot(table, monkeypatch):
+    texts = repeated_texts(2, 40)
+    docs = table(list(enumerate(texts)))
+    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: suffix.Hot(np.full(1, -1, np.int64).view(np.uint64)))
+    assert rows(suffix.remove_repeats(docs)) == sorted([(i, *d) for i, d in enumerate(digests(slow_repeats(texts, 100)))], key=str)
+
+
+def test_bits_of_hot_anchors(monkeypatch):
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 1 << 64, 500, np.uint64, endpoint=False)
+    bits = np.zeros(128, np.uint64)
+    word, bit = suffix.Hot.place(h, 128)
+    np.bitwise_or.at(bits, word, np.uint64(1) << bit)
+    hot = suffix.Hot(bits)
+    assert hot.has(h).all() and not suffix.Hot().has(h).any()
+    assert hot.has(rng.integers(0, 1 << 64, 5000, np.uint64, endpoint=False)).mean() < 0.1
+
+
+def test_rows_keep_their_names_when_the_scan_is_split_anew(spark, table, monkeypatch):
+    """Executors that come or go change how a table is split between jobs; here every staged table does."""
+    texts = repeated_texts(5, 300)
+    data = [(7 * i % 301, t, "en") for i, t in enumerate(texts)] + [(500, texts[0], "de"), (500, texts[1], "fr"), (None, texts[2], "a"), (None, texts[2], "b")]
+    docs = stage(spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(9), "split")
+    single = [i for i, n in Counter(r[0] for r in data).items() if n == 1]
+    ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
+    want = sorted([(r[0], *d) for r, d in zip(ordered, digests(slow_repeats([r[1] for r in ordered], 100))) if r[0] in single], key=str)
+    sizes, own = [1 << 30, 2000, 9000, 500, 40_000], suffix.stage
+
+    def moved(df, name):
+        done = own(df, name)
+        sizes.append(sizes.pop(0))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(sizes[0]))
+        spark.conf.set("spark.sql.files.openCostInBytes", str(min(sizes[0], 1000)))
+        return done
+
+    monkeypatch.setattr(suffix, "stage", moved)
+    try:
+        found = suffix.remove_repeats(docs)
+        first = rows(found)
+        for size in sizes:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            assert rows(found) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r for r in first if r[0] in single] == want and len(first) == len(data)
+
+
 def test_repeats_in_odd_rows(odd, odd_rows, empty):
     ordered = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0))
     found = slow_repeats([r[1] for r in ordered], 100)
