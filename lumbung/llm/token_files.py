@@ -24,7 +24,9 @@ from lumbung.llm.arrow import arrow_fields, map_arrow
 from lumbung.session import stage, stage_path
 
 MODEL = "word_bpe_49k.json"
-CACHED_WORDS, CACHED_LENGTH = 1_000_000, 64
+CACHED_WORDS, CACHED_LENGTH = 400_000, 64
+#: Letters that are one character in every normal form, with marks of sentences behind them.
+WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 #: A null id; it comes before all others, which must be larger.
 NULL_ID = -(1 << 63)
 #: Bytes of text that a document costs beside its own when shards are cut, so shards of short texts are bounded too.
@@ -53,8 +55,24 @@ def ends_words(config: dict) -> bool:
     )
 
 
+def plain_steps(config: dict) -> bool:
+    """Whether letters reach the model as they are but for their case: lower-cased, then as characters that stand for bytes."""
+    steps = (config.get("normalizer") or {}).get("normalizers", [])
+    own = [s["type"] for s in steps if not (s["type"] == "Replace" and s["pattern"].get("Regex") == "\\s+")]
+    pieces = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    last = pieces[-1] if len(pieces) == 2 else {}
+    return (
+        sorted(own) == ["Lowercase", "NFC"] and last.get("type") == "ByteLevel"
+        and not last.get("use_regex") and not last.get("add_prefix_space") and not config["model"].get("dropout")
+    )
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizer's library, as bytes; words that were seen before are looked up."""
+    """Ids of whole texts by the tokenizer's library, as bytes; words that were seen before are looked up.
+
+    A word of plain letters goes to the library's model at once, as its other steps do nothing to it
+    but lower its case; all other words take all steps.
+    """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -63,9 +81,14 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
-            self.words = ends_words(json.load(file))
+            config = json.load(file)
+        self.words = ends_words(config)
         self.type = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
-        self.cached, self.known = cached, {"": b""}
+        self.cached, self.known, self.letters = cached, {"": b""}, {}
+        if self.words and plain_steps(config):
+            self.model, as_bytes = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+            low = [chr(c) for c in range(0x61, 0x100) if WORD.fullmatch(chr(c)) and chr(c) == chr(c).lower()]
+            self.letters = str.maketrans({c: as_bytes(c)[0][0] for c in low})
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = []
@@ -73,18 +96,35 @@ class Encoder:
             found += (np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch(texts[i : i + 1000], add_special_tokens=False))
         return found
 
+    def _learn(self, words: list[str]) -> None:
+        known, other = self.known, []
+        for word in words:
+            match = WORD.fullmatch(word) if self.letters else None
+            if not match:
+                other.append(word)
+                continue
+            letters, marks = match[1].lower(), match[2]
+            if letters not in known:
+                pieces = self.model.tokenize(letters.translate(self.letters))
+                known[letters] = np.array([p.id for p in pieces], self.type).tobytes()
+            if marks not in known:
+                known[marks] = self._encode([marks])[0]
+            known[word] = known[letters] + known[marks]
+        known.update(zip(other, self._encode(other)))
+
     def __call__(self, text: str) -> bytes:
         if not self.words:
             return self._encode([text])[0]
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
         if len(self.known) > self.cached:
             self.known = {"": b""}
-        known, new = self.known, [w for w in set(words).difference(self.known)]
-        short = [w for w in new if len(w) <= CACHED_LENGTH]
-        known.update(zip(short, self._encode(short)))
-        if len(short) == len(new):
-            return b"".join(map(known.__getitem__, words))
-        return b"".join(known[w] if len(w) <= CACHED_LENGTH else self._encode([w])[0] for w in words)
+        new = set(words).difference(self.known)
+        long = [w for w in new if len(w) > CACHED_LENGTH]
+        if not long:
+            self._learn(new)
+            return b"".join(map(self.known.__getitem__, words))
+        self._learn(new.difference(long))
+        return b"".join(self.known[w] if len(w) <= CACHED_LENGTH else self._encode([w])[0] for w in words)
 
 
 def id_type(size: int) -> np.dtype:

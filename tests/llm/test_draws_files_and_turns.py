@@ -120,10 +120,11 @@ ODD_TEXTS = [
 
 def test_words_alone_have_the_ids_of_whole_texts(library):
     rng = random.Random(5)
-    alphabet = [" ", " ", "\n", "\t", "\xa0", "\x1c", "a", "B", "é", "é", "́", "1", "²", "'s", "'", ".", "<|endoftext|>", "<|", "Σ", "ß", "漢", "🎈", "‍"]
+    alphabet = [" ", " ", "\n", "\t", "\xa0", "\x1c", "a", "B", "é", "é", "́", "1", "²", "'s", "'", ".", "<|endoftext|>", "<|", "Σ", "ß", "ÿ", "À", "×", "ª", "!", ",", "漢", "🎈", "‍"]
     texts = ODD_TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += [f"{c} x{c} {c}! {c}{c}{c}." for c in map(chr, range(1, 0x250))]
     encode = token_files.Encoder(public_tokenizers.path(token_files.MODEL), cached=500)
-    assert encode.words
+    assert encode.words and len(encode.letters) == 26 + 32
     for text in texts:
         want = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encode(text), encode.type).tolist() == want, text
