@@ -26,8 +26,8 @@ GRAM = 24
 CHUNK = 1 << 19  # bytes of text that are cut into pieces at a time
 BLOCK = 1 << 19  # bytes of pieces in one suffix array
 SHARD = 8 << 20  # bytes of text for one shard
-SENT = 1 << 16  # pieces that a task gathers before it sends those that differ, 3 MB
-HOT_BITS = 27  # two to this power bits at most tell which anchors are hot, 16 MB
+SENT = 10 << 20  # bytes of pieces, 48 each, that a task gathers before it sends those that differ
+MOST_HOT = 2_000_000  # hot anchors at most, 16 MB
 PLACE = np.uint64((1 << 28) - 1)
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK64 = (1 << 64) - 1
@@ -92,26 +92,10 @@ def smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - over], keys[over:]) if over else keys
 
 
-class Hot:
-    """A set of anchors as bits, that may take some others for members; without bits it has none."""
-
-    def __init__(self, bits: np.ndarray | None = None):
-        self.bits = np.zeros(1, np.uint64) if bits is None else bits
-
-    @staticmethod
-    def place(h, size: int):
-        """(word, bit) of hashes in ``size`` words, a power of two."""
-        return h & np.uint64(size - 1), h >> np.uint64(27) & np.uint64(63)  # smallest hashes begin with zeros
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        word, bit = self.place(h, len(self.bits))
-        return (self.bits[word] >> bit & np.uint64(1)).astype(bool)
-
-
 class Pieces:
     """The pieces of some texts: anchor hash h, content hash s, text, start and number of windows."""
 
-    def __init__(self, texts: list[bytes], length: int, hot: Hot):
+    def __init__(self, texts: list[bytes], length: int, hot: np.ndarray):
         data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(sizes)
@@ -136,7 +120,7 @@ class Pieces:
         last = ends[owner[starts]] - length + 1
         windows = np.minimum(np.r_[starts[1:], n], last) - starts
         h = hashes[anchor[starts]]
-        loose = hot.has(h)
+        loose = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h if len(hot) else np.zeros(len(h), bool)
         if loose.any():  # each window of a hot anchor becomes a piece with an anchor of its own
             count = np.where(loose, windows, 1)
             offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -182,7 +166,7 @@ def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[in
                         yield doc, row, at, text[at : at + CHUNK + length - 1]
 
 
-def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: Hot) -> Iterator[dict[str, np.ndarray]]:
+def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
     """The pieces of chunks of about CHUNK bytes, as columns h, s, doc, row, start and stop."""
 
     def cut(slices: list[tuple]) -> dict[str, np.ndarray]:
@@ -205,14 +189,14 @@ def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: Hot) -> Iterato
 REPEAT = "doc bigint, row bigint, start int, stop int"
 
 
-def find_pieces(keyed: DataFrame, length: int, hot: Hot, shards: int) -> DataFrame:
+def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) -> DataFrame:
     """Rows (shard, blob): repeats among the pieces that a task has gathered (shard -1), and the packed pieces of a shard.
 
     Of equal pieces gathered only the earliest is sent, so a passage that a third of all texts share
-    costs one piece in some ten thousand, not one per text.
+    costs one piece in some hundred thousand, not one per text.
     """
     ddl = "shard int, blob binary"
-    fields, shared = arrow_fields(ddl), keyed.sparkSession.sparkContext.broadcast(hot.bits)
+    fields, shared = arrow_fields(ddl), keyed.sparkSession.sparkContext.broadcast(hot)
 
     def send(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
         p = {name: np.concatenate([x[name] for x in parts]) for name in parts[0]}
@@ -229,10 +213,10 @@ def find_pieces(keyed: DataFrame, length: int, hot: Hot, shards: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
-        for part in _cut_up(batches, length, Hot(shared.value)):
+        for part in _cut_up(batches, length, shared.value):
             if len(part["h"]):
                 parts.append(part)
-                size += len(part["h"])
+                size += 48 * len(part["h"])
             if size >= SENT:
                 yield send(parts)
                 parts, size = [], 0
@@ -444,13 +428,13 @@ def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
     return map_arrow(pieces.repartition("h").sortWithinPartitions("h", "doc", "row", "start"), run, REPEAT)
 
 
-def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.001, pieces: int = 20) -> Hot:
-    """Anchors with at least this many different pieces in a share of the texts, of ``sample`` texts at least.
+def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float = 0.001, pieces: int = 20) -> np.ndarray:
+    """Anchors, in order, with at least this many different pieces in a share of the texts, of ``sample`` texts at least.
 
     It only decides how work is split, not what is found: windows of a hot anchor are dealt out by
-    their own content, and an anchor that is not hot has some ten thousand pieces in all at most,
-    whatever the size of the corpus. What the driver gets is a row of bits, 16 for each hot anchor and
-    two to the power of HOT_BITS at most; beyond that more anchors than the hot ones are dealt out.
+    their own content, and an anchor that is not hot has some ten thousand pieces in all at most.
+    Of more than MOST_HOT anchors only those with most pieces are hot, so what is broadcast does not
+    grow with the corpus; the others then have more pieces, each anchor's in one task, in blocks.
     """
     total = keyed.count()
     part = min(1.0, max(sample / max(1, total), share))
@@ -459,23 +443,21 @@ def hot_anchors(keyed: DataFrame, length: int, sample: int = 4_000, share: float
     fields = arrow_fields(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in _cut_up(batches, length, Hot()):
+        for p in _cut_up(batches, length, np.zeros(0, np.uint64)):
             at, first = first_of_equal(p["h"], p["s"])
             h, n = np.unique(p["h"][at[first]], return_counts=True)
             yield _batch({"h": h.view(np.int64), "n": n}, fields)
 
     counts = map_arrow(chosen, run, ddl).groupBy("h").agg(F.sum("n").alias("n"))
-    hot = stage(counts.where(F.col("n") >= pieces).select("h"), "hot-anchors")
-    found = hot.count()
-    if not found:
-        return Hot()
-    size = 1 << max(0, min(HOT_BITS, (16 * found - 1).bit_length()) - 6)
-    word = F.col("h").bitwiseAND(F.lit(size - 1))
-    words = hot.select(word.alias("word"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 27) & 63 as int))").alias("bit"))
-    bits = np.zeros(size, np.int64)
-    for at, value in words.groupBy("word").agg(F.bit_or("bit")).collect():
-        bits[at] = value
-    return Hot(bits.view(np.uint64))
+    hot = stage(counts.where(F.col("n") >= pieces), "hot-anchors")
+    found = 0
+    for n, anchors in hot.groupBy("n").count().orderBy(F.desc("n")).collect():
+        found += anchors
+        if found > MOST_HOT:
+            hot = hot.where(F.col("n") > n)
+            break
+    rows = hot.select("h").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
 KEY = ["doc", "row"]

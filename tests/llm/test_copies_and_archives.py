@@ -185,30 +185,26 @@ def test_hot_anchors_do_not_change_the_result(table, monkeypatch):
     hot = suffix.hot_anchors
     monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: found.append(hot(keyed, length)) or found[-1])
     suffix.remove_repeats(docs).collect()
-    assert found[0].bits.any()  # the line was dealt out window by window
-    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: suffix.Hot())
+    assert len(found[0])  # the line was dealt out window by window
+    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: np.zeros(0, np.uint64))
     monkeypatch.setattr(suffix, "BLOCK", 1500)
     assert rows(suffix.remove_repeats(docs)) == want
 
 
-def test_all_anchors_may_be_taken_for_hot(table, monkeypatch):
-    texts = repeated_texts(2, 40)
+def test_hot_anchors_are_bounded(table, monkeypatch):
+    """The anchors with most pieces are hot; the result stays the same."""
+    rng = random.Random(7)
+    lines = [f"line {i} of the footer that stands at the end of very many pages of this site, see there" for i in range(3)]
+    texts = [f"{rng.random()} {lines[0]} {rng.random()} " + f"{lines[1]} {rng.random()} " * (i % 2) + lines[2] * (i % 3 == 0) for i in range(120)]
     docs = table(list(enumerate(texts)))
-    monkeypatch.setattr(suffix, "hot_anchors", lambda keyed, length: suffix.Hot(np.full(1, -1, np.int64).view(np.uint64)))
+    keyed = suffix._keyed(docs, "doc_id", "text").select("doc", "row", suffix.TEXT)
+    every = suffix.hot_anchors(keyed, 100)
+    assert len(every) > 2 and (np.sort(every) == every).all()
+    monkeypatch.setattr(suffix, "MOST_HOT", len(every) - 1)
+    assert 0 < len(suffix.hot_anchors(keyed, 100)) < len(every)
     assert rows(suffix.remove_repeats(docs)) == sorted([(i, *d) for i, d in enumerate(digests(slow_repeats(texts, 100)))], key=str)
 
 
-def test_bits_of_hot_anchors(monkeypatch):
-    rng = np.random.default_rng(1)
-    h = rng.integers(0, 1 << 64, 500, np.uint64, endpoint=False)
-    bits = np.zeros(128, np.uint64)
-    word, bit = suffix.Hot.place(h, 128)
-    np.bitwise_or.at(bits, word, np.uint64(1) << bit)
-    hot = suffix.Hot(bits)
-    assert hot.has(h).all() and not suffix.Hot().has(h).any()
-    assert hot.has(rng.integers(0, 1 << 64, 5000, np.uint64, endpoint=False)).mean() < 0.1
-
-
 def test_rows_keep_their_names_when_the_scan_is_split_anew(spark, table, monkeypatch):
     """Executors that come or go change how a table is split between jobs; here every staged table does."""
     texts = repeated_texts(5, 300)
