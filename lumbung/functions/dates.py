@@ -11,12 +11,14 @@ from lumbung.sources.fixed_values import MONTH_NAMES
 def event_date(c: Column) -> Column:
     """Month/day/year with two or four digits of the year, padded or not; anything else gives null.
 
-    The shape decides which format is tried, because a failed parse costs far more than a good one.
+    The length of the last part decides which format is tried, because a failed parse costs far
+    more than a good one.
     """
     text = F.trim(c)
-    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d\d$"), F.try_to_date(text, "M/d/yy")).when(
-        text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy")
-    )
+    month, day = F.instr(text, "/"), F.length(F.substring_index(text, "/", 2))
+    padded = month.between(2, 3) & (day - month).between(1, 2)
+    year = F.length(text) - day
+    return F.when(padded & (year == 3), F.try_to_date(text, "M/d/yy")).when(padded & (year == 5), F.try_to_date(text, "M/d/yyyy"))
 
 
 def header_date(c: Column) -> Column:

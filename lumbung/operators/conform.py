@@ -111,3 +111,9 @@ def centre_join(centres: DataFrame, metrics: DataFrame) -> DataFrame:
     joined = left.join(right, "nama_provinsi", "left").where(F.col("supply_risk_index").isNotNull())
     radius = F.greatest(F.lit(6.0), F.least(F.lit(30.0), F.col("supply_risk_index") * 40))
     return joined.withColumn("radius", radius)
+
+
+def without_centre(centres: DataFrame, metrics: DataFrame) -> DataFrame:
+    """(nama_provinsi): regions with a risk that ``centre_join`` can't place, as no centre has their name."""
+    named = metrics.where(F.col("supply_risk_index").isNotNull()).select(F.upper("nama_provinsi").alias("nama_provinsi"))
+    return named.distinct().join(centres.select(F.upper("nama_provinsi").alias("nama_provinsi")), "nama_provinsi", "left_anti")

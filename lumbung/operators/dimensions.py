@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lumbung.functions import dates
+from lumbung.session import stage
 from lumbung.sources.fixed_values import COMMODITIES
 from lumbung.sources.literals import literal_table
 
@@ -26,14 +27,40 @@ def region_ids(df: DataFrame, name: str = "provinsi") -> DataFrame:
     return numbered(df.select(name).distinct(), [name], "id_wilayah").select("id_wilayah", name)
 
 
-def region_dimension(names: DataFrame, name: str = "provinsi") -> DataFrame:
-    """dim_prov: one row per distinct name, keyed in name order."""
+def region_dimension(names: DataFrame, name: str = "provinsi", known: DataFrame | None = None) -> DataFrame:
+    """dim_prov: one row per distinct name, keyed in name order; behind the ``known`` ones, if there are any."""
     distinct = names.select(F.col(name).alias("nama_provinsi")).where(F.col(name).isNotNull()).distinct()
-    return numbered(distinct, ["nama_provinsi"], "prov_key").select(
+    if known is None:
+        keyed = numbered(distinct, ["nama_provinsi"], "prov_key")
+    else:
+        keyed = with_lasting_keys(distinct, ["nama_provinsi"], "prov_key", known)
+    return keyed.select(
         "prov_key", F.col("prov_key").alias("id_prov"), "nama_provinsi"
     )
 
 
+def with_lasting_keys(df: DataFrame, order: Sequence[str], key: str, known: DataFrame) -> DataFrame:
+    """``order`` and ``key`` of ``known`` as they are, and the next free keys for the rows of ``df`` that are not in it.
+
+    New rows are sorted into ranges; each range numbers its own rows, behind the rows of the ranges
+    before it. Only the sizes of the ranges pass through one task. Rows that ``df`` no longer has
+    keep their keys. Nulls must not occur in ``order``.
+    """
+    known = known.select(*order, key)
+    new = df.select(*order).distinct().join(known.select(*order), list(order), "left_anti")
+    place = F.monotonically_increasing_id()
+    sorted_ = new.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        *order, F.shiftright(place, 33).alias("_range"), (place.bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("_at")
+    )
+    sorted_ = stage(sorted_, "new-keys")
+    sizes = sorted_.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    last = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last")).scalar()
+    starts = sizes.select("_range", (before + last).alias("_start"))
+    numbered_ = sorted_.join(starts, "_range").select(*order, (F.col("_start") + F.col("_at")).cast("int").alias(key))
+    return known.select(*order, F.col(key).cast("int")).unionByName(numbered_)
+
+
 def commodity_dimension(spark: SparkSession, commodities: Sequence[tuple[int, str]] = COMMODITIES) -> DataFrame:
     """dim_komoditas from a fixed list."""
     return literal_table(
@@ -74,9 +101,11 @@ def calendar_attributes(months: DataFrame) -> DataFrame:
     )
 
 
-def time_dimension(months: DataFrame) -> DataFrame:
-    """dim_waktu: keyed in month order, with quarter and month name."""
-    return calendar_attributes(numbered(months, ["tahun", "bulan"], "waktu_key")).select(
+def time_dimension(months: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """dim_waktu: keyed in month order, behind the ``known`` months if there are any, with quarter and month name."""
+    order = ["tahun", "bulan"]
+    keyed = numbered(months, order, "waktu_key") if known is None else with_lasting_keys(months, order, "waktu_key", known)
+    return calendar_attributes(keyed).select(
         "waktu_key", "bulan", "nama_bulan", "kuartal", "tahun"
     )
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators.reshape import stack
+from lumbung.session import stage
 
 REPORT = "check_name string, table_name string, column_name string, bad_rows bigint"
 
@@ -89,23 +90,47 @@ def wrong_types(table: str, df: DataFrame, types: Mapping[str, str], required: S
     return long.select(F.lit("type").alias("check_name"), F.lit(table).alias("table_name"), "column_name", "bad_rows")
 
 
+#: Keys of the fact with the dimension of each, and the columns that must be there.
+FACT_KEYS = {"prov_key": "dim_prov", "waktu_key": "dim_waktu", "komoditas_key": "dim_komoditas"}
+NAMES = {"dim_prov": ["prov_key", "nama_provinsi"], "dim_komoditas": ["komoditas_key", "nama_komoditas"],
+         "dim_waktu": ["waktu_key", "tahun", "bulan"]}
+
+
+def fact_counts(fact: DataFrame) -> dict[str, Column]:
+    """What the report needs of the rows of a fact table one by one: their number, and the nulls of each key."""
+    nulls = {f"null_{k}": F.count_if(F.col(k).isNull()) for k in FACT_KEYS if k in fact.columns}
+    return {"rows": F.count(F.lit(1)), **nulls}
+
+
+def _fixed(spark: SparkSession, rows: Sequence[tuple[str, str, str, int]]) -> DataFrame:
+    parts = [spark.range(1).select(*_row(check, table, column, F.lit(bad))) for check, table, column, bad in rows]
+    return stack(parts)
+
+
 def warehouse_report(
     fact: DataFrame, dim_prov: DataFrame, dim_komoditas: DataFrame, dim_waktu: DataFrame,
-    fact_name: str = "fact_supply_resilience",
+    fact_name: str = "fact_supply_resilience", counted: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """All checks that must pass before a load."""
+    """All checks that must pass before a load.
+
+    ``counted`` has the ``fact_counts`` if they were taken while the fact was written. Else they
+    are taken here, in one pass. Orphans and repeated keys come from the combinations of keys,
+    which are counted in one more pass and staged: three integers for each.
+    """
+    spark = fact.sparkSession
     dims = {"dim_prov": dim_prov, "dim_komoditas": dim_komoditas, "dim_waktu": dim_waktu}
-    keys = {"prov_key": "dim_prov", "waktu_key": "dim_waktu", "komoditas_key": "dim_komoditas"}
-    names = {"dim_prov": ["prov_key", "nama_provinsi"], "dim_komoditas": ["komoditas_key", "nama_komoditas"],
-             "dim_waktu": ["waktu_key", "tahun", "bulan"]}
-    parts = [required_columns(name, dims[name], names[name]) for name in dims]
-    parts.append(required_columns(fact_name, fact, [*keys, "supply_risk_index"]))
-    present = [k for k in keys if k in fact.columns]
+    parts = [required_columns(name, dims[name], NAMES[name]) for name in dims]
+    present = [k for k in FACT_KEYS if k in fact.columns]
+    counted = fact.agg(*[c.alias(n) for n, c in fact_counts(fact).items()]).first().asDict() if counted is None else counted
+    wanted = [*FACT_KEYS, "supply_risk_index"]
+    parts.append(_fixed(spark, [("required_column", fact_name, c, 0 if c in fact.columns else counted["rows"]) for c in wanted]))
     if present:
-        parts.append(null_counts(fact_name, fact, present, "null_key"))
-    parts += [orphan_keys(fact_name, fact, k, dims[keys[k]], k) for k in present if k in dims[keys[k]].columns]
-    if len(present) == len(keys):
-        parts.append(repeated_keys(fact_name, fact, list(keys)))
+        parts.append(_fixed(spark, [("null_key", fact_name, k, counted[f"null_{k}"]) for k in present]))
+        keys = stage(fact.groupBy(*present).agg(F.count(F.lit(1)).alias("n")), "fact-keys")
+        parts += [orphan_keys(fact_name, keys, k, dims[FACT_KEYS[k]], k) for k in present if k in dims[FACT_KEYS[k]].columns]
+        if len(present) == len(FACT_KEYS):
+            twice = keys.where("n > 1").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(twice.select(*_row("unique", fact_name, ",".join(present), F.col("n"))))
     return stack(parts)
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lumbung.session import stage
 
-ACCURACY = 1_000
-MARGIN = 3.0 / ACCURACY
+#: Cells of an octave in the first histogram: a cell is about one per cent wide.
+FINE = 64
 CELLS = 1_000
 
 
@@ -36,18 +36,20 @@ def exact_quantiles(
     ``disc`` takes the first value whose cumulative share reaches the quantile, ``cont``
     interpolates between neighbours. The input is read twice.
 
-    1. A mergeable sketch brackets each quantile. Its rank error is at most n / ACCURACY and the
-       bracket is three times as wide on both sides. Groups of up to ACCURACY rows are kept whole.
+    1. Rows are counted by the cell of their value: its sign and the leading binary digits of its
+       size, so that cells come in the order of values. Running sums tell the cell of each wanted
+       rank; its least and largest value bracket the quantile.
     2. Values outside the brackets are only counted, inside each task; values within are counted
        per value, hashed by group and value. This is staged.
-    3. Cells of a bracket are ranked by their counts, which finds the cell of each wanted rank.
+    3. Finer cells of a bracket are ranked by their counts, which finds the cell of each wanted rank.
     4. Only the values of those cells are ranked one by one.
 
-    So no task holds a whole group, however large the group is.
+    All groupings are hash aggregates, the same for groups of any size. No task holds a whole group:
+    a window sees the cells of one, some thousand at most, or the values of one fine cell.
     """
     keys, quantiles = list(keys), dict(sorted(quantiles.items(), key=lambda item: item[1]))
     rows = df.select(*keys, value.cast("double").alias("_v")).where("_v IS NOT NULL")
-    joined = _with_brackets(rows, keys, list(quantiles.values()))
+    joined = _with_brackets(rows, keys, list(quantiles.values()), method)
 
     # Place of a value: the first bracket that holds it, else behind the last that ends below it.
     n = range(len(quantiles))
@@ -85,20 +87,30 @@ def exact_quantiles(
     return fine.groupBy(*keys).agg(*picks)
 
 
-def _with_brackets(rows: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    lows = [max(p - MARGIN, 0.0) for p in probabilities]
-    highs = [min(p + MARGIN, 1.0) for p in probabilities]
-    ends = ", ".join(f"{p}D" for p in lows + highs)
-    bounds = rows.groupBy(*keys).agg(
-        F.expr(f"percentile_approx(_v, array({ends}), {ACCURACY}) AS _q"),
-        F.expr(f"count(*) <= {ACCURACY} AS _whole"), F.expr("min(_v) AS _min"), F.expr("max(_v) AS _max"),
+#: Order-preserving number of a value's cell; 1100 lifts the smallest exponent above zero. NaN comes last, as in a sort.
+CELL = (
+    f"CASE WHEN isnan(_v) THEN {4000 * FINE} WHEN _v = 0 THEN 0 "
+    f"ELSE CAST(signum(_v) * floor((least(log2(abs(_v)), 2000D) + 1100) * {FINE}) AS int) END"
+)
+
+
+def _with_brackets(rows: DataFrame, keys: list[str], probabilities: list[float], method: str) -> DataFrame:
+    """The rows with _lo and _hi of each quantile: the ends of the cells that hold its ranks."""
+    group = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    cells = rows.groupBy(*keys, F.expr(f"{CELL} AS _cell")).agg(
+        F.expr("count(*) AS _c"), F.expr("min(_v) AS _min"), F.expr("max(_v) AS _max")
+    )
+    cells = cells.selectExpr(
+        "*", f"sum(_c) OVER ({group}) AS _n", f"sum(_c) OVER ({group}ORDER BY _cell ROWS UNBOUNDED PRECEDING) AS _upto"
     )
     ends = []
-    for i, (lo, hi) in enumerate(zip(lows, highs)):
-        ends.append(f"if(_whole OR {lo}D <= 0, _min, _q[{i}]) AS _lo{i}")
-        ends.append(f"if(_whole OR {hi}D >= 1, _max, _q[{len(lows) + i}]) AS _hi{i}")
+    for i, p in enumerate(probabilities):
+        ranks = _ranks(p, method)
+        inside = [f"{rank} > _upto - _c AND {rank} <= _upto" for rank in (ranks[0], ranks[-1])]
+        ends.append(F.expr(f"min(if({inside[0]}, _min, NULL)) AS _lo{i}"))
+        ends.append(F.expr(f"max(if({inside[1]}, _max, NULL)) AS _hi{i}"))
     # Staged, so that the size of the table decides whether it is broadcast to the rows.
-    bounds = stage(bounds.selectExpr(*keys, *ends), "quantile-bounds")
+    bounds = stage(cells.groupBy(*keys).agg(*ends), "quantile-bounds")
     if not keys:
         return rows.withColumn("_b", bounds.select(F.struct("*")).scalar()).select("_v", "_b.*")
     side = bounds.withColumnsRenamed({k: f"_k_{k}" for k in keys})

@@ -16,6 +16,8 @@ FACT_TYPES = {
     "growth_populasi": "double", "avg_permintaan_bulanan": "double", "avg_produksi_bulanan": "double",
     "supply_risk_index": "double",
 }
+#: The loaded fact has a folder for each value of this column.
+FACT_LAYOUT = "waktu_key"
 RENAMES = {
     "avg_produksi": "avg_produksi_bulanan", "avg_konsumsi": "avg_konsumsi_bulanan",
     "avg_pemotongan": "avg_pemotongan_bulanan", "avg_permintaan": "avg_permintaan_bulanan",

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.plans.warehouse import Tables, build_warehouse, cube_of, load_warehouse
-from lumbung.sources import indicators, sinks
+from lumbung.plans.warehouse import Tables, build_warehouse, cube_of, load_warehouse, read_warehouse
+from lumbung.session import staging_area
+from lumbung.sources import indicators, sinks, versions
 from lumbung.sources.readers import read_staging
 from lumbung.sources.schemas import EVENT_TABLES, STAGING
 
@@ -40,12 +41,19 @@ def run_daily(
     spark: SparkSession, staging: str, output: str, warehouse: str, cube_csv: str | None = None, key_mode: str = "name",
     years: tuple[int, int] | None = None,
 ) -> Tables:
-    """Build the warehouse from the staging area, save the outputs, check and load the star, export the cube."""
-    tables = build_warehouse(staging_tables(spark, staging), key_mode, years)
-    months = tables["dim_waktu"].select("waktu_key", "tahun")
-    sinks.save_parquet({**tables, sinks.FACT: tables[sinks.FACT].join(months, "waktu_key")}, output)
-    saved = sinks.read_back(spark, output, list(tables))
-    loaded = load_warehouse(saved, warehouse)
-    if cube_csv:
-        sinks.export_cube(cube_of(loaded), cube_csv)
+    """Build the warehouse from the staging area, save the outputs, check and load the star, export the cube.
+
+    The star is checked and loaded from the saved output. What is staged on the way is deleted at
+    the end, also after a failure. Regions keep the keys that the last loaded version gave them.
+    """
+    with staging_area(spark):
+        last = versions.current(spark, warehouse)
+        known = read_warehouse(spark, warehouse, last.number) if last else None
+        tables = build_warehouse(staging_tables(spark, staging), key_mode, years, known)
+        months = tables["dim_waktu"].select("waktu_key", "tahun")
+        sinks.save_parquet({**tables, sinks.FACT: tables[sinks.FACT].join(months, "waktu_key")}, output)
+        loaded = load_warehouse(sinks.read_back(spark, output, list(tables)), warehouse)
+        if cube_csv:
+            sinks.export_cube(cube_of(loaded), cube_csv)
+    versions.drop_old(spark, warehouse, keep=7)
     return loaded

@@ -86,6 +86,7 @@ def dashboard(
         "surplus_months": rollups.surplus_months(gaps),
         "map": regional,
         "map_bubbles": conform.centre_join(centres, regional),
+        "map_missing": conform.without_centre(centres, regional),
         "disease_density": rollups.disease_density(regional),
         "pareto": ranking.top_suppliers(supply, 15),
         "treemap": supply.select("nama_provinsi", "sum_vol", "pct"),

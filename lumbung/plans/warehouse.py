@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions import text
 from lumbung.operators import cleaning, conform, dimensions, imputation, index, measures, quality, reshape, star
 from lumbung.session import stage
-from lumbung.sources import sinks
+from lumbung.sources import sinks, versions
 from lumbung.sources.fixed_values import REGION_ALIASES
+from lumbung.sources.readers import TableNotFound
 
 API_NUMBERS = ["jumlah_penduduk", "populasi_sapi", "populasi_ayam", "produksi_daging_ayam"]
 ANNUAL_MEASURES = ["populasi", "produksi_daging", "konsumsi_daging", "permintaan_daging", "jumlah_ternak_potong"]
@@ -82,6 +82,7 @@ def _renumber(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 def build_warehouse(
     staging: Mapping[str, DataFrame], key_mode: str = "name", years: tuple[int, int] | None = None,
+    known: Mapping[str, DataFrame] | None = None,
 ) -> Tables:
     """All output tables from the staging tables.
 
@@ -90,7 +91,9 @@ def build_warehouse(
 
     Regions are matched by canonical name. ``key_mode="ordinal"`` instead takes the events'
     region ids for the alphabetical rank of the statistics' regions, whatever their names.
-    ``years`` fixes the span of the time dimension; otherwise it follows the statistics.
+    ``years`` fixes the span of the time dimension; otherwise it follows the statistics. ``known``
+    has dim_prov and dim_waktu of an earlier run: its regions and months keep their keys, new ones
+    come behind them.
     """
     ordinal = key_mode == "ordinal"
     master = stage(_annual_sources(staging), "statistics")
@@ -101,7 +104,7 @@ def build_warehouse(
     )
     same_id = F.col("l.id_wilayah") == F.col("r.id_wilayah")
     wilayah = conform.reconcile_regions(regions, event_regions, same_id if ordinal else None)
-    dim_prov = stage(dimensions.region_dimension(wilayah), "dim-prov")
+    dim_prov = stage(dimensions.region_dimension(wilayah, known=known and known["dim_prov"]), "dim-prov")
     dim_komoditas = dimensions.commodity_dimension(master.sparkSession)
 
     if ordinal:
@@ -135,7 +138,7 @@ def build_warehouse(
     dims = {
         "dim_prov": dim_prov,
         "dim_komoditas": dim_komoditas,
-        "dim_waktu": stage(dimensions.time_dimension(dimensions.month_spine(bounds)), "dim-waktu"),
+        "dim_waktu": stage(dimensions.time_dimension(dimensions.month_spine(bounds), known and known["dim_waktu"]), "dim-waktu"),
     }
     integrated = stage(integrate(monthly, annual, demography), "integrated")
     return {
@@ -149,19 +152,44 @@ def build_warehouse(
 
 
 def load_warehouse(tables: Mapping[str, DataFrame], folder: str) -> Tables:
-    """Check the star, then replace its four tables; a failed check or write leaves the old ones in place.
+    """Write the star as a new version, check what was written, and make it the current one.
 
-    All tables are written beside the old ones first; then folders are only renamed.
+    The fact is written once, in a folder for each month, and counted meanwhile; filters on the
+    months then reach its scan. A load that breaks or fails a check changes nothing for readers;
+    its folder goes at once, or with ``versions.drop_old`` if the driver was lost.
     """
-    fact = stage(star.align(tables[sinks.FACT]), "fact")
-    dims = {name: tables[name] for name in star.DIMENSION_COLUMNS}
-    quality.require_clean(quality.warehouse_report(fact, dims["dim_prov"], dims["dim_komoditas"], dims["dim_waktu"]))
-    spark, new = fact.sparkSession, f"{folder}/_new-{uuid.uuid4().hex}"
-    for name, df in dims.items():
-        sinks.load_table(df, new, name, star.DIMENSION_COLUMNS[name])
-    sinks.load_table(fact, new, sinks.FACT)
-    sinks.publish(spark, new, folder, [*dims, sinks.FACT])
-    return sinks.read_back(spark, folder, [*dims, sinks.FACT])
+    spark, load = tables[sinks.FACT].sparkSession, versions.new_load()
+    before = versions.current(spark, folder)
+    fact = star.align(tables[sinks.FACT])
+    new = {name: f"{load}/{name}" for name in (*star.DIMENSION_COLUMNS, sinks.FACT)}
+    try:
+        for name, columns in star.DIMENSION_COLUMNS.items():
+            sinks.load_table(tables[name], f"{folder}/{load}", name, columns)
+        counted = sinks.load_fact(fact, f"{folder}/{load}", sinks.FACT, star.FACT_LAYOUT, quality.fact_counts(fact))
+        loaded = _star_at(spark, folder, new)
+        quality.require_clean(quality.warehouse_report(
+            loaded[sinks.FACT], loaded["dim_prov"], loaded["dim_komoditas"], loaded["dim_waktu"], counted=counted
+        ))
+    except BaseException:
+        versions.discard(spark, folder, load)
+        raise
+    versions.publish(spark, folder, new, before.number if before else 0)
+    return loaded
+
+
+def _star_at(spark: SparkSession, folder: str, places: Mapping[str, str]) -> Tables:
+    """The tables of a star; the schema of the fact is given, as its layout holds one of its columns as text."""
+    schema = ", ".join(f"{c} {t}" for c, t in star.FACT_TYPES.items())
+    fact = spark.read.schema(schema).parquet(f"{folder}/{places[sinks.FACT]}").select(*star.FACT_TYPES)
+    return {**{n: spark.read.parquet(f"{folder}/{places[n]}") for n in star.DIMENSION_COLUMNS}, sinks.FACT: fact}
+
+
+def read_warehouse(spark: SparkSession, folder: str, number: int | None = None) -> Tables:
+    """The star as the current version has it, or the version with this number."""
+    version = versions.current(spark, folder) if number is None else versions.read_version(spark, folder, number)
+    if version is None:
+        raise TableNotFound(f"no complete version of a warehouse at {folder}")
+    return _star_at(spark, folder, version.tables)
 
 
 def cube_of(tables: Mapping[str, DataFrame], how: str = "inner") -> DataFrame:

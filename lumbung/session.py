@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,8 +38,6 @@ def get_session(app_name: str = "lumbung", input_bytes: int | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # The quantile sketches of a few thousand groups stay hashed (24 kB each) instead of sorting all rows.
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -61,8 +62,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Folder of the stages of the job that runs, below that of the application.
+_AREA: ContextVar[str] = ContextVar("area", default="")
+
+
 def _stage_root(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/lumbung/{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/lumbung/{spark.sparkContext.applicationId}{_AREA.get()}"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -71,16 +76,28 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def drop_stages(spark: SparkSession) -> None:
-    """Delete the staged tables of this application, once no result needs them any more."""
+    """Delete the staged tables of this application or ``staging_area``, once no result needs them any more."""
     root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
     root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(root, True)
 
 
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is staged inside, which is deleted at the end, also after a failure."""
+    token = _AREA.set(f"{_AREA.get()}/job-{uuid.uuid4().hex}")
+    try:
+        yield _stage_root(spark)
+    finally:
+        drop_stages(spark)
+        _AREA.reset(token)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder, at once, and read it back.
 
     Functions that call this run jobs while they build their result. ``drop_stages`` deletes what
-    an application has staged, when nothing reads it any more.
+    an application has staged, when nothing reads it any more; a job whose result is stored
+    elsewhere runs in a ``staging_area``.
 
     Use it for a small result that several later steps read: it cuts the lineage, survives the
     loss of executors, and gives the planner real file sizes, so that later joins are broadcast

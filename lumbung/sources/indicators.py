@@ -82,15 +82,39 @@ def first_valid_payload(df: DataFrame, words: Sequence[str], payload: str = "pay
     return first_valid(usable, ["tahun"], [F.col("urutan")], [payload])
 
 
+def indicator_values(payloads: DataFrame, indicators: Mapping[str, Sequence[str]], payload: str = "payload") -> DataFrame:
+    """(indikator, tahun, urutan, _values) of the usable documents, each parsed once for whatever it is wanted for.
+
+    _values has label, kode_wilayah and nilai (raw text) of every row of the document's table, taken
+    from the first variable whose label holds all words of the indicator. The parsed document goes
+    through ``inline``, so that no filter on its parts makes Spark parse it again.
+    """
+    words = F.create_map(*[x for c, w in indicators.items() for x in (F.lit(c), F.array(*[F.lit(v.lower()) for v in w]))])
+    parsed = payloads.where(F.col("indikator").isin(*indicators)).select(
+        "indikator", "tahun", "urutan", F.element_at(words, F.col("indikator")).alias("_words"),
+        F.inline(F.array(F.from_json(F.col(payload), PAYLOAD_SCHEMA))),
+    )
+    table = F.get("data", F.lit(1))
+    label = lambda e: F.coalesce(F.lower(e["value"]["nama_variabel"]), F.lit(""))
+    hits = F.filter(F.map_entries(table["kolom"]), lambda e: F.forall("_words", lambda w: label(e).contains(w)))
+    picked = parsed.where("status = 'OK'").select(
+        "indikator", "tahun", "urutan", table["data"].alias("_rows"), F.get(hits, F.lit(0))["key"].alias("_variable")
+    )
+    values = F.transform("_rows", lambda r: F.struct(
+        r["label"].alias("label"), r["kode_wilayah"].alias("kode_wilayah"), r["variables"][F.col("_variable")]["value_raw"].alias("nilai")
+    ))
+    return picked.where("_variable IS NOT NULL").select("indikator", "tahun", "urutan", values.alias("_values"))
+
+
 def annual_statistics(payloads: DataFrame, indicators: Mapping[str, Sequence[str]] = INDICATORS) -> DataFrame:
     """One row per region and year with every indicator, from (indikator, tahun, urutan, payload).
 
-    Each indicator and year takes its first usable payload. The merge is one grouping of all
-    values instead of a chain of outer joins.
+    Each indicator and year takes its first usable payload. The documents are read and parsed once
+    for all indicators, and the merge is one grouping of all values.
     """
-    long = None
-    for column, words in indicators.items():
-        chosen = first_valid_payload(payloads.where(F.col("indikator") == column), words)
-        rows = parse_indicator(chosen, words, "nilai").withColumn("indikator", F.lit(column))
-        long = rows if long is None else long.unionByName(rows)
-    return merge_indicators(long, ["provinsi", "tahun"], "indikator", "nilai", list(indicators))
+    chosen = first_valid(indicator_values(payloads, indicators), ["indikator", "tahun"], [F.col("urutan")], ["_values"])
+    rows = chosen.select("indikator", "tahun", F.inline("_values"))
+    rows = rows.where(text.is_real_region(F.col("label"), F.col("kode_wilayah"))).select(
+        F.trim("label").alias("provinsi"), "tahun", "indikator", "nilai"
+    )
+    return merge_indicators(rows, ["provinsi", "tahun"], "indikator", "nilai", list(indicators))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbung.functions import dates, text
+from lumbung.sources import versions
 from lumbung.sources.fixed_values import MEAT_WORDS
 
 
@@ -39,8 +40,12 @@ def read_jdbc(
 
 
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet folder, else a single file, with lower-case column names."""
-    for path in (f"{folder}/{name}", f"{folder}/{name}.parquet"):
+    """A Parquet folder, else a single file, with lower-case column names.
+
+    In a folder of versioned tables it is the one of the current version.
+    """
+    place = versions.resolve(spark, folder, name)
+    for path in (place,) if place else (f"{folder}/{name}", f"{folder}/{name}.parquet"):
         try:
             df = spark.read.parquet(path)
         except AnalysisException as error:
@@ -114,6 +119,11 @@ def unpivot_price_sheet(
     long = wide.unpivot(
         ["jenis_daging", "provinsi", "kota", "jenis_pasar"], [f"`{c}`" for c in days], "waktu_raw", "harga"
     )
+    return _typed_prices(long)
+
+
+def _typed_prices(long: DataFrame) -> DataFrame:
+    """Prices and the days of their headers, typed; unreadable ones become null."""
     return long.select(
         "provinsi", "kota", "jenis_daging", "jenis_pasar",
         F.col("harga").try_cast("double").alias("harga"),
@@ -124,8 +134,7 @@ def unpivot_price_sheet(
 def read_price_sheets(spark: SparkSession, paths: str | Sequence[str], words: Sequence[str] = MEAT_WORDS) -> DataFrame:
     """Price sheets as CSV below ``<region>/.../<MARKET>_<CITY>.csv``, all in one read.
 
-    All files of one call must share their header; read different headers in separate calls and
-    join them with ``union_files``.
+    All files of one call must share their header; ``read_mixed_price_sheets`` takes any.
     """
     df = spark.read.csv(paths, header=True, recursiveFileLookup=True, enforceSchema=False)
     # The path comes URL-encoded, but with a plain "+".
@@ -135,6 +144,53 @@ def read_price_sheets(spark: SparkSession, paths: str | Sequence[str], words: Se
     return unpivot_price_sheet(df, region, market, city, words)
 
 
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV line; quoted ones without their quotes, empty ones as null."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*)'), F.lit(1))
+
+    def plain(c: Column) -> Column:
+        quoted = c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
+        inside = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inside).otherwise(c), F.lit(""))
+
+    return F.transform(cells, plain)
+
+
+def read_mixed_price_sheets(
+    spark: SparkSession, paths: str | Sequence[str], words: Sequence[str] = MEAT_WORDS,
+) -> DataFrame:
+    """Price sheets as CSV below ``<region>/.../<MARKET>_<CITY>.csv``, each with its own days, all in one read.
+
+    A sheet is one row of the scan: its first line names the columns of its other lines. The label
+    column is the first whose name holds "komoditas", else the second; columns whose name is no
+    date are left out, and so are sheets without any. Line breaks inside quotes end a line. Sheets
+    must fit into memory one by one, not together; nothing is shuffled.
+    """
+    files = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    path = F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))")
+    lines = F.filter(F.split(F.regexp_replace("value", "^\uFEFF", ""), r"\r?\n"), lambda x: F.trim(x) != "")
+    sheets = files.select(path.alias("_file"), lines.alias("_lines")).where(F.size("_lines") > 1)
+    market, city = text.split_label(text.file_label(F.col("_file")))
+    sheets = sheets.select(
+        F.upper(F.trim(F.element_at(F.split("_file", "/"), -2))).alias("provinsi"), city.alias("kota"), market.alias("jenis_pasar"),
+        csv_cells(F.get("_lines", F.lit(0))).alias("_names"), F.slice("_lines", F.lit(2), F.size("_lines")).alias("_lines"),
+    )
+    places = F.sequence(F.lit(0), F.size("_names") - 1)
+    name_at = lambda i: F.coalesce(F.get("_names", i), F.lit(""))
+    labels = F.filter(places, lambda i: F.lower(name_at(i)).contains("komoditas"))
+    days = F.filter(places, lambda i: name_at(i).rlike(DATE_HEADER.pattern))
+    sheets = sheets.select("*", F.coalesce(F.get(labels, F.lit(0)), F.lit(1)).alias("_label"), days.alias("_days"))
+    rows = sheets.where(F.size("_days") > 0).select(
+        "provinsi", "kota", "jenis_pasar", "_names", "_label", "_days", F.explode("_lines").alias("_line")
+    )
+    rows = rows.withColumn("_cells", csv_cells(F.col("_line")))
+    rows = rows.withColumn("jenis_daging", F.trim(F.get("_cells", F.col("_label"))))
+    name = F.col("jenis_daging")
+    rows = rows.where(text.contains_any(name, words) if words else (F.lower(name) != "komoditas (rp)"))
+    values = F.transform("_days", lambda i: F.struct(F.get("_names", i).alias("waktu_raw"), F.get("_cells", i).alias("harga")))
+    return _typed_prices(rows.select("jenis_daging", "provinsi", "kota", "jenis_pasar", F.inline(values)))
+
+
 PRICE_COLUMNS = ("provinsi", "kota", "jenis_daging", "jenis_pasar", "harga", "waktu")
 
 

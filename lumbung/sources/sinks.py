@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.sources.readers import PRICE_COLUMNS
@@ -51,16 +51,16 @@ def load_table(df: DataFrame, folder: str, table: str, columns: Sequence[str] |
     return df.sparkSession.read.parquet(f"{folder}/{table}")
 
 
-def publish(spark: SparkSession, new: str, folder: str, names: Sequence[str]) -> None:
-    """Move finished tables from ``new`` to ``folder`` and delete those they replace."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for name in names:
-        if files.exists(path(f"{folder}/{name}")):
-            files.rename(path(f"{folder}/{name}"), path(f"{new}/_old-{name}"))
-        if not files.rename(path(f"{new}/{name}"), path(f"{folder}/{name}")):
-            raise OSError(f"could not move {new}/{name} to {folder}")
-    files.delete(path(new), True)
+def load_fact(df: DataFrame, folder: str, table: str, by: str, counts: Mapping[str, Column]) -> dict[str, int]:
+    """Write a fact table, a folder for each value of ``by``, and return the ``counts`` taken of its rows meanwhile.
+
+    Rows are dealt out by ``by``; values that hold many rows are split over tasks. Counts are taken
+    in the tasks that write, so that repeated tasks do not count twice.
+    """
+    seen = Observation(f"load-{table}")
+    spread = df.hint("rebalance", by).observe(seen, *[c.alias(name) for name, c in counts.items()])
+    spread.write.mode("errorifexists").partitionBy(by).parquet(f"{folder}/{table}")
+    return seen.get
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:

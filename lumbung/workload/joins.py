@@ -246,6 +246,15 @@ def map_join(t: Source) -> DataFrame:
     return tidy(out, {"supply_risk_index": 6}).select("provinsi", "nama_provinsi", "supply_risk_index", "sum_jumlah_sakit")
 
 
+@query("d18_missing_centres", f"""WITH {CUBE}, {SUMMARY_SQL}
+SELECT upper(nama_provinsi) AS nama_provinsi FROM summary
+WHERE nama_provinsi NOT IN (SELECT n_name FROM nation WHERE n_nationkey % 11 <> 0) AND supply_risk_index IS NOT NULL""")
+def missing_centres(t: Source) -> DataFrame:
+    metrics = rollups.regional_summary(standin.cube(t).where("tahun = 1999"))
+    centres = t("nation").where("n_nationkey % 11 <> 0").selectExpr("lower(n_name) AS nama_provinsi")
+    return conform.without_centre(centres, metrics)
+
+
 @query("d18_centre_join", f"""WITH {CUBE}, {SUMMARY_SQL}
 SELECT nama_provinsi, {r("supply_risk_index", 6)} AS supply_risk_index, lat, lon,
        {r("greatest(6, least(30, supply_risk_index * 40))", 4)} AS radius

@@ -9,7 +9,7 @@ from lumbung.functions import text
 from lumbung.operators import dimensions, star
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
-from lumbung.plans.warehouse import cube_of, load_warehouse
+from lumbung.plans.warehouse import cube_of, load_warehouse, read_warehouse
 from lumbung.session import stage, stage_path
 from lumbung.sources import indicators, readers, sinks
 from lumbung.workload.base import CODE_SQL, DIMS, FACT, on_cube, on_lines, query, r, tidy
@@ -196,6 +196,34 @@ def price_sheet_files(t: Source) -> DataFrame:
     return tidy(long.select("provinsi", "jenis_daging", F.date_format("waktu", "yyyy-MM-dd").alias("tanggal"), "harga"), {"harga": 2})
 
 
+@query("a7_mixed_sheets", f"""
+SELECT o_orderstatus AS provinsi, o_orderpriority AS jenis_daging, strftime(o_orderdate, '%Y-%m-%d') AS tanggal,
+       {r("sum(o_totalprice)", 2)} AS harga
+FROM orders WHERE lower(o_orderpriority) LIKE '%high%' OR lower(o_orderpriority) LIKE '%low%' GROUP BY ALL""")
+def mixed_sheets(t: Source) -> DataFrame:
+    """A CSV sheet per status and month with the days of its month as columns, all read in one scan."""
+    folder = stage_path(t.spark, "sheets")
+    rows = t("orders").where("o_orderdate IS NOT NULL").selectExpr(
+        "o_orderstatus", "date_format(o_orderdate, 'yyyy-MM') AS bulan", "o_orderpriority", "cast(o_orderdate AS date) AS hari", "o_totalprice"
+    )
+    sums = rows.groupBy("o_orderstatus", "bulan", "o_orderpriority", "hari").agg(F.sum("o_totalprice").alias("q"))
+    lines = sums.groupBy("o_orderstatus", "bulan", "o_orderpriority").agg(
+        F.map_from_entries(F.collect_list(F.struct("hari", "q"))).alias("cells")
+    )
+    sheets = lines.groupBy("o_orderstatus", "bulan").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("cells"))))).alias("days"),
+        F.collect_list(F.struct("o_orderpriority", "cells")).alias("lines"),
+    )
+    header = F.concat(F.lit('No,"Komoditas (Rp)",'), F.array_join(F.transform("days", lambda d: F.date_format(d, "dd/ MM/ yyyy")), ","))
+    values = lambda x: F.array_join(F.transform("days", lambda d: F.coalesce(x["cells"][d].cast("string"), F.lit(""))), ",")
+    body = F.transform("lines", lambda x: F.concat(F.lit('1,"'), x["o_orderpriority"], F.lit('",'), values(x)))
+    text_ = F.array_join(F.concat(F.array(header), body), "\n")
+    sheets.select("o_orderstatus", "bulan", text_.alias("value")).write.partitionBy("bulan", "o_orderstatus").text(folder)
+    long = readers.read_mixed_price_sheets(t.spark, folder, ["high", "low"]).where("harga IS NOT NULL")
+    status = F.element_at(F.split("provinsi", "="), -1).alias("provinsi")
+    return tidy(long.select(status, "jenis_daging", F.date_format("waktu", "yyyy-MM-dd").alias("tanggal"), "harga"), {"harga": 2})
+
+
 @query("a8_label_parts", """
 SELECT jenis_pasar, kota, count(*) AS n FROM (
   SELECT CASE WHEN p_partkey % 10 = 0 THEN 'TIDAK DIKETAHUI' ELSE split_part(p_name, ' ', 1) END AS jenis_pasar,
@@ -295,6 +323,28 @@ def load_fact(t: Source) -> DataFrame:
     return tidy(out, {"sum_risk": 4})
 
 
+VERSION_SQL = f"count(*) AS n_rows, {r('sum(supply_risk_index)', 4)} AS sum_risk, count(DISTINCT waktu_key) AS n_months"
+
+
+@query("b3_versioned_load", f"""WITH {FACT}
+SELECT 1 AS versi, {VERSION_SQL} FROM fact WHERE komoditas_key <> 2 UNION ALL SELECT 2, {VERSION_SQL} FROM fact
+UNION ALL SELECT 0, {VERSION_SQL} FROM fact""")
+def versioned_load(t: Source) -> DataFrame:
+    """Two loads into one folder; the current version (0 here) and both by their number, all through pointers."""
+    folder, star_ = stage_path(t.spark, "dwh"), standin.warehouse(t)
+    star_[sinks.FACT] = stage(star_[sinks.FACT], "fact")
+    load_warehouse({**star_, sinks.FACT: star_[sinks.FACT].where("komoditas_key <> 2")}, folder)
+    load_warehouse(star_, folder)
+    parts = [
+        read_warehouse(t.spark, folder, number)[sinks.FACT].agg(
+            F.lit(number or 0).alias("versi"), F.count(F.lit(1)).alias("n_rows"), F.sum("supply_risk_index").alias("sum_risk"),
+            F.count_distinct("waktu_key").alias("n_months"),
+        )
+        for number in (1, 2, None)
+    ]
+    return tidy(parts[0].unionByName(parts[1]).unionByName(parts[2]), {"sum_risk": 4})
+
+
 @query("b4_export_cube", on_cube(f"""
 SELECT tahun, count(*) AS n, {r("sum(supply_risk_index)", 4)} AS sum_risk FROM cube GROUP BY tahun"""))
 def export_cube(t: Source) -> DataFrame:

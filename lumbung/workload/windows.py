@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import risk
 from lumbung.operators import correlation, imputation, ranking, rollups
-from lumbung.operators.dimensions import commodity_dimension_of, region_dimension
+from lumbung.operators.dimensions import commodity_dimension_of, region_dimension, time_dimension
 from lumbung.plans import standin
 from lumbung.plans.standin import Source
 from lumbung.session import stage, stage_path
@@ -30,6 +30,27 @@ def surrogate_keys(t: Source) -> DataFrame:
     return prov.unionByName(time).unionByName(kind)
 
 
+@query("f1_lasting_keys", f"""WITH {DIMS.lstrip(', ')},
+old_prov AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS k FROM nation WHERE n_nationkey % 3 <> 0),
+old_waktu AS (SELECT tahun, bulan, row_number() OVER (ORDER BY tahun, bulan) AS k FROM dim_waktu WHERE tahun > (SELECT min(tahun) + 1 FROM dim_waktu)),
+keyed AS (
+  SELECT 'prov' AS dim, k AS kunci, n_name AS nama FROM old_prov
+  UNION ALL SELECT 'prov', (SELECT count(*) FROM old_prov) + row_number() OVER (ORDER BY n_name), n_name FROM nation WHERE n_nationkey % 3 = 0
+  UNION ALL SELECT 'waktu', k, tahun || '/' || lpad(CAST(bulan AS VARCHAR), 2, '0') FROM old_waktu
+  UNION ALL SELECT 'waktu', (SELECT count(*) FROM old_waktu) + row_number() OVER (ORDER BY tahun, bulan), tahun || '/' || lpad(CAST(bulan AS VARCHAR), 2, '0')
+  FROM dim_waktu WHERE tahun <= (SELECT min(tahun) + 1 FROM dim_waktu))
+SELECT dim, CAST(kunci AS INTEGER) AS kunci, nama FROM keyed""")
+def lasting_keys(t: Source) -> DataFrame:
+    """Keys of a second run that finds more regions and earlier years than the first."""
+    names = t("nation")
+    first = region_dimension(names.where("n_nationkey % 3 <> 0"), "n_name")
+    prov = region_dimension(names, "n_name", first).selectExpr("'prov' AS dim", "prov_key AS kunci", "nama_provinsi AS nama")
+    months = standin.dims_of(t)["dim_waktu"].select("tahun", "bulan")
+    later = months.where(F.col("tahun") > months.agg(F.min("tahun") + 1).scalar())
+    time = time_dimension(months, time_dimension(later)).selectExpr("'waktu' AS dim", "waktu_key AS kunci", "format_string('%d/%02d', tahun, bulan) AS nama")
+    return prov.unionByName(time)
+
+
 @query("f2_last_known", f"""WITH {INTEGRATED}
 SELECT id_wilayah, id_komoditas, tahun, bulan, {r('''last_value(avg_harga IGNORE NULLS) OVER (
   PARTITION BY id_wilayah, id_komoditas ORDER BY tahun, bulan ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)''', 4)} AS harga_lalu

@@ -27,10 +27,10 @@ def test_stable_round_ignores_summation_noise(spark):
 
 def test_event_date_takes_both_year_lengths_padded_or_not(spark):
     df = spark.createDataFrame(
-        [("03/16/24",), ("03/16/2024",), ("13/45/24",), ("2024-03-16",), (None,), ("01/02/60",), ("1/5/24",), (" 1/15/2024 ",), ("1/5/024",)], "v string"
+        [("03/16/24",), ("03/16/2024",), ("13/45/24",), ("2024-03-16",), (None,), ("01/02/60",), ("1/5/24",), (" 1/15/2024 ",), ("1/5/024",), ("003/1/24",), ("1/005/2024",), ("1/5",), ("1/5/24/",), ("/5/24",)], "v string"
     )
     d = datetime.date
-    assert values(df, "v", dates.event_date) == [d(2024, 3, 16), d(2024, 3, 16), None, None, None, d(2060, 1, 2), d(2024, 1, 5), d(2024, 1, 15), None]
+    assert values(df, "v", dates.event_date) == [d(2024, 3, 16), d(2024, 3, 16), None, None, None, d(2060, 1, 2), d(2024, 1, 5), d(2024, 1, 15)] + [None] * 6
 
 
 def test_header_date_ignores_blanks(spark):

@@ -111,3 +111,34 @@ def test_mean_fill(spark):
     assert got == {(1, 2020): 4.0, (1, 2021): 6.0, (1, 2022): 8.0, (2, 2020): None}
     audit = imputation.null_audit(df, imputation.fill_with_mean(df, ["k"], ["v"]), ["v"]).collect()
     assert [tuple(r) for r in audit] == [("v", 2, 1)]
+
+
+def test_one_rule_for_groups_of_any_size(spark, monkeypatch):
+    """Many small groups: hash aggregates only, and a small part of the rows is staged."""
+    rng = random.Random(8)
+    rows = [(i % 150, rng.lognormvariate(8, 1)) for i in range(60_000)]
+    df = spark.createDataFrame(rows, "k int, v double").cache()
+    staged, plans, real = {}, [], quantiles.stage
+
+    def kept(frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return staged.setdefault(name, real(frame, name))
+
+    monkeypatch.setattr(quantiles, "stage", kept)
+    got = {r.k: r.m for r in quantiles.exact_median(df, ["k"], F.col("v"), "m").collect()}
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    assert got == {k: brute(g, 0.5, "disc") for k, g in groups.items()}
+    assert sum(frame.count() for frame in staged.values()) < 0.1 * len(rows)
+    assert all("SortAggregate" not in plan and "ObjectHashAggregate" not in plan for plan in plans)
+
+
+def test_values_at_the_ends_of_the_range(spark):
+    values = [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), 1.0, 1.0 + 2**-52, 1.0 - 2**-53, -1.0, 1e-9, -1e-9, 3.0]
+    df = spark.createDataFrame([("a", v) for v in values * 3] + [("b", 1e15 + i) for i in range(2000)], "k string, v double")
+    wanted = {f"q{i}": i / 14 for i in range(15)}
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], F.col("v"), wanted).collect()}
+    for k, own in (("a", values * 3), ("b", [1e15 + i for i in range(2000)])):
+        for name, p in wanted.items():
+            assert got[k][name] == brute(own, p, "disc"), (k, name)

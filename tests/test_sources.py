@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbung.operators import conform, measures, ranking, reshape, rollups
-from lumbung.session import sizing, stage_path
+from lumbung.session import sizing, stage, stage_path
 from lumbung.sources import indicators, readers, sinks
 from lumbung.sources.fixed_values import REGION_ALIASES
 from lumbung.sources.literals import literal_table
@@ -163,3 +163,52 @@ def test_session_sizing():
 def test_literal_table_quotes_text(spark):
     rows = [("it's", 1, 2.5), ("a\\b", None, None)]
     assert [tuple(r) for r in literal_table(spark, ["s", "i", "d"], rows).collect()] == rows
+
+
+def test_csv_cells(spark):
+    lines = ["a,b", ",x,", '"1, ""2""",,"",z', "", '"open,1', 'a"b,c']
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = [r.c for r in df.select(readers.csv_cells(F.col("line")).alias("c")).collect()]
+    assert got == [["a", "b"], [None, "x", None], ['1, "2"', None, None, "z"], [None], ['"open', "1"], ['a"b', "c"]]
+
+
+def test_sheets_with_different_headers(spark, tmp_path):
+    """Each file has its own days, label column and order; all are read in one scan."""
+    sheets = {
+        "pulau/Jawa Timur/PASAR_SURABAYA.csv": '﻿No,Komoditas (Rp),01/ 01/ 2024,02/ 01/ 2024,note\r\n1," Daging Sapi, murni ",100,-,x\r\n2,Beras,5,6,\r\n\r\n',
+        "Bali/MODERN_DENPASAR.csv": "No,Nama,05-02-2024\nI,daging ayam,31000\nII,Daging sapi\n",
+        "Aceh/TOKO.csv": "Komoditas,No,1/3/2024,2/3/2024\nAyam ras,1,\"1,5\",7\nKomoditas (Rp),2,1,1",
+        "Papua/KOSONG_KOTA.csv": "No,Komoditas,lain\n1,daging sapi,3\n",
+        "Papua/SATU_BARIS.csv": "No,Komoditas,01/01/2024\n",
+        "Papua/NIHIL_X.csv": "",
+    }
+    for name, text in sheets.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    df = readers.read_mixed_price_sheets(spark, str(tmp_path), ["daging", "ayam"])
+    got = {(r.provinsi, r.jenis_pasar, r.kota, r.jenis_daging, r.harga, str(r.waktu)[:10]) for r in df.collect()}
+    assert got == {
+        ("JAWA TIMUR", "PASAR", "SURABAYA", "Daging Sapi, murni", 100.0, "2024-01-01"), ("JAWA TIMUR", "PASAR", "SURABAYA", "Daging Sapi, murni", None, "2024-01-02"),
+        ("BALI", "MODERN", "DENPASAR", "daging ayam", 31000.0, "2024-02-05"), ("BALI", "MODERN", "DENPASAR", "Daging sapi", None, "2024-02-05"),
+        ("ACEH", "TIDAK DIKETAHUI", "TOKO", "Ayam ras", None, "2024-03-01"), ("ACEH", "TIDAK DIKETAHUI", "TOKO", "Ayam ras", 7.0, "2024-03-02"),
+    }
+    assert df.columns == list(readers.PRICE_COLUMNS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    every = readers.read_mixed_price_sheets(spark, str(tmp_path), [])
+    assert {r.jenis_daging for r in every.collect()} == {"Daging Sapi, murni", "Beras", "daging ayam", "Daging sapi", "Ayam ras"}
+
+
+def test_documents_are_parsed_once_for_all_indicators(spark):
+    table = {"kolom": {"v1": {"nama_variabel": "Populasi Sapi"}, "v2": {"nama_variabel": "Populasi AYAM"}}, "data": [
+        {"label": " Aceh ", "kode_wilayah": "11", "variables": {"v1": {"value_raw": "5"}, "v2": {"value_raw": "7"}}},
+        {"label": "Indonesia", "kode_wilayah": "0", "variables": {"v1": {"value_raw": "9"}}},
+    ]}
+    good = json.dumps({"status": "OK", "data": [{"page": 1}, table]})
+    rows = [(c, 2024, u, p) for c in ("sapi", "ayam", "other", "none") for u, p in ((1, '{"status": "ERROR"}'), (2, "broken"), (3, None), (4, good), (5, good.replace('"5"', '"6"')))]
+    df = stage(spark.createDataFrame(rows, "indikator string, tahun int, urutan int, payload string"), "documents")
+    words = {"sapi": ["populasi", "SAPI"], "ayam": ["populasi", "ayam"], "none": ["kerbau"]}
+    out = indicators.annual_statistics(df, words)
+    assert [tuple(r) for r in out.collect()] == [("Aceh", 2024, "5", "7", None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("from_json") == 1
