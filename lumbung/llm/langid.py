@@ -167,7 +167,7 @@ def _word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 def fit(docs: DataFrame, lang_col: str, text_col: str, path: str, sample: int = 2000, rounds: int = 3) -> Model:
     """Fit piece probabilities by expectation maximisation on labelled texts.
 
-    About ``sample`` texts of each language are used, chosen by a hash of the text. Words are
+    About ``sample`` different texts of each language are used, chosen by their hash. Words are
     counted by Spark, each round sums the expected counts of the pieces over all segmentations on
     the executors, and the driver gets one number per language and piece (32,000 pieces at most, so
     the table of a hundred languages has 26 MB).
@@ -176,12 +176,15 @@ def fit(docs: DataFrame, lang_col: str, text_col: str, path: str, sample: int =
     labelled = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("body")).where(
         "lang is not null and body is not null"
     )
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    labelled = labelled.withColumn("hash", F.xxhash64("body"))
+    # Copies of a text count once, so that no text rules the model and the sample has the size it should.
+    sizes = {r["lang"]: r["count"] for r in labelled.select("lang", "hash").distinct().groupBy("lang").count().collect()}
     languages, pieces = sorted(sizes), vocabulary(path)
     if not languages:
         return Model([], np.zeros((len(pieces) + 2, 0)))
     limits = F.create_map(*(F.lit(x) for lang in languages for x in (lang, int(min(1.0, sample / sizes[lang]) * (1 << 30)))))
-    chosen = labelled.where(F.pmod(F.xxhash64("body"), F.lit(1 << 30)) < F.element_at(limits, F.col("lang")))
+    chosen = labelled.where(F.pmod("hash", F.lit(1 << 30)) < F.element_at(limits, F.col("lang")))
+    chosen = chosen.groupBy("lang", "hash").agg(F.min("body").alias("body"))
     counted = stage(_word_counts(chosen, "lang", "body"), "lang-words")
     number = {lang: i for i, lang in enumerate(languages)}
     model = Model.normalised(languages, np.ones((len(pieces), len(languages))))

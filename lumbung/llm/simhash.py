@@ -169,6 +169,10 @@ def classes(prints: DataFrame, distance: int = 2) -> DataFrame:
     return named.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
 
 
+#: A fingerprint is heavy if at least this many rows and this part of all rows have it, so there are 10,000 of them at most.
+HEAVY_ROWS, HEAVY_PART = 1_000, 10_000
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -180,13 +184,18 @@ def near_copies(
     and only once: what follows works on a staged table of ids and fingerprints.
     """
     prints = stage(fingerprints(docs, [id_col], text_col, shingle), "fingerprints")
-    least = prints.groupBy("fingerprint").agg(F.min(f"`{id_col}`").alias("least"))
-    joined = least.join(classes(prints, distance), "fingerprint")
-    named = stage(joined, "classes")
+    least = prints.groupBy("fingerprint").agg(F.min(f"`{id_col}`").alias("least"), F.count(F.lit(1)).alias("n"))
+    named = stage(least.join(classes(prints, distance), "fingerprint"), "classes")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = named.select("fingerprint", "root").join(ids, "root").select("fingerprint", "component_id")
+    of_print = stage(named.select("fingerprint", "root", "n").join(ids, "root").select("fingerprint", "component_id", "n"), "components")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") >= max(HEAVY_ROWS, total // HEAVY_PART)
+    # Rows of heavy fingerprints stay where they are; the others meet their component by fingerprint.
+    few = F.broadcast(of_print.where(heavy).select("fingerprint", "component_id"))
+    light = prints.join(few, "fingerprint", "left_anti").join(of_print.where(~heavy), "fingerprint").select(*prints.columns, "component_id")
+    found = prints.join(few, "fingerprint").select(*prints.columns, "component_id").union(light)
     text = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
-    return prints.join(of_print, "fingerprint").select(f"`{id_col}`", text, "component_id")
+    return found.select(f"`{id_col}`", text, "component_id")
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", shingle: int = 3, distance: int = 2, id_col: str = "doc_id") -> DataFrame:
@@ -200,9 +209,10 @@ def keep_one(docs: DataFrame, text_col: str = "text", shingle: int = 3, distance
     keyed = docs.withColumn(key, F.xxhash64(*columns, *(c.isNull() for c in columns)))  # nulls alone leave no trace
     prints = stage(fingerprints(keyed, [id_col, key], text_col, shingle).withColumnsRenamed({id_col: mine}), "fingerprints")
     named = classes(prints, distance)
-    best = prints.join(named, "fingerprint").groupBy("root").agg(
-        F.min_by(F.struct(mine, key), F.struct(F.col(mine).isNull(), mine, key)).alias("best")
-    )
+    # One row for each fingerprint comes out of the tasks, however many rows have it.
+    order = F.struct(F.col(mine).isNull().alias("none"), mine, key)
+    firsts = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    best = firsts.join(named, "fingerprint").groupBy("root").agg(F.min("first").alias("best"))
     chosen = stage(best.select(F.col(f"best.{mine}").alias(mine), F.col(f"best.{key}").alias(comp)), "kept")
     kept = keyed.join(chosen, F.col(f"`{id_col}`").eqNullSafe(F.col(mine)) & (F.col(key) == F.col(comp)), "left_semi").drop(key)
     repeated = stage(prints.groupBy(mine, key).count().where("count > 1").select(mine, F.col(key).alias(comp)), "repeated")

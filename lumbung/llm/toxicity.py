@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.llm.arrow import fresh, from_texts
+from lumbung.session import stage
 
 WORD = re.compile(r"\w+")
 BUCKETS, EMBEDDING, FILTERS, WIDTHS, STEM = 1 << 15, 16, 8, (1, 2, 3), 4
@@ -24,6 +25,7 @@ FUNCTION_WORDS = {
     "es": "el los las de y en que es una un por con para se su como no más lo del",
 }
 LANGUAGES = (*FUNCTION_WORDS, "other")
+SAMPLE_BYTES = 64 << 20  # of bucket numbers, 8 for each word, that the driver trains on at most
 
 
 def _bucket(word: str) -> int:
@@ -59,6 +61,16 @@ def pack(texts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.cumsum([0] + [len(t) + len(pad) for t in texts[:-1]])
 
 
+@dataclass
+class Gradients:
+    out: np.ndarray
+    offset: float
+    filters: list[np.ndarray]
+    bias: list[np.ndarray]
+    rows: np.ndarray  # of the embedding that have a gradient
+    embedding: np.ndarray
+
+
 @dataclass
 class Network:
     """Embeddings, one bank of filters per width, max pooling over the whole text, a logistic layer."""
@@ -100,9 +112,41 @@ class Network:
 
     def logits(self, texts: Sequence[np.ndarray]) -> np.ndarray:
         ids, starts = pack(texts)
-        pooled = [np.maximum.reduceat(bank, starts) for bank in self.convolve(ids)]
+        # A text's places end with its first padding: windows behind it would reach into the next text.
+        ends = np.r_[starts[1:], len(ids)] - PAD
+        cuts = np.stack([starts, ends], axis=1).ravel()[:-1]
+        pooled = [np.maximum.reduceat(bank, cuts)[::2] for bank in self.convolve(ids)]
         return np.maximum(np.concatenate(pooled, axis=1), 0).astype(float) @ self.out + self.offset
 
+    def gradients(self, texts: Sequence[np.ndarray], labels: np.ndarray, weight: np.ndarray) -> Gradients:
+        """Of the weighted logistic loss of ``texts``; a filter's goes to the window with its largest value."""
+        ids, starts = pack(texts)
+        ends = np.r_[starts[1:], len(ids)] - PAD
+        banks = self.convolve(ids)
+        where = [np.array([a + bank[a:b].argmax(0) for a, b in zip(starts, ends)]) for bank in banks]
+        pooled = np.concatenate([np.take_along_axis(bank, at, 0) for bank, at in zip(banks, where)], axis=1)
+        active = np.maximum(pooled, 0)
+        logit = active @ self.out + self.offset
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) * weight
+        back = (error[:, None] * self.out[None] * (pooled > 0)).astype(np.float32)
+        filters, bias, rows, changes = [], [], [], []
+        for k, (bank, at) in enumerate(zip(self.filters, where)):
+            own = back[:, k * FILTERS : (k + 1) * FILTERS]
+            gradient = np.zeros_like(bank)
+            for j in range(len(bank)):
+                words = ids[at + j]
+                gradient[j] = np.einsum("tfe,tf->ef", self.vectors(words), own)
+                change = (own[:, :, None] * bank[j].T[None]).reshape(-1, EMBEDDING)
+                rows += [words.ravel() >> 32, words.ravel() & 0xFFFFFFFF]
+                changes += [change, change]
+            filters.append(gradient)
+            bias.append(own.sum(0))
+        row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
+        total = np.zeros((len(row), EMBEDDING), np.float32)
+        np.add.at(total, inverse, np.concatenate(changes))
+        total[row == 0] = 0  # padding stays zero
+        return Gradients(active.T @ error, float(error.sum()), filters, bias, row, total)
+
     def language(self, texts: Sequence[np.ndarray], votes: np.ndarray) -> np.ndarray:
         ids, starts = pack(texts)
         counts = np.add.reduceat(votes[ids >> 32], starts, dtype=np.int64)
@@ -119,8 +163,7 @@ def train(
 ) -> Network:
     """Fit a network by Adagrad on whole texts; a quarter of them only sets the thresholds.
 
-    Both classes weigh the same. Words are hidden at random, so that no single one decides. The
-    gradient of a filter goes to the window with its largest value.
+    Both classes weigh the same. Words are hidden at random, so that no single one decides.
     """
     rng, net = np.random.default_rng(seed), Network.start(seed)
     labels = np.asarray(labels, float)
@@ -141,35 +184,15 @@ def train(
 
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(used), max(1, len(used) // batch)):
-            ids, starts = pack([np.where(rng.random(len(texts[i])) < 0.1, 0, texts[i]) for i in part])
-            ends = np.r_[starts[1:], len(ids)] - PAD
-            banks = net.convolve(ids)
-            where = [np.array([a + bank[a:b].argmax(0) for a, b in zip(starts, ends)]) for bank in banks]
-            pooled = np.concatenate([np.take_along_axis(bank, at, 0) for bank, at in zip(banks, where)], axis=1)
-            active = np.maximum(pooled, 0)
-            logit = active @ net.out + net.offset
-            error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[part]) * weight[part] / len(part)
-            back = (error[:, None] * net.out[None] * (pooled > 0)).astype(np.float32)
-            step(net.out, state[-1], (active.T @ error + 1e-4 * net.out).astype(np.float32))
-            moment += error.sum() ** 2
-            net.offset -= rate * error.sum() / np.sqrt(moment)
-            rows, changes = [], []
-            for k, (bank, at) in enumerate(zip(net.filters, where)):
-                own = back[:, k * FILTERS : (k + 1) * FILTERS]
-                gradient = np.zeros_like(bank)
-                for j in range(len(bank)):
-                    words = ids[at + j]
-                    gradient[j] = np.einsum("tfe,tf->ef", net.vectors(words), own)
-                    change = (own[:, :, None] * bank[j].T[None]).reshape(-1, EMBEDDING)
-                    rows += [words.ravel() >> 32, words.ravel() & 0xFFFFFFFF]
-                    changes += [change, change]
-                step(bank, state[1 + k], gradient)
-                step(net.bias[k], state[1 + len(WIDTHS) + k], own.sum(0))
-            row, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-            total = np.zeros((len(row), EMBEDDING), np.float32)
-            np.add.at(total, inverse, np.concatenate(changes))
-            total[row == 0] = 0
-            step(net.embedding, state[0], total, row)
+            shown = [np.where(rng.random(len(texts[i])) < 0.1, 0, texts[i]) for i in part]
+            g = net.gradients(shown, labels[part], weight[part] / len(part))
+            step(net.out, state[-1], (g.out + 1e-4 * net.out).astype(np.float32))
+            moment += g.offset**2
+            net.offset -= rate * g.offset / np.sqrt(moment)
+            for k, (bank, own) in enumerate(zip(net.filters, g.filters)):
+                step(bank, state[1 + k], own)
+                step(net.bias[k], state[1 + len(WIDTHS) + k], g.bias[k])
+            step(net.embedding, state[0], g.embedding, g.rows)
     calibrate(net, [texts[i] for i in held], labels[held])
     return net
 
@@ -186,6 +209,7 @@ def calibrate(net: Network, texts: Sequence[np.ndarray], labels: np.ndarray, lea
         order = np.argsort(logits, kind="stable")
         values, marks = logits[order], labels[order]
         wrong = np.r_[0, np.cumsum(marks)] + (len(marks) - marks.sum() - np.r_[0, np.cumsum(1 - marks)])
+        wrong = np.where(np.r_[True, values[1:] > values[:-1], True], wrong, np.inf)  # equal logits stay together
         edges = np.r_[values[0] - 1, (values[1:] + values[:-1]) / 2, values[-1] + 1]
         fewest = np.flatnonzero(wrong == wrong.min())
         widths = [values[min(i, len(values) - 1)] - values[max(i - 1, 0)] for i in fewest]
@@ -200,11 +224,24 @@ def calibrate(net: Network, texts: Sequence[np.ndarray], labels: np.ndarray, lea
             net.thresholds[i] = best(logits[language == i], own)
 
 
+def fitting(sizes: Sequence[tuple], most: int) -> list:
+    """Ids of ``sizes`` (id, label, bytes, hash) in the order of their hashes, of each label until ``most`` bytes are full."""
+    room: dict[int, int] = {}
+    taken = []
+    for doc, label, size, _ in sorted(sizes, key=lambda r: (r[3], str(r[0]))):
+        if size <= room.get(label, most):
+            room[label] = room.get(label, most) - size
+            taken.append(doc)
+    return taken
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> Network:
     """Train on about ``sample`` labelled texts of each class at most, chosen by a hash of their id.
 
-    Spark picks the labels (the larger one where a document has several), joins them with their texts and hashes
-    the words; the driver gets the bucket numbers of that bounded sample and trains on them.
+    Spark picks the labels (the larger one where a document has several), joins them with their texts
+    (one where several rows share an id) and hashes the words; the driver gets the bucket numbers of
+    that bounded sample and trains on them. Where these are more than SAMPLE_BYTES, fewer texts are
+    taken, whole ones, each class up to half of it.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
     known = known.agg(F.max(F.col(label_col).cast("int")).alias("label"))
@@ -220,7 +257,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         buckets = Buckets()
         return lambda batch: [[buckets.of((t or b"").decode("utf-8", "replace")).tobytes() for t in batch]]
 
-    rows = from_texts(joined, "body", ["doc", "label"], "words binary", make).collect()
+    one = joined.groupBy("doc", "label").agg(F.min(F.struct(F.xxhash64("body").alias("h"), "body")).alias("first"))
+    hashed = stage(from_texts(one.select("doc", "label", "first.body"), "body", ["doc", "label"], "words binary", make), "toxicity-sample")
+    sizes = hashed.select("doc", "label", F.octet_length("words"), F.xxhash64("doc")).collect()
+    taken = fitting([tuple(r) for r in sizes], SAMPLE_BYTES // 2)
+    rows = (hashed if len(taken) == len(sizes) else hashed.where(F.col("doc").isin(taken))).collect()
     rows.sort(key=lambda r: (str(r[0]), r[1], bytes(r[2])))
     return train([np.frombuffer(bytes(r[2]), np.int64) for r in rows], np.array([r[1] for r in rows]))
 

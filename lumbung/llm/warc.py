@@ -204,8 +204,11 @@ def archive_pages(
     responses = index.where("type != 'revisit'").select(
         F.col("record_id").alias("refers_record"), F.col("page").alias("to"), F.col("payload_bytes").alias("full")
     )
-    joined = index.join(responses, "refers_record", "left")
-    return joined.select(
+    # Responses refer to nothing: only revisit records look for a partner.
+    revisits = index.where("type = 'revisit'").join(responses, "refers_record", "left").select("page", "payload_bytes", "full", "digest", "type", "to")
+    none = [F.lit(None).cast(responses.schema[c].dataType).alias(c) for c in ("full", "to")]
+    plain = index.where("type != 'revisit'").select("page", "payload_bytes", none[0], "digest", "type", none[1])
+    return plain.union(revisits).select(
         F.col("page").cast(kind).alias(id_col),
         F.coalesce("payload_bytes", "full").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"),

@@ -490,3 +490,61 @@ def test_pipeline(spark, table, tmp_path):
     assert set(left[3]) == set(left[2]) - {104}
     assert set(left[4]) <= set(left[3]) and len(left[4]) > 20
     assert rows(corpus_pipeline.run(spark, folder)) == rows(docs)
+
+
+def write_tables(folder, docs, bench, table):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    table(bench, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_stages_on_an_empty_table(spark, table, empty, tmp_path):
+    write_tables(tmp_path, empty, [], table)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, str(tmp_path)), "empty-step")
+        assert docs.count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_keep_extra_columns_and_handle_repeated_rows(spark, table, odd, odd_rows, tmp_path):
+    """Clashing names, nulls in any column and rows that occur many times go through every stage."""
+    item = prose(77, 40)
+    more = table([(50, prose(50, 90) + " " + item, "en", "src1", 1)] * 3 + [(51, prose(51, 120), "en", "src1", 1)] * 200 + [(None, prose(52, 120), "en", None, 1)] * 5)
+    names = [c for c in odd.columns if c not in more.columns]
+    docs = stage(odd.unionByName(more.withColumns({c: F.lit(f"extra {c}") for c in names})), "odd-pipeline")
+    write_tables(tmp_path, docs, [(1, item)], table)
+    kept = []
+    for i, (_, step) in enumerate(corpus_pipeline.STAGES):
+        columns = docs.columns
+        docs = stage(step(spark, docs, str(tmp_path)), "odd-step")
+        if i < 4:
+            assert docs.columns == columns
+            assert {r["__row"] for r in docs.collect()} == {"extra __row"}
+        kept.append(Counter(r["doc_id"] for r in docs.collect()))
+    assert kept[0][51] == 200 and kept[0][50] == 3 and kept[0][3] == 0
+    assert kept[1][51] == 1 and kept[1][50] == 1 and kept[1][1] == 1 and kept[1][2] == 0
+    assert kept[2] == kept[1] and kept[3][50] == 0 and sum(kept[3].values()) == sum(kept[2].values()) - 1
+    assert set(kept[4]) <= set(kept[3])
+
+
+@pytest.mark.parametrize("heavy", [1, 1000])
+def test_a_fingerprint_that_a_third_of_all_rows_share(table, monkeypatch, heavy):
+    monkeypatch.setattr(simhash, "HEAVY_ROWS", heavy)
+    docs = [(i, prose(i, 40)) for i in range(200)] + [(1000 + i, prose(7, 40)) for i in range(100)] + [(None, prose(8, 40))] * 40
+    got = simhash.near_copies(table(docs)).collect()
+    fps = {t: slow_fingerprint(t) for _, t in docs}
+    roots, least = slow_roots(list(fps.values()), 2), {}
+    for i, t in docs:
+        least[roots[fps[t]]] = min((x for x in (least.get(roots[fps[t]]), i) if x is not None), default=None)
+    assert rows(simhash.near_copies(table(docs))) == sorted([(i, f"{fps[t]:016x}", least[roots[fps[t]]]) for i, t in docs], key=str)
+    assert len(got) == len(docs) and simhash.keep_one(table(docs)).count() == len(set(roots.values()))
+
+
+def test_only_revisit_records_look_for_their_response(table):
+    pages = table([(i, f"http://a/{i}", "same" if i % 3 == 0 else f"page {i}") for i in range(90)], PAGES)
+    found = warc.archive_pages(pages)
+    got = {r["page_id"]: r for r in found.collect()}
+    assert all((r["record_type"], r["refers_to"]) == (("revisit", 87) if i % 3 == 0 and i != 87 else ("response", None)) for i, r in got.items())
+    assert all(r["payload_bytes"] == len("same" if i % 3 == 0 else f"page {i}") for i, r in got.items())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "type#" in plan

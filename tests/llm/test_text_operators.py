@@ -316,3 +316,176 @@ def test_leaks_of_odd_rows(odd, odd_rows, empty, table):
     assert spaced.drop_leaks(odd, table([], BENCH)).count() == len(odd_rows)
     assert spaced.find_leaks(empty, bench, ["doc_id"]).collect() == []
     assert spaced.find_leaks(odd, bench, ["doc_id"]).where(F.col("contaminated")).count() == 4
+
+
+# Samples that training is bounded by
+
+
+def test_copies_of_a_text_count_once_in_the_language_sample(table, monkeypatch):
+    """A text with a third of all rows neither fills the sample nor keeps others out."""
+    docs = [(4 * i, prose(i, 12), "en", "s", 1) for i in range(120)] + [(4 * i, prose(1, 12), "en", "s", 1) for i in range(500, 560)]
+    docs += [(4 * i, f"der hund {i} und die katze {i}", "de", "s", 1) for i in range(700, 760)]
+    seen, own = [], langid._word_counts
+    monkeypatch.setattr(langid, "_word_counts", lambda df, lang, text: seen.append(df) or own(df, lang, text))
+    langid.fit(table(docs), "lang", "text", public_tokenizers.path(langid.MODEL), 60, 1)
+    texts = Counter((r["lang"], r["body"]) for r in seen[0].collect())
+    assert set(texts.values()) == {1}
+    sizes = Counter(lang for lang, _ in texts)
+    assert 35 <= sizes["en"] <= 85 and sizes["de"] == 60
+
+
+def test_rows_that_share_an_id_count_once_in_the_toxicity_sample(table, monkeypatch):
+    docs, labels = toxic_documents(60)
+    docs += [(1, prose(1000 + i, 30), "en", "s", 1) for i in range(300)]
+    shown = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: shown.append(texts) or toxicity.Network.start(1))
+    toxicity.score(table(docs), table(labels, LABELS))
+    known = [i for i, *_ in labels if zlib.crc32(str(i).encode()) % 5]
+    assert len(shown[0]) == len(known)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 16 * 800)
+    toxicity.score(table(docs), table(labels, LABELS))
+    assert 0 < sum(len(t) for t in shown[1]) <= 2 * 800 and 0 < len(shown[1]) < len(known)
+    whole = {t.tobytes() for t in shown[0]}
+    assert all(t.tobytes() in whole for t in shown[1])  # fewer texts, none is cut
+
+
+# The classifier by plain loops
+
+
+def slow_logit(net, ids):
+    """Convolution over every place of a text, then the largest value of each filter."""
+    padded = [*ids, *[0] * toxicity.PAD]
+    vector = lambda b: net.embedding[b >> 32].astype(float) + net.embedding[b & 0xFFFFFFFF].astype(float)
+    pooled = []
+    for bank, bias in zip(net.filters, net.bias):
+        for f in range(toxicity.FILTERS):
+            places = range(len(ids) + 1)  # the padding behind a text has a place too
+            values = [sum(vector(padded[p + j]) @ bank[j, :, f].astype(float) for j in range(len(bank)) if p + j < len(padded)) + bias[f] for p in places]
+            pooled.append(max(0.0, max(values)))
+    return float(np.dot(pooled, net.out.astype(float)) + net.offset)
+
+
+def some_texts(n=6):
+    buckets, rng = toxicity.Buckets(), random.Random(4)
+    return [buckets.of(" ".join(rng.choice("the der le bad worse word stemming stemmed".split()) for _ in range(rng.randint(0, 9)))) for _ in range(n)]
+
+
+def test_scores_equal_plain_loops():
+    net, texts = toxicity.Network.start(9), some_texts(8) + [np.zeros(0, np.int64)]
+    want = [slow_logit(net, t.tolist()) for t in texts]
+    assert net.logits(texts) == pytest.approx(want, abs=1e-4)
+    assert [net.logits([t])[0] for t in texts] == pytest.approx(want, abs=1e-4)
+    net.thresholds[:] = [0.5, -1, 2, 0, 1]
+    votes = toxicity._votes()
+    scores = net.scores(texts, votes)
+    for text, logit, got in zip(texts, want, scores):
+        counts = [sum(int(votes[b >> 32, i]) for b in text.tolist()) for i in range(4)]
+        own = counts.index(max(counts)) if max(counts) else 4
+        assert got == pytest.approx(1 / (1 + np.exp(-(logit - net.thresholds[own]))), abs=1e-5)
+
+
+def test_gradients_equal_differences():
+    net, texts = toxicity.Network.start(3), some_texts(5)
+    for p in ("embedding", "out"):
+        setattr(net, p, getattr(net, p).astype(float))
+    rng = np.random.default_rng(5)  # without biases, padding lies on the edge of the rectifier
+    net.filters, net.bias = [f.astype(float) for f in net.filters], [rng.normal(0, 0.2, len(b)) for b in net.bias]
+    labels, weight = np.array([1.0, 0, 1, 0, 1]), np.array([0.2, 0.1, 0.4, 0.3, 0.2])
+
+    def loss():
+        logits = net.logits(texts)
+        return float((weight * (np.log1p(np.exp(logits)) - labels * logits)).sum())
+
+    g, rng, step = net.gradients(texts, labels, weight), random.Random(1), 1e-5
+    assert not g.embedding[g.rows == 0].any()
+    places = [(net.out, (i,), g.out[i]) for i in range(len(net.out))]
+    for bank, own, bias, own_bias in zip(net.filters, g.filters, net.bias, g.bias):
+        places += [(bank, at, own[at]) for at in (tuple(rng.randrange(n) for n in bank.shape) for _ in range(15))]
+        places += [(bias, (i,), own_bias[i]) for i in range(len(bias))]
+    rows_ = [i for i, r in enumerate(g.rows.tolist()) if r]
+    places += [(net.embedding, (int(g.rows[i]), e), g.embedding[i, e]) for i in rng.sample(rows_, min(6, len(rows_))) for e in range(3)]
+    for values, at, got in places:
+        before = values[at]
+        values[at] = before + step
+        above = loss()
+        values[at] = before - step
+        below = loss()
+        values[at] = before
+        assert got == pytest.approx((above - below) / (2 * step), abs=2e-5)
+    before, net.offset = net.offset, net.offset + step
+    above = loss()
+    net.offset = before - step
+    assert g.offset == pytest.approx((above - loss()) / (2 * step), abs=1e-6)
+
+
+def test_thresholds_make_the_fewest_mistakes():
+    rng = random.Random(12)
+    for n in (5, 40, 200):
+        net, texts = toxicity.Network.start(n), some_texts(n)
+        labels = np.array([float(rng.random() < 0.4) for _ in texts])
+        toxicity.calibrate(net, texts, labels)
+        logits, language = net.logits(texts), net.language(texts, toxicity._votes())
+        mistakes = lambda t, own: sum((logits[i] >= t) != (labels[i] == 1) for i in own)
+        for i in range(len(toxicity.LANGUAGES)):
+            own = [j for j in range(n) if language[j] == i]
+            bad = sum(labels[j] for j in own)
+            group = own if min(bad, len(own) - bad) >= 10 else range(n)
+            if 0 < sum(labels[j] for j in group) < len(group):
+                every = [min(logits) - 1, *(x + 1e-9 for x in logits)]
+                assert mistakes(net.thresholds[i], group) == min(mistakes(t, group) for t in every)
+
+
+# The label model by plain loops
+
+
+def slow_label_model(votes, rounds=weak.ROUNDS):
+    """Expectation maximisation over texts one by one, shares as dictionaries."""
+    rules = range(len(votes[0]))
+    start = {(c, r, v): weak.STRENGTH * (weak.BAD, weak.GOOD)[c][v] for c in (0, 1) for r in rules for v in range(3)}
+
+    def shares_of(tally):
+        out = {}
+        for r in rules:
+            total = {c: sum(tally[c, r, v] for v in range(3)) for c in (0, 1)}
+            bad = {c: tally[c, r, 0] / total[c] for c in (0, 1)}
+            if bad[0] < weak.BETTER * bad[1]:  # tie them at the least ratio that is allowed
+                tied = (tally[0, r, 0] + tally[1, r, 0]) / (total[1] + weak.BETTER * total[0])
+                bad = {0: min(weak.BETTER * tied, 0.9), 1: tied}
+            good = {c: tally[c, r, 2] / max(tally[c, r, 1] + tally[c, r, 2], 1e-12) for c in (0, 1)}
+            if good[1] < good[0]:
+                both = sum(tally[c, r, 2] for c in (0, 1)) / max(sum(tally[c, r, v] for c in (0, 1) for v in (1, 2)), 1e-12)
+                good = {0: both, 1: both}
+            for c in (0, 1):
+                for v, share in enumerate((bad[c], (1 - bad[c]) * (1 - good[c]), (1 - bad[c]) * good[c])):
+                    out[c, r, v] = min(max(share, 1e-6), 1)
+        return out
+
+    shares, prior = shares_of(start), weak.PRIOR
+    for _ in range(rounds):
+        tally, total = dict(start), weak.STRENGTH * weak.PRIOR
+        for vote in votes:
+            likely = [p * np.prod([shares[c, r, vote[r]] for r in rules]) for c, p in ((0, 1 - prior), (1, prior))]
+            good = likely[1] / sum(likely)
+            total += good
+            for r in rules:
+                tally[0, r, vote[r]] += 1 - good
+                tally[1, r, vote[r]] += good
+        shares, prior = shares_of(tally), total / (len(votes) + weak.STRENGTH)
+    return prior, shares
+
+
+def test_label_model_equals_plain_loops(spark):
+    rng = random.Random(21)
+    for accuracy in (0.9, 0.6):
+        truth = [rng.random() < 0.7 for _ in range(250)]
+        votes = [[1 if rng.random() < 0.3 else 2 * int(good == (rng.random() < accuracy)) for _ in range(4)] for good in truth]
+        prior, shares = slow_label_model(votes, 100)
+        counts = Counter(map(tuple, votes))
+        model = weak.fit_label_model(np.array(list(counts)), np.array(list(counts.values())))
+        assert model.prior == pytest.approx(prior, abs=1e-6)
+        for r in range(4):
+            assert list(model.weights[r]) == pytest.approx([np.log(shares[1, r, v] / shares[0, r, v]) for v in range(3)], abs=1e-5)
+        frame = spark.createDataFrame([list(v) for v in counts], "a int, b int, c int, d int")
+        for row in frame.select("*", model.posterior([F.col(c) for c in "abcd"]).alias("p")).collect():
+            likely = [p * np.prod([shares[c, r, row[r]] for r in range(4)]) for c, p in ((0, 1 - prior), (1, prior))]
+            assert row["p"] == pytest.approx(likely[1] / sum(likely), abs=1e-5)
