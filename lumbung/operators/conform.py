@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import text
 from lumbung.operators.cleaning import canonical_names
+from lumbung.sources.fixed_values import STATISTICS_COLUMNS
 
 
 def merge_sources(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Mapping[str, Column]) -> DataFrame:
@@ -17,27 +18,6 @@ def merge_sources(left: DataFrame, right: DataFrame, keys: Sequence[str], column
     return joined.select(*keys, *[c.alias(name) for name, c in columns.items()])
 
 
-STATISTICS_COLUMNS = {
-    "jumlah_penduduk": "jumlah_penduduk",
-    "populasi_sapi": "populasi_sapi",
-    "populasi_ayam": "populasi_ayam",
-    "produksi_daging_ayam": "produksi_daging_ayam",
-    "populasi_sapi_dummy": "populasi_sapi_dummy",
-    "populasi_ayam_dummy": "populasi_ayam_dummy",
-    "produksi_daging_sapi": "produksi_daging_sapi_dummy",
-    "produksi_daging_ayam_dummy": "produksi_daging_ayam_dummy",
-    "konsumsi_daging_sapi": "konsumsi_daging_sapi_dummy",
-    "konsumsi_daging_ayam": "konsumsi_daging_ayam_dummy",
-    "permintaan_daging_sapi": "permintaan_daging_sapi_dummy",
-    "permintaan_daging_ayam": "permintaan_daging_ayam_dummy",
-    "jumlah_ternak_sapi_potong": "jumlah_ternak_sapi_potong_dummy",
-    "jumlah_ternak_ayam_potong": "jumlah_ternak_ayam_potong_dummy",
-    "harga_baseline_sapi": "harga_baseline_sapi_dummy",
-    "harga_baseline_ayam": "harga_baseline_ayam_dummy",
-    "growth_populasi": "growth_populasi_dummy",
-}
-
-
 def merge_statistics(api: DataFrame, substitute: DataFrame) -> DataFrame:
     """Annual statistics of both sources, for the region-years that both have."""
     sub = substitute.select("provinsi", "tahun", *[c for c in substitute.columns if c.endswith("_dummy")])

@@ -7,26 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.sources.fixed_values import DIMENSION_COLUMNS, FACT_TYPES, RENAMES
+
 FACT_KEYS = ["prov_key", "waktu_key", "komoditas_key"]
-FACT_TYPES = {
-    "prov_key": "int", "waktu_key": "int", "komoditas_key": "int", "jumlah_penduduk": "bigint",
-    "sum_jumlah_sakit": "double", "sum_jumlah_mati": "double", "sum_vol_mutasi": "double",
-    "sum_realisasi_karkas": "double", "avg_harga": "double", "harga_baseline": "double",
-    "populasi_ternak": "double", "avg_konsumsi_bulanan": "double", "avg_pemotongan_bulanan": "double",
-    "growth_populasi": "double", "avg_permintaan_bulanan": "double", "avg_produksi_bulanan": "double",
-    "supply_risk_index": "double",
-}
 #: The loaded fact has a folder for each value of this column.
 FACT_LAYOUT = "waktu_key"
-RENAMES = {
-    "avg_produksi": "avg_produksi_bulanan", "avg_konsumsi": "avg_konsumsi_bulanan",
-    "avg_pemotongan": "avg_pemotongan_bulanan", "avg_permintaan": "avg_permintaan_bulanan",
-}
-DIMENSION_COLUMNS = {
-    "dim_prov": ["prov_key", "id_prov", "nama_provinsi"],
-    "dim_komoditas": ["komoditas_key", "id_komoditas", "nama_komoditas"],
-    "dim_waktu": ["waktu_key", "tahun", "bulan", "kuartal", "nama_bulan"],
-}
 
 
 def with_keys(df: DataFrame, dim_prov: DataFrame, dim_komoditas: DataFrame, dim_waktu: DataFrame) -> DataFrame:

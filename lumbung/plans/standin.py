@@ -71,9 +71,10 @@ def lines(t: Source, *, month: bool = True, commodity: bool = True, origin: bool
     if origin:
         df = df.join(t("supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS id_asal"), "l_suppkey")
     if commodity:
-        codes = commodities(t).select(F.col("nama_komoditas").alias("p_type"), "id_komoditas")
-        part = t("part").selectExpr("p_partkey AS l_partkey", "p_type", "p_retailprice").join(codes, "p_type", "left")
-        part = part.withColumn("id_komoditas", F.coalesce("id_komoditas", F.lit(0)))
+        # The types are few: a sorted array of them, read once, codes the parts without a join.
+        kinds = t("part").agg(F.array_sort(F.collect_set("p_type")).alias("kinds")).scalar()
+        code = F.coalesce(F.array_position(kinds, F.col("p_type")).cast("int"), F.lit(0))
+        part = t("part").selectExpr("p_partkey AS l_partkey", "p_type", "p_retailprice").withColumn("id_komoditas", code)
         df = df.join(part, "l_partkey")
     if month or destination:
         orders = t("orders").selectExpr(

@@ -154,34 +154,45 @@ def build_warehouse(
 def load_warehouse(tables: Mapping[str, DataFrame], folder: str) -> Tables:
     """Write the star as a new version, check what was written, and make it the current one.
 
-    The fact is written once, in a folder for each month, and counted meanwhile; filters on the
-    months then reach its scan. A load that breaks or fails a check changes nothing for readers;
-    its folder goes at once, or with ``versions.drop_old`` if the driver was lost.
+    The fact lies in a folder for each month; filters on the months reach its scan. Only months
+    whose rows differ from the current version's are written, once, and counted meanwhile; the
+    others stay where an earlier load put them, and passed the counts then. Orphans and repeated
+    keys are looked for in the whole fact. Months are told apart by checksums, so a change of the
+    index bounds, which touches all months, writes all of them. The fact is read for the checksums
+    and again for the write: pass a stored one.
+
+    A load that breaks or fails a check changes nothing for readers; its folder goes at once, or
+    with ``versions.drop_old`` if the driver was lost.
     """
     spark, load = tables[sinks.FACT].sparkSession, versions.new_load()
     before = versions.current(spark, folder)
-    fact = star.align(tables[sinks.FACT])
+    fact, by = star.align(tables[sinks.FACT]), star.FACT_LAYOUT
     new = {name: f"{load}/{name}" for name in (*star.DIMENSION_COLUMNS, sinks.FACT)}
+    sums = sinks.checksums(fact, by)
+    written, parts = versions.changed(before, sinks.FACT, sums, new[sinks.FACT])
+    if len(written) < len(sums):
+        fact = fact.where(versions.value_of(by).isin(written))
+    version = versions.Version(0, new, {sinks.FACT: parts}, {sinks.FACT: sums}, {sinks.FACT: by})
     try:
         for name, columns in star.DIMENSION_COLUMNS.items():
             sinks.load_table(tables[name], f"{folder}/{load}", name, columns)
-        counted = sinks.load_fact(fact, f"{folder}/{load}", sinks.FACT, star.FACT_LAYOUT, quality.fact_counts(fact))
-        loaded = _star_at(spark, folder, new)
+        counted = sinks.load_fact(fact, f"{folder}/{load}", sinks.FACT, by, quality.fact_counts(fact))
+        loaded = _star_at(spark, folder, version)
         quality.require_clean(quality.warehouse_report(
             loaded[sinks.FACT], loaded["dim_prov"], loaded["dim_komoditas"], loaded["dim_waktu"], counted=counted
         ))
     except BaseException:
         versions.discard(spark, folder, load)
         raise
-    versions.publish(spark, folder, new, before.number if before else 0)
+    versions.publish(spark, folder, version, before.number if before else 0)
     return loaded
 
 
-def _star_at(spark: SparkSession, folder: str, places: Mapping[str, str]) -> Tables:
+def _star_at(spark: SparkSession, folder: str, version: versions.Version) -> Tables:
     """The tables of a star; the schema of the fact is given, as its layout holds one of its columns as text."""
     schema = ", ".join(f"{c} {t}" for c, t in star.FACT_TYPES.items())
-    fact = spark.read.schema(schema).parquet(f"{folder}/{places[sinks.FACT]}").select(*star.FACT_TYPES)
-    return {**{n: spark.read.parquet(f"{folder}/{places[n]}") for n in star.DIMENSION_COLUMNS}, sinks.FACT: fact}
+    fact = versions.read_table(spark, folder, version, sinks.FACT, schema).select(*star.FACT_TYPES)
+    return {**{n: versions.read_table(spark, folder, version, n) for n in star.DIMENSION_COLUMNS}, sinks.FACT: fact}
 
 
 def read_warehouse(spark: SparkSession, folder: str, number: int | None = None) -> Tables:
@@ -189,7 +200,7 @@ def read_warehouse(spark: SparkSession, folder: str, number: int | None = None)
     version = versions.current(spark, folder) if number is None else versions.read_version(spark, folder, number)
     if version is None:
         raise TableNotFound(f"no complete version of a warehouse at {folder}")
-    return _star_at(spark, folder, version.tables)
+    return _star_at(spark, folder, version)
 
 
 def cube_of(tables: Mapping[str, DataFrame], how: str = "inner") -> DataFrame:

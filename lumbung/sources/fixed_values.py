@@ -152,3 +152,48 @@ REGION_CENTRES = (
     ("SULAWESI BARAT", -2.84, 119.37), ("MALUKU", -3.24, 130.14), ("MALUKU UTARA", 1.57, 127.81),
     ("PAPUA", -4.27, 138.38), ("PAPUA BARAT", -1.34, 134.05),
 )
+
+# Columns of the star and their types, in order; old names of some of them; columns of the dimensions.
+FACT_TYPES = {
+    "prov_key": "int", "waktu_key": "int", "komoditas_key": "int", "jumlah_penduduk": "bigint",
+    "sum_jumlah_sakit": "double", "sum_jumlah_mati": "double", "sum_vol_mutasi": "double",
+    "sum_realisasi_karkas": "double", "avg_harga": "double", "harga_baseline": "double",
+    "populasi_ternak": "double", "avg_konsumsi_bulanan": "double", "avg_pemotongan_bulanan": "double",
+    "growth_populasi": "double", "avg_permintaan_bulanan": "double", "avg_produksi_bulanan": "double",
+    "supply_risk_index": "double",
+}
+RENAMES = {
+    "avg_produksi": "avg_produksi_bulanan", "avg_konsumsi": "avg_konsumsi_bulanan",
+    "avg_pemotongan": "avg_pemotongan_bulanan", "avg_permintaan": "avg_permintaan_bulanan",
+}
+DIMENSION_COLUMNS = {
+    "dim_prov": ["prov_key", "id_prov", "nama_provinsi"],
+    "dim_komoditas": ["komoditas_key", "id_komoditas", "nama_komoditas"],
+    "dim_waktu": ["waktu_key", "tahun", "bulan", "kuartal", "nama_bulan"],
+}
+# What the cube adds to the columns of the fact, in order.
+ATTRIBUTE_TYPES = {
+    "id_prov": "int", "nama_provinsi": "string", "tahun": "int", "bulan": "int", "kuartal": "int", "nama_bulan": "string",
+    "id_komoditas": "int", "nama_komoditas": "string",
+}
+
+# Columns of the merged statistics and where they come from.
+STATISTICS_COLUMNS = {
+    "jumlah_penduduk": "jumlah_penduduk",
+    "populasi_sapi": "populasi_sapi",
+    "populasi_ayam": "populasi_ayam",
+    "produksi_daging_ayam": "produksi_daging_ayam",
+    "populasi_sapi_dummy": "populasi_sapi_dummy",
+    "populasi_ayam_dummy": "populasi_ayam_dummy",
+    "produksi_daging_sapi": "produksi_daging_sapi_dummy",
+    "produksi_daging_ayam_dummy": "produksi_daging_ayam_dummy",
+    "konsumsi_daging_sapi": "konsumsi_daging_sapi_dummy",
+    "konsumsi_daging_ayam": "konsumsi_daging_ayam_dummy",
+    "permintaan_daging_sapi": "permintaan_daging_sapi_dummy",
+    "permintaan_daging_ayam": "permintaan_daging_ayam_dummy",
+    "jumlah_ternak_sapi_potong": "jumlah_ternak_sapi_potong_dummy",
+    "jumlah_ternak_ayam_potong": "jumlah_ternak_ayam_potong_dummy",
+    "harga_baseline_sapi": "harga_baseline_sapi_dummy",
+    "harga_baseline_ayam": "harga_baseline_ayam_dummy",
+    "growth_populasi": "growth_populasi_dummy",
+}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lumbung.functions import dates, text
 from lumbung.sources import versions
-from lumbung.sources.fixed_values import MEAT_WORDS
+from lumbung.sources.fixed_values import ATTRIBUTE_TYPES, FACT_TYPES, MEAT_WORDS
 
 
 class TableNotFound(FileNotFoundError):
@@ -44,8 +44,11 @@ def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
     In a folder of versioned tables it is the one of the current version.
     """
-    place = versions.resolve(spark, folder, name)
-    for path in (place,) if place else (f"{folder}/{name}", f"{folder}/{name}.parquet"):
+    version = versions.current(spark, folder)
+    if version and name in version.tables:
+        df = versions.read_table(spark, folder, version, name)
+        return df.toDF(*[c.lower() for c in df.columns])
+    for path in (f"{folder}/{name}", f"{folder}/{name}.parquet"):
         try:
             df = spark.read.parquet(path)
         except AnalysisException as error:
@@ -62,28 +65,7 @@ def sql_query(spark: SparkSession, statement: str, tables: Mapping[str, DataFram
 
 
 # The cube's columns as they are exported, in order.
-CUBE_SCHEMA = T.StructType(
-    [T.StructField(c, T.IntegerType()) for c in ("prov_key", "waktu_key", "komoditas_key")]
-    + [T.StructField("jumlah_penduduk", T.LongType())]
-    + [
-        T.StructField(c, T.DoubleType())
-        for c in (
-            "sum_jumlah_sakit", "sum_jumlah_mati", "sum_vol_mutasi", "sum_realisasi_karkas", "avg_harga",
-            "harga_baseline", "populasi_ternak", "avg_konsumsi_bulanan", "avg_pemotongan_bulanan",
-            "growth_populasi", "avg_permintaan_bulanan", "avg_produksi_bulanan", "supply_risk_index",
-        )
-    ]
-    + [
-        T.StructField("id_prov", T.IntegerType()),
-        T.StructField("nama_provinsi", T.StringType()),
-        T.StructField("tahun", T.IntegerType()),
-        T.StructField("bulan", T.IntegerType()),
-        T.StructField("kuartal", T.IntegerType()),
-        T.StructField("nama_bulan", T.StringType()),
-        T.StructField("id_komoditas", T.IntegerType()),
-        T.StructField("nama_komoditas", T.StringType()),
-    ]
-)
+CUBE_SCHEMA = ", ".join(f"{c} {t}" for c, t in (FACT_TYPES | ATTRIBUTE_TYPES).items())
 
 
 def read_cube_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.sources import versions
 from lumbung.sources.readers import PRICE_COLUMNS
 
 FACT = "fact_supply_resilience"
@@ -51,6 +52,19 @@ def load_table(df: DataFrame, folder: str, table: str, columns: Sequence[str] |
     return df.sparkSession.read.parquet(f"{folder}/{table}")
 
 
+def checksums(df: DataFrame, by: str) -> dict[str, str]:
+    """Number and order-free checksum of the rows of each value of ``by``, in one pass.
+
+    Sums of two 64-bit hashes of whole rows; the driver gets one row for each value.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = [c.isNull() for c in columns]  # nulls alone leave no trace in a hash
+    hashes = df.select(versions.value_of(by).alias("value"), F.xxhash64(*columns, *nulls).alias("a"), F.xxhash64(F.lit(1), *columns, *nulls).alias("b"))
+    sums = [F.sum(F.col(c).cast("decimal(38,0)")).cast("string") for c in ("a", "b")]
+    rows = hashes.groupBy("value").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums).alias("sum")).collect()
+    return {r["value"]: r["sum"] for r in rows}
+
+
 def load_fact(df: DataFrame, folder: str, table: str, by: str, counts: Mapping[str, Column]) -> dict[str, int]:
     """Write a fact table, a folder for each value of ``by``, and return the ``counts`` taken of its rows meanwhile.
 

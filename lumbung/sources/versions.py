@@ -1,8 +1,10 @@
 """Sets of tables that change together: every load writes new folders, and one pointer file names those that hold.
 
     <folder>/versions/<load>/<table>/...   written once, never changed
-    <folder>/pointers/<number>             one line of JSON: the folder of each table
+    <folder>/pointers/<number>             one line of JSON: the folder of each table, see Version
 
+A table that is laid out by a column may be spread over the folders of several loads: a load then writes only
+the values of that column whose rows have changed, and its pointer names older folders for all others.
 A load is visible from the moment its pointer is complete. Until then, and if it breaks at any step, readers
 get the version before; a pointer that is cut short does not count. Versions stay readable until ``drop_old``.
 """
@@ -13,9 +15,11 @@ import json
 import time
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class LoadConflict(RuntimeError):
@@ -24,8 +28,20 @@ class LoadConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
+    """``tables`` has the folder of each table, relative to that of the set, where the last load wrote it.
+
+    ``parts`` has, for tables that are spread over loads, each folder with the values of the
+    column ``layout`` that hold there; ``sums`` the checksum of the rows of each value.
+    """
+
     number: int
-    tables: Mapping[str, str]  # folder of each table, relative to that of the set
+    tables: Mapping[str, str]
+    parts: Mapping[str, Mapping[str, list]] = field(default_factory=dict)
+    sums: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    layout: Mapping[str, str] = field(default_factory=dict)
+
+    def folders(self) -> set[str]:
+        return {*self.tables.values(), *(place for spread in self.parts.values() for place in spread)}
 
 
 def _files(spark: SparkSession, folder: str) -> tuple:
@@ -56,7 +72,7 @@ def read_version(spark: SparkSession, folder: str, number: int) -> Version | Non
         stream.close()
     if not text.endswith("\n"):
         return None
-    return Version(number, json.loads(text))
+    return Version(**json.loads(text))
 
 
 def current(spark: SparkSession, folder: str) -> Version | None:
@@ -64,10 +80,41 @@ def current(spark: SparkSession, folder: str) -> Version | None:
     return next((v for n in _numbers(spark, folder) if (v := read_version(spark, folder, n))), None)
 
 
-def resolve(spark: SparkSession, folder: str, table: str) -> str | None:
-    """Where the current version has a table."""
-    version = current(spark, folder)
-    return f"{folder}/{version.tables[table]}" if version and table in version.tables else None
+def value_of(column: str) -> Column:
+    """The value of a layout's column as it is named in a version."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("null"))
+
+
+def read_table(spark: SparkSession, folder: str, version: Version, table: str, schema: str | None = None) -> DataFrame:
+    """A table as ``version`` has it; older folders give only the values that still hold there, without a scan of the others."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    spread = version.parts.get(table) or {version.tables[table]: []}
+    parts = []
+    for place, values in spread.items():
+        part = reader.parquet(f"{folder}/{place}")
+        parts.append(part.where(value_of(version.layout[table]).isin(values)) if len(spread) > 1 else part)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def changed(
+    old: Version | None, table: str, sums: Mapping[str, str], place: str, most: int = 8
+) -> tuple[list[str], dict[str, list]]:
+    """(values of the layout that a load has to write at ``place``, parts of the new version).
+
+    Values whose checksum is the one of the old version stay where they are. All are written if there
+    is none, or if rows would lie in more than ``most`` folders.
+    """
+    before = old.sums.get(table, {}) if old else {}
+    parts = {}
+    for folder, values in (old.parts.get(table, {}) if old else {}).items():
+        kept = [v for v in values if v in sums and before.get(v) == sums[v]]
+        if kept:
+            parts[folder] = kept
+    same = {v for values in parts.values() for v in values}
+    if len(parts) >= most:
+        same, parts = set(), {}
+    new = sorted(set(sums) - same)
+    return new, {**parts, place: new} if new or not parts else parts
 
 
 def new_load() -> str:
@@ -75,8 +122,8 @@ def new_load() -> str:
     return f"versions/{time.strftime('%Y%m%d-%H%M%S', time.gmtime())}-{uuid.uuid4().hex}"
 
 
-def publish(spark: SparkSession, folder: str, tables: Mapping[str, str], after: int | None = None) -> Version:
-    """Make ``tables`` (folder of each, relative) the current version, in one step.
+def publish(spark: SparkSession, folder: str, new: Version, after: int | None = None) -> Version:
+    """Make ``new`` the current version, in one step; it gets the next free number.
 
     ``after`` is the number of the version that the load started from: if a newer one has been
     published since, nothing changes and LoadConflict is raised.
@@ -85,7 +132,7 @@ def publish(spark: SparkSession, folder: str, tables: Mapping[str, str], after:
     if after is not None and (last.number if last else 0) != after:
         raise LoadConflict(f"{folder} has changed since version {after}")
     files, path = _files(spark, folder)
-    version = Version(max(_numbers(spark, folder), default=0) + 1, dict(tables))
+    version = replace(new, number=max(_numbers(spark, folder), default=0) + 1)
     place = path(f"{folder}/pointers/{version.number:012d}")
     try:
         stream = files.create(place, False)  # fails if it is there
@@ -94,7 +141,7 @@ def publish(spark: SparkSession, folder: str, tables: Mapping[str, str], after:
             raise LoadConflict(f"{folder} already has version {version.number}") from error
         raise
     try:
-        stream.write(bytearray(f"{json.dumps(version.tables)}\n", "utf-8"))
+        stream.write(bytearray(f"{json.dumps(asdict(version))}\n", "utf-8"))
     finally:
         stream.close()
     return version
@@ -119,7 +166,7 @@ def drop_old(spark: SparkSession, folder: str, keep: int = 2, hours: float = 24)
     for number in numbers:
         if number < kept[0].number and number not in {v.number for v in kept}:
             files.delete(path(f"{folder}/pointers/{number:012d}"), False)
-    named = {place.split("/")[1] for v in kept for place in v.tables.values()}
+    named = {place.split("/")[1] for v in kept for place in v.folders()}
     oldest, gone = (time.time() - hours * 3600) * 1000, []
     for status in files.listStatus(path(f"{folder}/versions")):
         name = status.getPath().getName()

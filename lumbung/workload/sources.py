@@ -12,6 +12,7 @@ from lumbung.plans.standin import Source
 from lumbung.plans.warehouse import cube_of, load_warehouse, read_warehouse
 from lumbung.session import stage, stage_path
 from lumbung.sources import indicators, readers, sinks
+from lumbung.sources.fixed_values import ATTRIBUTE_TYPES, FACT_TYPES
 from lumbung.workload.base import CODE_SQL, DIMS, FACT, on_cube, on_lines, query, r, tidy
 
 TABLES = (
@@ -54,8 +55,7 @@ def sub_select(t: Source) -> DataFrame:
 
 
 CUBE_COLUMNS = ", ".join(
-    f.name if f.name != "nama_provinsi" else "upper(trim(nama_provinsi)) AS nama_provinsi"
-    for f in readers.CUBE_SCHEMA
+    c if c != "nama_provinsi" else "upper(trim(nama_provinsi)) AS nama_provinsi" for c in FACT_TYPES | ATTRIBUTE_TYPES
 )
 
 
@@ -190,10 +190,11 @@ def price_sheet_files(t: Source) -> DataFrame:
     )
     months = sorted(row.h for row in rows.select("h").distinct().collect())
     wide = stage(rows.groupBy("o_orderstatus", "Komoditas (Rp)").pivot("h", months).agg(F.sum("o_totalprice")), "sheets")
-    for status in sorted(row.o_orderstatus for row in wide.select("o_orderstatus").distinct().collect()):
-        wide.where(F.col("o_orderstatus") == status).drop("o_orderstatus").write.csv(f"{folder}/{status}", header=True)
+    # Folders are named o_orderstatus=<status>; the reader takes the name of the folder as the region.
+    wide.repartition("o_orderstatus").write.partitionBy("o_orderstatus").csv(folder, header=True)
     long = readers.read_price_sheets(t.spark, folder, ["high", "low"]).where("harga IS NOT NULL")
-    return tidy(long.select("provinsi", "jenis_daging", F.date_format("waktu", "yyyy-MM-dd").alias("tanggal"), "harga"), {"harga": 2})
+    status = F.element_at(F.split("provinsi", "="), -1).alias("provinsi")
+    return tidy(long.select(status, "jenis_daging", F.date_format("waktu", "yyyy-MM-dd").alias("tanggal"), "harga"), {"harga": 2})
 
 
 @query("a7_mixed_sheets", f"""

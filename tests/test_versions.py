@@ -95,13 +95,13 @@ def test_two_loads_at_once(spark, tables, monkeypatch):
         load_warehouse(tables, folder)
     assert versions.current(spark, folder).number == 1
     with pytest.raises(versions.LoadConflict):
-        versions.publish(spark, folder, {}, after=0)
+        versions.publish(spark, folder, versions.Version(0, {}), after=0)
 
 
 def test_old_versions_go(spark, tables):
     folder = stage_path(spark, "dwh")
-    for _ in range(3):
-        load_warehouse(tables, folder)
+    for star_ in (tables, doubled(tables), tables):
+        load_warehouse(star_, folder)
     stray = versions.new_load()
     sinks.load_table(tables["dim_prov"], f"{folder}/{stray}", "dim_prov")
     assert versions.drop_old(spark, folder, keep=2) == []  # all are young
@@ -111,6 +111,59 @@ def test_old_versions_go(spark, tables):
     assert read_warehouse(spark, folder, 2)[sinks.FACT].count() == read_warehouse(spark, folder)[sinks.FACT].count() == 6
 
 
+def months_written(spark, folder, version):
+    place = version.tables[sinks.FACT]
+    return sorted(name.split("=")[1] for name in entries(spark, f"{folder}/{place}") if "=" in name)
+
+
+def test_only_changed_months_are_written(spark, tables):
+    """A second load with one changed year writes that year's months, and equals a full load."""
+    folder, fact = stage_path(spark, "dwh"), tables[sinks.FACT]
+    load_warehouse(tables, folder)
+    first = versions.current(spark, folder)
+    every = sorted({str(r.waktu_key) for r in fact.collect()})
+    assert months_written(spark, folder, first) == every
+    other = stage(fact.withColumn("avg_harga", F.when(F.col("waktu_key") > 12, F.col("avg_harga") + 1).otherwise(F.col("avg_harga"))), "other")
+    loaded = load_warehouse({**tables, sinks.FACT: other}, folder)
+    second = versions.current(spark, folder)
+    later = [m for m in every if int(m) > 12]
+    assert months_written(spark, folder, second) == later and 0 < len(later) < len(every)
+    assert len(second.parts[sinks.FACT]) == 2
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(loaded[sinks.FACT]) == rows(star.align(other)) == rows(readers.read_parquet(spark, folder, sinks.FACT).select(*star.FACT_TYPES))
+    assert rows(read_warehouse(spark, folder, 1)[sinks.FACT]) == rows(star.align(fact))
+    # A month that is gone, nothing new at all, and a month without rows before.
+    gone = {**tables, sinks.FACT: other.where(F.col("waktu_key") != int(every[0]))}
+    assert rows(load_warehouse(gone, folder)[sinks.FACT]) == rows(star.align(gone[sinks.FACT]))
+    assert months_written(spark, folder, versions.current(spark, folder)) == []
+    assert rows(load_warehouse({**tables, sinks.FACT: other}, folder)[sinks.FACT]) == rows(star.align(other))
+    assert months_written(spark, folder, versions.current(spark, folder)) == [every[0]]
+    # What a kept version still names is not deleted.
+    versions.drop_old(spark, folder, keep=1, hours=-1)
+    assert rows(read_warehouse(spark, folder)[sinks.FACT]) == rows(star.align(other))
+    year = cube_of(read_warehouse(spark, folder)).where("tahun = 2025")
+    assert year.count() == 2 and "dynamicpruning" in year._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_in_many_folders_is_written_anew():
+    sums = {str(i): "x" for i in range(20)}
+    old = versions.Version(3, {"t": "a"}, {"t": {f"l{i}": [str(i)] for i in range(9)}}, {"t": sums}, {"t": "m"})
+    assert versions.changed(old, "t", sums, "new", most=20) == (sorted(str(i) for i in range(9, 20)), {**old.parts["t"], "new": sorted(str(i) for i in range(9, 20))})
+    assert versions.changed(old, "t", sums, "new", most=8) == (sorted(sums), {"new": sorted(sums)})
+    assert versions.changed(None, "t", {}, "new") == ([], {"new": []})
+
+
+def test_checksums_do_not_depend_on_order(spark):
+    rows = [(i % 3 or None, float(i), None if i % 4 else "x") for i in range(50)]
+    one, two = (spark.createDataFrame(r, "m int, a double, b string") for r in (rows, rows[::-1]))
+    sums = sinks.checksums(one.repartition(3), "m")
+    assert sums == sinks.checksums(two, "m") and set(sums) == {"1", "2", "null"}
+    moved = spark.createDataFrame([(m, a, "x" if b is None and a == 1 else b) for m, a, b in rows], "m int, a double, b string")
+    again = sinks.checksums(moved, "m")
+    assert {k for k in sums if sums[k] != again[k]} == {"1"}
+    assert sinks.checksums(one.unionByName(one), "m") != sums
+
+
 def test_filters_on_months_reach_the_fact(spark, tables):
     """A year's slice reads the folders of its months only, also through a filter on the dimension."""
     folder = stage_path(spark, "dwh")
