@@ -189,11 +189,21 @@ def _cut_up(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) ->
 REPEAT = "doc bigint, row bigint, start int, stop int"
 
 
+def joined(doc: np.ndarray, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+    """The spans (doc, row, start, stop), those that overlap or touch in one row as one; a span that starts later also ends later."""
+    at = np.lexsort((start, row, doc))
+    d, r, a, b = doc[at], row[at], start[at], stop[at]
+    new = np.r_[True, (d[1:] != d[:-1]) | (r[1:] != r[:-1]) | (a[1:] > b[:-1])][: len(at)]
+    last = np.r_[new[1:], True][: len(at)]
+    return [d[new], r[new], a[new], b[last]]
+
+
 def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) -> DataFrame:
     """Rows (shard, blob): repeats among the pieces that a task has gathered (shard -1), and the packed pieces of a shard.
 
     Of equal pieces gathered only the earliest is sent, so a passage that a third of all texts share
-    costs one piece in some hundred thousand, not one per text.
+    costs one piece in some hundred thousand, not one per text. Repeats that touch are one row, so
+    the windows of a hot anchor, each a piece, give a row for each stretch and not for each byte.
     """
     ddl = "shard int, blob binary"
     fields, shared = arrow_fields(ddl), keyed.sparkSession.sparkContext.broadcast(hot)
@@ -202,7 +212,7 @@ def find_pieces(keyed: DataFrame, length: int, hot: np.ndarray, shards: int) ->
         p = {name: np.concatenate([x[name] for x in parts]) for name in parts[0]}
         at, first = first_of_equal(p["h"], p["s"], p["doc"], p["row"], p["start"])
         again, at = at[~first], at[first]
-        blobs = [(-1, pack(*(p[c][again] for c in ("doc", "row", "start", "stop"))))] if len(again) else []
+        blobs = [(-1, pack(*joined(*(p[c][again] for c in ("doc", "row", "start", "stop")))))] if len(again) else []
         shard = (p["h"][at] % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         at, shard = at[order], shard[order]
@@ -239,7 +249,10 @@ SETTLED = "doc bigint, row bigint, start int, stop int, h bigint"
 
 
 def settle_pieces(found: DataFrame) -> DataFrame:
-    """(doc, row, start, stop, h): spans that are repeats as a whole (h null), and pieces to be compared with others of anchor h."""
+    """(doc, row, start, stop, h): spans that are repeats as a whole (h null), and pieces to be compared with others of anchor h.
+
+    Repeats of a shard that touch are one span.
+    """
     fields = arrow_fields(SETTLED)
 
     def settle(shard: int, blobs: list[bytes]) -> pa.RecordBatch:
@@ -251,9 +264,10 @@ def settle_pieces(found: DataFrame) -> DataFrame:
         again, kept = at[~first], at[first]
         shared = h[kept][1:] == h[kept][:-1]
         open_ = kept[np.r_[False, shared] | np.r_[shared, False]]
-        both = np.concatenate([again, open_])
-        mark = np.ma.array(h[both], mask=np.arange(len(both)) < len(again))
-        return _batch({"doc": doc[both], "row": row[both], "start": start[both], "stop": stop[both], "h": mark}, fields)
+        spans = joined(*(c[again] for c in (doc, row, start, stop)))
+        both = [np.concatenate([span, c[open_]]) for span, c in zip(spans, (doc, row, start, stop))]
+        mark = np.ma.array(np.concatenate([np.zeros(len(spans[0]), np.int64), h[open_]]), mask=np.arange(len(both[0])) < len(spans[0]))
+        return _batch({**dict(zip(("doc", "row", "start", "stop"), both)), "h": mark}, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, blobs = None, []

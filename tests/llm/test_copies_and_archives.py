@@ -191,6 +191,25 @@ def test_hot_anchors_do_not_change_the_result(table, monkeypatch):
     assert rows(suffix.remove_repeats(docs)) == want
 
 
+def test_repeats_of_hot_anchors_are_stretches_not_windows(table, monkeypatch):
+    """Every window of a hot anchor is a piece of its own; those of one text that are repeats are joined in the task that finds them."""
+    rng = random.Random(9)
+    page = " ".join(f"{rng.choice(PHRASES).strip()}{rng.randint(0, 99)}" for _ in range(120))
+    texts = [page[:at] + str(rng.random()) + page[at:] for at in (rng.randint(0, len(page)) for _ in range(200))]
+    docs, own, settled = stage(table(list(enumerate(texts))).repartition(7), "near"), suffix.stage, []
+
+    def seen(df, name):
+        done = own(df, name)
+        settled.extend([done] if name == "settled-pieces" else [])
+        return done
+
+    monkeypatch.setattr(suffix, "stage", seen)
+    found = rows(suffix.remove_repeats(docs))
+    assert found == sorted([(i, *d) for i, d in enumerate(digests(slow_repeats(texts, 100)))], key=str)
+    whole = settled[0].where("h is null")
+    assert 200 < whole.count() < 10 * len(texts) < whole.agg(F.sum(F.col("stop") - F.col("start") - 99)).first()[0] / 10
+
+
 def test_hot_anchors_are_bounded(table, monkeypatch):
     """The anchors with most pieces are hot; the result stays the same."""
     rng = random.Random(7)
