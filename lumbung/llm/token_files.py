@@ -67,6 +67,20 @@ def plain_steps(config: dict) -> bool:
     )
 
 
+class Words(dict):
+    """Ids of words as bytes; a word that is looked up for the first time is encoded, and remembered unless it is long."""
+
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= CACHED_LENGTH:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by the tokenizer's library, as bytes; words that were seen before are looked up.
 
@@ -84,47 +98,31 @@ class Encoder:
             config = json.load(file)
         self.words = ends_words(config)
         self.type = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
-        self.cached, self.known, self.letters = cached, {"": b""}, {}
+        self.cached, self.known, self.letters = cached, Words(self._word), {}
         if self.words and plain_steps(config):
             self.model, as_bytes = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
             low = [chr(c) for c in range(0x61, 0x100) if WORD.fullmatch(chr(c)) and chr(c) == chr(c).lower()]
             self.letters = str.maketrans({c: as_bytes(c)[0][0] for c in low})
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = []
-        for i in range(0, len(texts), 1000):
-            found += (np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch(texts[i : i + 1000], add_special_tokens=False))
-        return found
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        known, other = self.known, []
-        for word in words:
-            match = WORD.fullmatch(word) if self.letters else None
-            if not match:
-                other.append(word)
-                continue
-            letters, marks = match[1].lower(), match[2]
-            if letters not in known:
-                pieces = self.model.tokenize(letters.translate(self.letters))
-                known[letters] = np.array([p.id for p in pieces], self.type).tobytes()
-            if marks not in known:
-                known[marks] = self._encode([marks])[0]
-            known[word] = known[letters] + known[marks]
-        known.update(zip(other, self._encode(other)))
+    def _word(self, word: str) -> bytes:
+        match = WORD.fullmatch(word) if self.letters else None
+        if not match:
+            return self._encode(word)
+        letters, marks = match[1].lower(), match[2]
+        if marks or letters != word:
+            return self.known[letters] + self.known[marks]
+        return np.array([p.id for p in self.model.tokenize(letters.translate(self.letters))], self.type).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not self.words:
-            return self._encode([text])[0]
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+            return self._encode(text)
         if len(self.known) > self.cached:
-            self.known = {"": b""}
-        new = set(words).difference(self.known)
-        long = [w for w in new if len(w) > CACHED_LENGTH]
-        if not long:
-            self._learn(new)
-            return b"".join(map(self.known.__getitem__, words))
-        self._learn(new.difference(long))
-        return b"".join(self.known[w] if len(w) <= CACHED_LENGTH else self._encode([w])[0] for w in words)
+            self.known = Words(self._word)
+        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        return b"".join(map(self.known.__getitem__, words))
 
 
 def id_type(size: int) -> np.dtype:
@@ -193,8 +191,11 @@ def _encoded(docs: DataFrame, starts: np.ndarray, path: str, end: bytes) -> Data
     return map_arrow(docs.select("doc", "body"), run, "shard int, doc bigint, ids binary")
 
 
-def _lines(encoded: DataFrame, width: int) -> DataFrame:
-    """The lines of all files: documents of a shard without their end id, then its table."""
+def _lines(encoded: DataFrame, width: int, shards: int) -> DataFrame:
+    """The lines of all files: documents of a shard without their end id, then its table.
+
+    A task gets one shard and so writes a file of one: readers take files as a whole, several times over.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, names, sizes = None, [], []
@@ -217,7 +218,7 @@ def _lines(encoded: DataFrame, width: int) -> DataFrame:
         if names:
             yield pa.RecordBatch.from_arrays([pa.array([table()], pa.binary())], names=["line"])
 
-    ordered = encoded.repartition("shard").sortWithinPartitions("shard", "doc", "ids")
+    ordered = encoded.repartitionById(max(1, shards), "shard").sortWithinPartitions("shard", "doc", "ids")
     return map_arrow(ordered, run, "line binary").select(F.col("line").cast("string").alias("line"))
 
 
@@ -460,7 +461,8 @@ def write_ids(
     type_ = encoder(path).type
     end = np.array([end_id], type_).tobytes()
     sizes = plain.select("doc", (F.coalesce(F.octet_length("body"), F.lit(0)) + OVERHEAD).cast("bigint").alias("bytes"))
-    lines = _lines(_encoded(plain, shard_starts(sizes, shard_bytes), path, end), type_.itemsize)
+    starts = shard_starts(sizes, shard_bytes)
+    lines = _lines(_encoded(plain, starts, path, end), type_.itemsize, len(starts))
     separator = {"lineSep": end.decode("latin-1"), "encoding": "ISO-8859-1", "compression": "none"}
     lines.write.options(**separator).text(f"{folder}/ids")
     catalog = stage(_read(_files(spark, folder), type_, "catalog"), "token-catalog")
@@ -468,8 +470,8 @@ def write_ids(
     # One row for each shard: starts are sums over the shards before.
     each = catalog.groupBy("shard").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("docs", "ids")]
-    each.select("shard", "docs", "ids", *starts, F.lit(type_.itemsize).alias("width")).write.parquet(f"{folder}/shards")
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("docs", "ids")]
+    each.select("shard", "docs", "ids", *sums, F.lit(type_.itemsize).alias("width")).write.parquet(f"{folder}/shards")
 
 
 def fetch(spark: SparkSession, folder: str, keys: DataFrame, id_col: str = "doc_id", what: str = "ids") -> DataFrame:

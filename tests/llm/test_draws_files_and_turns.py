@@ -182,6 +182,25 @@ def test_an_id_that_a_third_of_all_rows_share_fills_several_shards(spark, table,
     assert max(starts) + starts[max(starts)] - min(starts) == sum(starts.values())  # they stand together
 
 
+def test_a_file_holds_one_shard(spark, table, library):
+    """Files are read as a whole, so several shards in one would have to fit into a task's memory together."""
+    docs = [(i, prose(i % 50, 2000)) for i in range(500)] + [(1000, None), (1001, "x" * 500)]
+    folder = stage_path(spark, "ids")
+    token_files.write_ids(table(docs), folder)
+    shards = spark.read.parquet(f"{folder}/shards").count()
+    assert shards > 4 and token_files._files(spark, folder).count() == shards
+    got = rows(token_files.fetch(spark, folder, table(docs).select("doc_id"), what="crc32"))
+    assert got == slow_files(docs, library)
+
+
+def test_a_word_seen_first_is_encoded_alone_and_long_ones_are_not_kept(library):
+    encode = token_files.Encoder(public_tokenizers.path(token_files.MODEL), cached=3)
+    for text in ["one two THREE four. four! " + "x" * 65 + " " + "Y" * 70 + ".", "one", "", "zwölf " * 3, "a1 " + "b2" * 40]:
+        assert np.frombuffer(encode(text), encode.type).tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert max(map(len, encode.known)) <= token_files.CACHED_LENGTH
+    assert len(encode.known) < 10  # forgotten in between
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 63, 64, 1000, 50_000):
