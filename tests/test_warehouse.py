@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbung.operators import quality, rollups, star
-from lumbung.plans import daily, result_sets
+from lumbung.plans import daily, result_sets, standin, standin_staging
 from lumbung.plans.warehouse import build_warehouse, cube_of, load_warehouse
 from lumbung.session import stage, stage_path
 from lumbung.sources import readers, sinks
@@ -251,3 +251,26 @@ def test_daily_run(spark):
     assert readers.read_cube_csv(spark, f"{folder}/cube").count() == 6
     with pytest.raises(RuntimeError):
         daily.extract(f"{folder}/bad", payloads, substitute.select(F.raise_error(F.lit("x")).alias("x")), {**tables, "tr_hasil_lab": lab}, prices)
+
+
+def test_staging_tables_derive_from_lines_that_are_joined_once(spark):
+    """None of the staging tables reads the order lines again, and all have their rows."""
+    day = "timestamp_ntz'2024-03-05 00:00:00'"
+    rows = {
+        "nation": "select 1 n_nationkey, 'JAVA' n_name, 0 n_regionkey",
+        "supplier": "select 7L s_suppkey, 's' s_name, 1 s_nationkey, 0D s_acctbal",
+        "part": "select col1 p_partkey, 'p' p_name, 'b' p_brand, col2 p_type, 1 p_size, 10D p_retailprice from values (1L, 'SMALL'), (2L, 'PROMO')",
+        "orders": f"select col1 o_orderkey, 1L o_custkey, 'O' o_orderstatus, 1D o_totalprice, {day} o_orderdate, '1' o_orderpriority from values (5L), (20L)",
+        "lineitem": "select col1 l_orderkey, col2 l_partkey, 7L l_suppkey, col3 l_linenumber, 4D l_quantity, 8D l_extendedprice, 0D l_discount, 0D l_tax, "
+                    "col4 l_returnflag, 'F' l_linestatus, timestamp_ntz'2024-04-01 00:00:00' l_shipdate "
+                    "from values (5L, 1L, 1, 'R'), (5L, 2L, 2, 'N'), (20L, 1L, 1, 'N'), (20L, 1L, 2, 'R')",
+    }
+    t = standin.Source(spark, "")
+    t._tables = {name: stage(spark.sql(sql), name) for name, sql in rows.items()}
+    tables = standin_staging.staging(t)
+    lines = set(t("lineitem").inputFiles())
+    assert lines and not [name for name, df in tables.items() if lines & set(df.inputFiles())]
+    assert {n: tables[n].count() for n in ("tr_mutasi", "tr_laporan_sakit", "tr_rph", "pihps_raw", "bps_api_raw", "bps_dummy_raw")} == {
+        "tr_mutasi": 4, "tr_laporan_sakit": 2, "tr_rph": 2, "pihps_raw": 3, "bps_api_raw": 1, "bps_dummy_raw": 1
+    }
+    assert sorted(str(r["harga"]) for r in tables["pihps_raw"].collect()) == ["2.0", "None", "None"]
