@@ -24,9 +24,12 @@ from lumbung.llm.arrow import arrow_fields, map_arrow
 from lumbung.session import stage, stage_path
 
 MODEL = "word_bpe_49k.json"
-CACHED_WORDS, CACHED_LENGTH = 400_000, 64
-#: Letters that are one character in every normal form, with marks of sentences behind them.
-WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+CACHED_WORDS, CACHED_LENGTH = 500_000, 64
+#: Letters that are one character in every normal form and have one lower case, and all that texts without odd words are of.
+LETTERS, BLANKS = "A-Za-zÀ-ÖØ-öø-ÿ", r" \t\n\r"
+PLAIN = rf"{BLANKS}!-~{LETTERS}"
+#: Parts of a tokenizer's pattern, and what they match among these characters.
+CLASSES = {r"[\p{L}]": f"[{LETTERS}]", r"[\p{N}]": "[0-9]", r"[^\s\p{L}\p{N}]": r"[!-/:-@\[-`{-~]"}
 #: A null id; it comes before all others, which must be larger.
 NULL_ID = -(1 << 63)
 #: Bytes of text that a document costs beside its own when shards are cut, so shards of short texts are bounded too.
@@ -64,9 +67,24 @@ def plain_steps(config: dict) -> bool:
     return (
         sorted(own) == ["Lowercase", "NFC"] and last.get("type") == "ByteLevel"
         and not last.get("use_regex") and not last.get("add_prefix_space") and not config["model"].get("dropout")
+        and not any(t["normalized"] for t in config.get("added_tokens", []))
     )
 
 
+def piece_patterns(config: dict) -> tuple[re.Pattern, re.Pattern]:
+    """What finds the pieces that a tokenizer with plain_steps encodes by themselves: in plain texts, and in all texts.
+
+    In all texts, words with other characters or with added tokens stay whole. Each match takes a blank before it.
+    """
+    pattern = config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    # Runs of letters or digits come first, as they are the most; no other alternative begins with these.
+    alternatives = sorted(pattern.split("|"), key=lambda a: not a.startswith(r"[\p"))
+    own = [CLASSES[a.rstrip("+")] + "+" * a.endswith("+") if a[0] == "[" else f"(?i:{a})" for a in alternatives]
+    odd = "|".join([f"[^{PLAIN}]", *(re.escape(t["content"]) for t in config.get("added_tokens", []))])
+    whole = rf"(?<![^{BLANKS}])(?=[^{BLANKS}]*?(?:{odd}))[^{BLANKS}]++"
+    return re.compile(rf"[{BLANKS}]?({'|'.join(own)})"), re.compile(rf"[{BLANKS}]?({'|'.join([whole, *own])})")
+
+
 class Words(dict):
     """Ids of words as bytes; a word that is looked up for the first time is encoded, and remembered unless it is long."""
 
@@ -82,10 +100,11 @@ class Words(dict):
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizer's library, as bytes; words that were seen before are looked up.
+    """Ids of whole texts by the tokenizer's library, as bytes; what was seen before is looked up.
 
-    A word of plain letters goes to the library's model at once, as its other steps do nothing to it
-    but lower its case; all other words take all steps.
+    Looked up are the pieces that the library cuts words into, as there are far fewer of them than words with
+    their marks. A piece of plain letters goes to the library's model at once, as its other steps do nothing
+    to it but lower its case; all other pieces, and words with other characters, take all steps.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -101,27 +120,36 @@ class Encoder:
         self.cached, self.known, self.letters = cached, Words(self._word), {}
         if self.words and plain_steps(config):
             self.model, as_bytes = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
-            low = [chr(c) for c in range(0x61, 0x100) if WORD.fullmatch(chr(c)) and chr(c) == chr(c).lower()]
+            self.only_letters = re.compile(f"[{LETTERS}]+").fullmatch
+            low = [chr(c) for c in range(0x61, 0x100) if self.only_letters(chr(c)) and chr(c) == chr(c).lower()]
             self.letters = str.maketrans({c: as_bytes(c)[0][0] for c in low})
+            self.plain, self.all = piece_patterns(config)
+            self.odd, self.added = re.compile(f"[^{PLAIN}]"), [t["content"] for t in config.get("added_tokens", [])]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.type.char}", *ids)
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        match = WORD.fullmatch(word) if self.letters else None
-        if not match:
+        if not self.letters or not self.only_letters(word):
             return self._encode(word)
-        letters, marks = match[1].lower(), match[2]
-        if marks or letters != word:
-            return self.known[letters] + self.known[marks]
-        return np.array([p.id for p in self.model.tokenize(letters.translate(self.letters))], self.type).tobytes()
+        low = word.lower()
+        if low != word:
+            return self.known[low]
+        return self._bytes([p.id for p in self.model.tokenize(word.translate(self.letters))])
 
     def __call__(self, text: str) -> bytes:
         if not self.words:
             return self._encode(text)
         if len(self.known) > self.cached:
             self.known = Words(self._word)
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        if self.letters:
+            odd = self.odd.search(text) or any(t in text for t in self.added)
+            words = (self.all if odd else self.plain).findall(text)
+        else:
+            words = text.replace("\n", " ").replace("\t", " ").split(" ")
         return b"".join(map(self.known.__getitem__, words))
 
 

@@ -201,6 +201,20 @@ def test_a_word_seen_first_is_encoded_alone_and_long_ones_are_not_kept(library):
     assert len(encode.known) < 10  # forgotten in between
 
 
+def test_words_that_differ_in_marks_or_case_share_their_pieces(library):
+    """Words with their marks are many more than their pieces: each would be encoded and kept by itself."""
+    marks = ["", "$$$", "###", ".***", ",", "'S", "'s", "1", "=a", "!?", "''ll"]
+    text = " ".join(w + m for w in ("one", "One", "naïve", "NAÏVE") for m in marks)
+    encode = token_files.Encoder(public_tokenizers.path(token_files.MODEL))
+    assert np.frombuffer(encode(text), encode.type).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encode.known) < 24
+    whole = ["one<|endoftext|>", "<|startoftext|>'s", "naïve…", "e\u0301a", "漢字.", "\x1ca", "ſ's"]
+    for odd in whole:
+        both = f"{text}\r\n\n {odd}\t{text}  {odd} \n"
+        assert np.frombuffer(encode(both), encode.type).tolist() == library.encode(both, add_special_tokens=False).ids, odd
+    assert len(encode.known) < 24 + len(whole)
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 63, 64, 1000, 50_000):
